@@ -1,0 +1 @@
+"""Statute texts to knowledge-graph tables, as Spark jobs."""
