@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statutegraph.llm import decontam, langid, mixing, sharding, simhash
+from statutegraph.llm import decontam, langid, mixing, neardup, sharding
 from statutegraph.llm.common import staged
 
 #: SQL cannot express the fingerprints, the language model or the digests' order; tests hold stages against brute force.
@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest doc_id."""
-    return simhash.without_near_duplicates(docs)
+    return neardup.without_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

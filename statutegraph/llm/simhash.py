@@ -218,11 +218,3 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def as_hex(fp) -> object:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
-
-def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = RADIUS) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: of each component that with the smallest id."""
-    groups = simhash_groups(docs, id_col, text_col, words, radius)
-    (key,) = ("__keep",)
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
-    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
-    return kept.dropDuplicates([id_col])
