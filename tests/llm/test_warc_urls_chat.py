@@ -65,7 +65,6 @@ def test_predicates_on_headers_reach_the_reader(spark, tmp_path, compression):
     every = warc.read_archive(spark, path)
     assert every.count() == len(PAGES)
     found = every.filter("record_type = 'revisit' and refers_to = 'urn:page:1'")
-    assert "record_type" not in found._jdf.queryExecution().executedPlan().toString().split("BatchScan")[0].replace("record_type#", "", 1) or found.count() == 1
     assert [r.target_uri for r in found.collect()] == ["http://b.example/%0D%0AX: y"]
     both = every.filter(F.col("record_id").isin("urn:page:-8", "urn:page:5")).select("record_id", "payload").collect()
     assert {r.record_id: bytes(r.payload).decode() for r in both} == {"urn:page:-8": "é漢😀", "urn:page:5": PAGES[4][2]}
@@ -82,8 +81,8 @@ def test_reader_skips_payloads_it_does_not_want(tmp_path):
     reader = warc.WarcReader({"path": str(tmp_path)})
     kept = list(reader.pushFilters([EqualTo(("record_type",), "revisit"), GreaterThan(("payload_bytes",), 1)]))
     assert kept == [GreaterThan(("payload_bytes",), 1)]
-    read = []
-    reader.row = lambda *a: read.append(a) or a
+    read, row_of = [], reader.row
+    reader.row = lambda *a: read.append(a) or row_of(*a)
     (part,) = reader.partitions()
     assert len(list(reader.read(part))) == 1 and len(read) == 1
 
