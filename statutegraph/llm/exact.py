@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -94,6 +94,25 @@ def repeated_filter(hashes: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> tup
     return out, bits
 
 
+def may_repeat(spark: SparkSession, hashes: DataFrame, max_bytes: int = MAX_FILTER_BYTES):
+    """A pandas UDF on 64-bit hashes: false only for those that stand once in the column `h` of `hashes`."""
+    bitmap, bits = repeated_filter(hashes, max_bytes)
+    shared = spark.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def test(h: pd.Series) -> pd.Series:
+        at = _positions(h.to_numpy(), bits)
+        hit = (shared.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+        return pd.Series(hit.all(axis=1))
+
+    return test
+
+
+def hash_of(digest: str) -> Column:
+    """The first 60 bits of a column of hexadecimal digests, as a number."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """Groups of equal texts: id, keep_id, group_size, kept, text_sha256.
 
@@ -106,17 +125,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
     hashed = staged(docs.select(F.col(id_col).alias("id"), sha.alias("sha")), "exact-hashes")
-    hashed = hashed.withColumn("h", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long"))
-    bitmap, bits = repeated_filter(hashed, max_filter_bytes)
-    shared = spark.sparkContext.broadcast(bitmap)
-
-    @F.pandas_udf("boolean")
-    def may_repeat(h: pd.Series) -> pd.Series:
-        at = _positions(h.to_numpy(), bits)
-        hit = (shared.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-        return pd.Series(hit.all(axis=1))
-
-    marked = staged(hashed.withColumn("again", may_repeat("h")).select("id", "sha", "again"), "exact-marked")
+    hashed = hashed.withColumn("h", hash_of("sha"))
+    again = may_repeat(spark, hashed, max_filter_bytes)
+    marked = staged(hashed.withColumn("again", again("h")).select("id", "sha", "again"), "exact-marked")
     alone = marked.filter(~F.col("again")).select("id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     again = marked.filter("again").select("id", "sha")
     groups = again.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
-from .common import shared_dir
+from .common import shared_dir, staged
+from .exact import hash_of, may_repeat
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, date string, payload_digest string, payload_bytes long, "
@@ -229,13 +230,18 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     Payloads under `min_bytes` are all responses.  A null payload is empty, a
     null url leaves the target out, rows that repeat the smallest id are all
     responses.  A null id counts as the largest; a group of null ids only is all
-    responses.  Payloads are grouped by SHA-1 and length through partial sums.
+    responses.  Payloads are compared by SHA-1 and length.  Two passes: digests
+    fill a Bloom filter, and only pages whose digest may repeat shuffle; the others
+    are responses as they are.
     """
     payload = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("target_uri"), payload.alias("payload"))
     rows = rows.withColumn("payload_digest", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-    firsts = rows.groupBy("payload_digest", "payload_bytes").agg(F.min("id").alias("first"))
-    both = rows.join(firsts, ["payload_digest", "payload_bytes"])
+    slim = staged(rows.select("id", "payload_digest", "payload_bytes").withColumn("h", hash_of("payload_digest")), "page-digests")
+    again = may_repeat(pages.sparkSession, slim)
+    firsts = slim.filter(again("h")).groupBy("payload_digest", "payload_bytes").agg(F.min("id").alias("first"))
+    repeated = rows.filter(again(hash_of("payload_digest"))).join(firsts, ["payload_digest", "payload_bytes"])
+    both = repeated.unionByName(rows.filter(~again(hash_of("payload_digest"))).withColumn("first", F.col("id")))
     revisit = (F.col("payload_bytes") >= min_bytes) & ~F.col("id").eqNullSafe(F.col("first"))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
     return both.select(
