@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -127,11 +129,11 @@ def article_relations(edges: DataFrame, articles: DataFrame, n: int = 50) -> Dat
 # ---------------------------------------------------------------- statistics
 
 
-def statistics(docs: DataFrame, articles: DataFrame, names: DataFrame) -> DataFrame:
-    """One row: documents, articles, entities; zeros for an empty graph."""
-    parts = [rows.select(F.lit(label).alias("label")) for label, rows in (("documents", docs), ("articles", articles), ("entities", names))]
-    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return every.agg(*(F.count_if(F.col("label") == label).alias(label) for label in ("documents", "articles", "entities")))
+def statistics(docs: DataFrame, articles: DataFrame, names: DataFrame, **more: DataFrame) -> DataFrame:
+    """One row: documents, articles, entities, and what else is named; zeros for an empty graph."""
+    tables = {"documents": docs, "articles": articles, "entities": names} | more
+    every = reduce(DataFrame.unionByName, (rows.select(F.lit(label).alias("label")) for label, rows in tables.items()))
+    return every.agg(*(F.count_if(F.col("label") == label).alias(label) for label in tables))
 
 
 def top_entities(edges: DataFrame, n: int = 10) -> DataFrame:

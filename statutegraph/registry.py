@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -279,7 +281,6 @@ def vocab_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _COPIES = "cs AS (SELECT a.doc_id, a.pos, a.article_number, a.load_seq, copies FROM art a JOIN (SELECT doc_id, count(*) OVER (PARTITION BY title ORDER BY load_seq) AS copies FROM ld) c ON a.doc_id = c.doc_id)"
-_SCOPED = f"""SELECT * FROM ({{}})"""
 
 
 def _scope(sql: str) -> str:
@@ -436,8 +437,7 @@ def append_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
         mine = articles_.drop("load_seq").join(own, "doc_id", "left_semi")
         store.save(corpus.build(part, mine, triplets.join(own, "doc_id", "left_semi")), path, clear=i == 0)
     saved = store.load(spark, path)
-    edges = saved.relations.agg(F.count("*").alias("relations"))
-    return graph.statistics(saved.documents, saved.articles, saved.entities).crossJoin(edges)  # one row each
+    return graph.statistics(saved.documents, saved.articles, saved.entities, relations=saved.relations)
 
 
 def _stub(prompts: pd.Series) -> pd.Series:
@@ -450,6 +450,24 @@ def score_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(fx.articles(spark, sf_dir), "article_text", _stub).select("doc_id", "pos", "response")
 
 
+def _entity_stub(prompts: pd.Series) -> pd.Series:
+    article = prompts.str.split("\n\n", n=1).str[1]
+    number = article.str.split(" ").str[0]
+    return pd.Series([json.dumps({"article_number": n, "concept": f"c{len(a)}", "full_text": n}, ensure_ascii=False) for n, a in zip(number, article)])
+
+
+def _relation_stub(prompts: pd.Series) -> pd.Series:
+    number, concept = prompts.str.extract(r"조항: (.*)")[0], prompts.str.extract(r"개념: (.*)")[0]
+    before = prompts.str.count(r"(?m)^(?:앞 조항: )?- 제")
+    return pd.Series([json.dumps([{"subject": n, "relation": "정의함", "object": c, "article_number": n, "confidence": int(b)}, 1], ensure_ascii=False) for n, c, b in zip(number, concept, before)])
+
+
+@query("SELECT doc_id, pos, n AS subject, '정의함' AS relation, 'c' || length(article_text) AS object, n AS article_number, least(pos, 3)::DOUBLE AS confidence FROM (SELECT *, regexp_extract(article_text, '^(\\S+)', 1) AS n FROM pieces)")
+def scored_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records from one scorer, then, with their context, triplets from another; confidence counts the context's lines."""
+    return corpus.scored(fx.legal_documents(spark, sf_dir), _entity_stub, _relation_stub)[1]
+
+
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fx.table(spark, sf_dir, "documents").schema
     # A pattern, as the table may be a file or a folder.
