@@ -36,7 +36,7 @@ def render_turn(role: Column, body: Column) -> Column:
 
 
 #: A role ends at the first colon that no backslash takes; the body is the rest.
-_TURN = r"(?s)^### ((?:\\.|[^\\:])*): (.*)$"
+_TURN = r"(?s)^### ([^\\:]*(?:\\.[^\\:]*)*): (.*)$"
 
 
 def parse_turns(formatted: Column) -> Column:

@@ -1,6 +1,6 @@
 """Surrogates for personal data.
 
-Entities of ten kinds are found in whole texts and replaced by keyed surrogates of
+Entities of nine kinds are found in whole texts and replaced by keyed surrogates of
 the same kind and format.  Kinds written in digits and letters are encrypted
 within their own format (a Feistel network over the mixed radix of their
 symbols), a bijection: distinct entities stay distinct, the same entity gets the
@@ -11,6 +11,7 @@ names are checked against each other and drawn again until none collide.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,7 +47,7 @@ _TITLE = {t.casefold(): g for g, ts in TITLES.items() for t in ts}
 
 #: In this order; a later kind doesn't touch what an earlier one took.
 PATTERNS = {
-    "email": r"[\w.+-]+@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}",
+    "email": r"(?<![\w.+-])[\w.+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}",
     "secret": r"(?i:\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)\b[\"']?\s*[=:]\s*[\"']?)(?P<v>[A-Za-z0-9+/_=-]{8,})|\b(?P<v>(?=[0-9a-fA-F]*\d)(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{32,}|A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,})\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
@@ -103,23 +104,44 @@ def names_in(text: str) -> Iterator[Name]:
             at = m.end(2)
 
 
+class Spans:
+    """Spans of a text that do not overlap, in order."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.rows: list[tuple] = []
+
+    def add(self, start: int, end: int, *row) -> bool:
+        """False, and nothing added, if what is there reaches into it."""
+        at = bisect.bisect_left(self.starts, start)
+        if (at and self.rows[at - 1][1] > start) or (at < len(self.rows) and self.starts[at] < end):
+            return False
+        self.starts.insert(at, start)
+        self.rows.insert(at, (start, end, *row))
+        return True
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, text) of what the patterns find, in order, none over another."""
-    taken: list[tuple[int, int, str, str]] = []
+    found = Spans()
+    digits = _DIGIT.search(text)
     for kind, pattern in _FOUND.items():
-        if kind == "email" and "@" not in text or kind not in ("email", "secret") and not _DIGIT.search(text):
+        if kind == "email" and "@" not in text or kind not in ("email", "secret") and not digits:
             continue
         for m in pattern.finditer(text):
-            a, b = m.span("v") if "v" in m.groupdict() else m.span()
-            if not any(a < y and x < b for x, y, _, _ in taken):
-                taken.append((a, b, kind, text[a:b]))
-    return sorted(taken)
+            a, b = m.span("v") if kind == "secret" else m.span()
+            found.add(a, b, kind, text[a:b])
+    return found.rows
 
 
 def cased_like(word: str, model: str) -> str:
     return word.upper() if len(model) > 1 and model.isupper() else word
 
 
+#: Symbols that one permutation takes.
+BLOCK = 64
+
+
 class Surrogates:
     def __init__(self, key: bytes):
         self.key = hashlib.blake2b(key, digest_size=32).digest()
@@ -128,7 +150,17 @@ class Surrogates:
         return int.from_bytes(hashlib.blake2b("\x1f".join(map(str, parts)).encode("utf-8", "replace"), key=self.key).digest(), "big")
 
     def permuted(self, symbols: list[int], radices: list[int], tweak: str) -> list[int]:
-        """Ten Feistel rounds over two halves of the mixed-radix number: a bijection of its domain."""
+        """Ten Feistel rounds over two halves of the mixed-radix number: a bijection of its domain.
+
+        A long sequence goes block by block, each block keyed by what stands before it.
+        """
+        if len(symbols) > BLOCK:
+            out, before = [], hashlib.blake2b()
+            for at in range(0, len(symbols), BLOCK):
+                block = symbols[at : at + BLOCK]
+                out += self.permuted(block, radices[at : at + BLOCK], f"{tweak}|{at}|{before.hexdigest()}")
+                before.update(bytes(block))
+            return out
         half = len(symbols) // 2
         sides, sizes = [0, 0], [1, 1]
         for i, (s, r) in enumerate(zip(symbols, radices)):
@@ -158,7 +190,7 @@ class Surrogates:
             return text
         low = [text[i].lower() for i in at]
         sets = [alphabet or ("0123456789" if c.isdigit() else "abcdefghijklmnopqrstuvwxyz") for c in low]
-        shape = "".join("9" if len(s) == 10 else "h" if len(s) == 16 else "a" for s in sets)
+        shape = "".join("9" if len(s) == 10 else "h" if len(s) == 16 else "a" for s in sets) if len(sets) <= BLOCK else len(sets)
         new = self.permuted([s.index(c) for s, c in zip(sets, low)], [len(s) for s in sets], f"{kind}|{shape}")
         upper = any(text[i].isupper() for i in at) if hexadecimal else None
         out = list(text)
@@ -219,20 +251,17 @@ class Surrogates:
 
     def replaced(self, text: str, attempts: dict[str, int]) -> tuple[str, int]:
         """The text with surrogates, and how many."""
-        spans = [(a, b, self.of(kind, value)) for a, b, kind, value in mentions(text)]
+        spans = Spans()
+        for a, b, kind, value in mentions(text):
+            spans.add(a, b, self.of(kind, value))
         for n in names_in(text):
-            if any(n.start < b and a < n.end for a, b, _ in spans):
-                continue
             given, family = self.name(n.canonical, attempts.get(n.canonical, 0))
-            new = f"{cased_like(given, n.given)} {cased_like(family, n.family)}" if n.given else cased_like(family, n.family)
-            spans.append((n.start, n.end, new))
-        if not spans:
-            return text, 0
+            spans.add(n.start, n.end, f"{cased_like(given, n.given)} {cased_like(family, n.family)}" if n.given else cased_like(family, n.family))
         out, at = [], 0
-        for a, b, new in sorted(spans):
+        for a, b, new in spans.rows:
             out += [text[at:a], new]
             at = b
-        return "".join(out) + text[at:], len(spans)
+        return "".join(out) + text[at:], len(spans.rows)
 
 
 #: Names drawn again go to the tasks as a table up to so many rows; beyond, by a join with the documents that hold them.

@@ -87,3 +87,12 @@ def test_documents(spark, most, clashing):
 
 def test_nothing(spark):
     assert pii.with_surrogates(documents(spark, []), KEY).count() == 0
+
+
+@pytest.mark.parametrize("text", ["x" * 300_000 + "@", "a1" * 150_000, "0" * 300_000, "A" * 300_000 + " B", "1.2.3.4 " * 20_000, "Anna Silva " * 20_000])
+def test_long_runs_take_no_long_time(text):
+    import time
+
+    at = time.perf_counter()
+    MAKER.replaced(text, {})
+    assert time.perf_counter() - at < 20

@@ -187,7 +187,7 @@ def check_chat(spark, rows, clashing=False):
 @pytest.mark.parametrize("clashing", [False, True])
 def test_hard_texts_come_back(spark, clashing):
     rows = [(1, i, ("user", "assistant")[i % 2], t) for i, t in enumerate(HARD)]
-    rows += [(2, 0, "assistant", None), (2, 0, "assistant", None), (2, None, None, "x"), (3, 0, "sys:tem ###\n</turn>", "y"), (None, 0, "assistant", "z"), (4, 0, "assistant", LONG), (5, 1, "assistant", HARD[0]), (5, 0, "user", HARD[0])]
+    rows += [(2, 0, "assistant", None), (2, 0, "assistant", None), (2, None, None, "x"), (3, 0, "sys:tem ###\n</turn>", "y"), (None, 0, "assistant", "z"), (4, 0, "assistant", LONG), (6, 0, "r" * 50_000, "long role"), (5, 1, "assistant", HARD[0]), (5, 0, "user", HARD[0])]
     check_chat(spark, rows, clashing)
 
 
