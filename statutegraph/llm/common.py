@@ -89,6 +89,23 @@ def ranked(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, in
     return out, total
 
 
+#: Groups with at least this share of all rows are hot; there are no more of them than its inverse.
+HOT = 1000
+
+
+def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Inner join of `rows` with their group's row, of which `size` is the number of rows.
+
+    Groups of at least a thousandth of all rows, a thousand at most, are
+    broadcast, so that no task gets all rows of a large one; the others shuffle.
+    `groups` should be staged, as it is read three times.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = groups.filter(F.col(size) * HOT >= total)
+    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.filter(F.col(size) * HOT < total), key)
+    return rows.join(F.broadcast(hot), key).unionByName(far)
+
+
 # ---------------------------------------------------------------- word hashing
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, with_group
 
 #: Most bytes of a bit map, which is broadcast.  Beyond 2**28 rows at 16 bits a row the
 #: map fills up: more rows shuffle than need to, and the result stays the same.
@@ -130,8 +130,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = staged(hashed.withColumn("again", again("h")).select("id", "sha", "again"), "exact-marked")
     alone = marked.filter(~F.col("again")).select("id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     again = marked.filter("again").select("id", "sha")
-    groups = again.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-    grouped = again.join(groups, "sha").select("id", "sha", "keep_id", "group_size")
+    groups = staged(again.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")), "exact-groups")
+    grouped = with_group(again, groups, "sha", "group_size").select("id", "sha", "keep_id", "group_size")
     out = alone.unionByName(grouped)
     return out.select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256")
