@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from .operators import articles as art
 
 #: Relation of a triplet by return flag and line status.
-LABELS = (("AF", "정의함"), ("NF", "요구함"), ("NO", "금지함"), ("RF", "허용함"))
+LABELS = (("AF", "정의함"), ("AO", "간주함"), ("NF", "요구함"), ("NO", "금지함"), ("RF", "허용함"))
 PLANTED = (
     (1, " 제3조제1항에 따라"),
     (2, " 「상법」에 따른"),

@@ -35,7 +35,7 @@ def query(sql: str | None = None):
 
 _PAT = r"제\s*\d+\s*조(?:의\s*\d+)?(?:제\s*\d+\s*항)?"
 _STRIP = r"'^\s+|\s+$', '', 'g'"
-_LABEL = "CASE l_returnflag || l_linestatus WHEN 'AF' THEN '정의함' WHEN 'NF' THEN '요구함' WHEN 'NO' THEN '금지함' WHEN 'RF' THEN '허용함' ELSE '참조함' END"
+_LABEL = "CASE l_returnflag || l_linestatus " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fx.LABELS) + " ELSE '참조함' END"
 _PLANT = "CASE i % 8 " + " ".join(f"WHEN {k} THEN '{w}'" for k, w in fx.PLANTED) + " ELSE '' END"
 
 
