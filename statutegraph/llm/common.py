@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 _OWN_DIR: list[str] = []
 
@@ -33,6 +35,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIR[0]
 
 
+#: Rows with whole texts that go to a Python worker at once; Spark's own default of 10,000
+#: holds tens of megabytes of text several times over on either side.
+TEXTS_A_BATCH = 1000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the texts in a batch for the session, unless it has a bound of its own."""
+    if spark.conf.get(_ARROW_ROWS) == "10000":
+        spark.conf.set(_ARROW_ROWS, str(TEXTS_A_BATCH))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back.
 
@@ -89,6 +103,23 @@ def ranked(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, in
     return out, total
 
 
+def row_key(*columns: Column) -> Column:
+    """Columns as one string that is never null and tells null from everything else."""
+    return F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-")) for c in columns))
+
+
+def attached(docs: DataFrame, key: Column, decided: DataFrame, decided_key: Column, decision: Column) -> DataFrame:
+    """Whole rows of `docs` as the struct `doc`, each with a decision of its key as `got`.
+
+    Decisions are made on narrow rows; here the rows themselves move, once.  Rows
+    that repeat a key, which holds their id, get a decision each, whichever.
+    """
+    found = decided.groupBy(decided_key.alias("_key")).agg(F.collect_list(decision).alias("_all"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), key.alias("_key")).join(found, "_key")
+    at = F.row_number().over(W.partitionBy("_key").orderBy("_key"))
+    return rows.withColumn("got", F.get("_all", at - 1)).select("doc", "got")
+
+
 #: Groups with at least this share of all rows are hot; there are no more of them than its inverse.
 HOT = 1000
 
@@ -187,24 +218,26 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
 
 
 #: Texts are hashed in groups of about so many bytes, so that memory stays bounded.
-GROUP_BYTES = 1 << 20
-
-
-def groups_of_texts(texts: list[bytes]):
-    """(first index, texts) of runs of about GROUP_BYTES; a longer text is alone."""
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > GROUP_BYTES:
-            yield at, texts[at:i]
-            at, size = i, 0
+GROUP_BYTES = 1 << 18
+
+
+def groups_of_texts(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
+    """Runs of texts of about GROUP_BYTES; a longer text is alone."""
+    group: list[bytes] = []
+    size = 0
+    for t in texts:
+        if group and size + len(t) > GROUP_BYTES:
+            yield group
+            group, size = [], 0
+        group.append(t)
         size += len(t)
-    if texts:
-        yield at, texts[at:]
+    if group:
+        yield group
 
 
-def hashed_texts(texts: list[bytes], k: int, *, punctuation: bool):
+def hashed_texts(texts: Iterable[bytes], k: int, *, punctuation: bool) -> Iterator[np.ndarray]:
     """For each text its array of k-word shingle hashes (repeats included)."""
-    for _, group in groups_of_texts(texts):
+    for group in groups_of_texts(texts):
         data = np.frombuffer(b"\n".join(group), dtype=np.uint8)
         starts, ends = word_spans(data, punctuation=punctuation)
         words = word_hashes(data, starts, ends)

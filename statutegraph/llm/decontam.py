@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups_of_texts, hashed_texts, shingle_hashes, word_hashes, word_spans
+from .common import groups_of_texts, hashed_texts, shingle_hashes, small_batches, word_hashes, word_spans
 
 WORDS = 5
 CONTAINED = 0.8
@@ -118,7 +118,7 @@ def matcher(shared):
     def find(texts: pd.Series) -> pd.Series:
         index = shared.value
         found: list[list] = []
-        for _, group in groups_of_texts([_bytes(t) for t in texts]):
+        for group in groups_of_texts(map(_bytes, texts)):
             for text, h in zip(group, hashed_texts(group, index.words, punctuation=True)):
                 found.append([dict(zip(("item_id", "matched", "shingles"), m)) for m in index.matches(h, text)])
         return pd.Series(found)
@@ -129,6 +129,7 @@ def matcher(shared):
 def matchers(items: DataFrame, id_col: str = "item_id", text_col: str = "text", words: int = WORDS, contained: float = CONTAINED, block_bytes: int = BLOCK_BYTES) -> list:
     """A pandas UDF for each block of items: text to array<struct<item_id, matched, shingles>>."""
     spark = items.sparkSession
+    small_batches(spark)
     out = []
     for block in item_blocks(items, id_col, text_col, block_bytes):
         rows = items.filter(block).select(F.col(id_col).cast("long"), F.col(text_col)).collect()  # about block_bytes

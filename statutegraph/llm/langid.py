@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 FEATURES = 1 << 12
 #: Documents learnt from for each language, at most; chosen by a hash of the id.
 TRAIN_DOCS = 400
@@ -134,6 +136,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     are all that comes to the driver.  Rows without text, letter or label teach
     nothing; without any labelled row the model knows no language.
     """
+    small_batches(docs.sparkSession)
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     known = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("id")))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
@@ -166,6 +169,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def predict_column(spark, model: Model):
     """A pandas UDF: text to struct<lang_pred, score, ambiguous>."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # FEATURES x at most MAX_BITS numbers
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import staged
+from .common import small_batches, staged
 
 #: Given names by script and gender; a surrogate comes from the list that the name stands in.
 GIVEN = {
@@ -311,6 +311,7 @@ def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_co
     the same key; an empty table gives none.  Other columns are not looked at.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     found = staged(name_mentions(docs, id_col, text_col), "name-mentions")
     again = staged(drawn_again(found, key), "names-again")
     maker = Surrogates(key)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import small_batches, staged
 
 SEED = 42
 WORDS = 3
@@ -205,6 +205,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for the smallest, unless no other is there.  An empty table gives none.
     Other columns are not looked at.
     """
+    small_batches(docs.sparkSession)
     of = fingerprint_column(words)
     rows = staged(docs.select(F.col(id_col).alias("doc_id"), of(F.col(text_col)).alias("fp")), "fingerprints")
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
