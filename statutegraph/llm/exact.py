@@ -67,6 +67,10 @@ def _fill(bits: int):
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Merge segments that arrive sorted: what two tasks hit once each is hit twice."""
+
+    def merged() -> pd.DataFrame:
+        return pd.DataFrame({"segment": [at], "once": [once.tobytes()], "twice": [twice.tobytes()]})
+
     at, once, twice = None, None, None
     for batch in batches:
         for s, a, b in zip(batch["segment"], batch["once"], batch["twice"]):
@@ -76,27 +80,26 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 once |= a
                 continue
             if at is not None:
-                yield pd.DataFrame({"segment": [at], "twice": [twice.tobytes()]})
+                yield merged()
             at, once, twice = s, a.copy(), b.copy()
     if at is not None:
-        yield pd.DataFrame({"segment": [at], "twice": [twice.tobytes()]})
+        yield merged()
 
 
-def repeated_filter(hashes: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> tuple[np.ndarray, int]:
-    """The map of bits hit at least twice, from a column `h` of 64-bit hashes."""
+def bloom_filter(hashes: DataFrame, max_bytes: int = MAX_FILTER_BYTES, twice: bool = True) -> tuple[np.ndarray, int]:
+    """The map of bits hit at least twice, or once, from a column `h` of 64-bit hashes."""
     bits = filter_bits(hashes.count(), max_bytes)
-    segments = hashes.select("h").mapInPandas(_fill(bits), "segment long, once binary, twice binary")
-    merged = segments.repartition("segment").sortWithinPartitions("segment").mapInPandas(_merge, "segment long, twice binary")
+    schema, which = "segment long, once binary, twice binary", "twice" if twice else "once"
+    segments = hashes.select("h").mapInPandas(_fill(bits), schema)
+    merged = segments.repartition("segment").sortWithinPartitions("segment").mapInPandas(_merge, schema)
     out = np.zeros(bits // 8, dtype=np.uint8)
-    for r in merged.collect():  # at most max_bytes
-        part = np.frombuffer(r["twice"], dtype=np.uint8)
+    for r in merged.select("segment", which).collect():  # at most max_bytes
+        part = np.frombuffer(r[which], dtype=np.uint8)
         out[r["segment"] * SEGMENT_BYTES : r["segment"] * SEGMENT_BYTES + len(part)] = part
     return out, bits
 
 
-def may_repeat(spark: SparkSession, hashes: DataFrame, max_bytes: int = MAX_FILTER_BYTES):
-    """A pandas UDF on 64-bit hashes: false only for those that stand once in the column `h` of `hashes`."""
-    bitmap, bits = repeated_filter(hashes, max_bytes)
+def _probe(spark: SparkSession, bitmap: np.ndarray, bits: int):
     shared = spark.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
@@ -108,6 +111,16 @@ def may_repeat(spark: SparkSession, hashes: DataFrame, max_bytes: int = MAX_FILT
     return test
 
 
+def may_repeat(spark: SparkSession, hashes: DataFrame, max_bytes: int = MAX_FILTER_BYTES):
+    """A pandas UDF on 64-bit hashes: false only for those that stand once in the column `h` of `hashes`."""
+    return _probe(spark, *bloom_filter(hashes, max_bytes))
+
+
+def may_be_among(ids: DataFrame, max_bytes: int = MAX_FILTER_BYTES):
+    """A pandas UDF on hashes: false only for those that are not in the column `h` of `ids`."""
+    return _probe(ids.sparkSession, *bloom_filter(ids, max_bytes, twice=False))
+
+
 def hash_of(digest: str) -> Column:
     """The first 60 bits of a column of hexadecimal digests, as a number."""
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")

@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_texts, mix64, powers, staged
+from .common import hashed_texts, mix64, powers, small_batches, staged
+from .exact import may_be_among
 from .simhash import RADIUS, components, linked
 
 WORDS = 5
@@ -48,8 +49,8 @@ def signature(h: np.ndarray) -> tuple[int, list[int]]:
     return fp, keys.view(np.int64).tolist()
 
 
-def _lowered(texts) -> list[bytes]:
-    return [(t or "").encode("utf-8", "replace").lower() for t in texts]
+def _lowered(texts) -> Iterator[bytes]:
+    return ((t or "").encode("utf-8", "replace").lower() for t in texts)
 
 
 def signature_column(words: int):
@@ -107,16 +108,21 @@ def verified_links(docs: DataFrame, texts: DataFrame, words: int, similarity: fl
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).alias("salts"))
     members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("id"), "salts").alias("salt"), "id", F.lit(1).alias("turn"))
     leaders = salts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("a").alias("id"), F.lit(0).alias("turn"))
-    needed = pairs.select("id").unionByName(pairs.select(F.col("a").alias("id"))).distinct()
-    # A repeated id has one text here.
-    sets = docs.join(needed, "id", "left_semi").select("id", shingles_column(words)(F.col("text")).alias("shingles")).dropDuplicates(["id"])
+    needed = staged(pairs.select("id").unionByName(pairs.select(F.col("a").alias("id"))).distinct(), "near-needed")
+    # Only texts that may be needed shuffle; a repeated id has one text here.
+    near = may_be_among(needed.select(F.xxhash64("id").alias("h")))
+    sets = docs.filter(near(F.xxhash64("id"))).join(needed, "id", "left_semi").select("id", shingles_column(words)(F.col("text")).alias("shingles")).dropDuplicates(["id"])
     rows = members.unionByName(leaders).join(sets, "id").select("a", "salt", "turn", "id", "shingles")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "turn", "id")
     return rows.drop("turn").mapInPandas(_verify(similarity), "a long, b long")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, component_id) of every distinct id that is not null; component_id is the smallest id of its group."""
+    """(doc_id, component_id, rows) of every distinct id that is not null.
+
+    component_id is the smallest id of its group, `rows` how often the id stands in the table.
+    """
+    small_batches(docs.sparkSession)
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = rows.select("id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), signature_column(words)(F.col("text")).alias("s"))
     signed = staged(signed.select("id", "sha", "s.fp", "s.bands"), "near-signatures")
@@ -130,17 +136,23 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     close = close.join(of_fp.select(F.col("fp").alias("a"), F.col("first").alias("fa")), "a").join(of_fp.select(F.col("fp").alias("b"), F.col("first").alias("fb")), "b")
     links = equal.unionByName(same).unionByName(close.select(F.col("fa").alias("a"), F.col("fb").alias("b"))).unionByName(verified_links(rows, alone, words, similarity))
     roots = components(links, "near-links")
-    ids = signed.select("id").distinct()
-    return ids.join(roots, F.col("id") == F.col("node"), "left").select(F.col("id").alias("doc_id"), F.coalesce("root", "id").alias("component_id"))
+    ids = signed.groupBy("id").agg(F.count("*").alias("rows"))
+    return ids.join(roots, F.col("id") == F.col("node"), "left").select(F.col("id").alias("doc_id"), F.coalesce("root", "id").alias("component_id"), "rows")
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: of each group that with the smallest id.
 
     Rows with a null id take no part and stay.  Of rows that repeat an id one
-    stays.  Texts without a word are copies of each other.
+    stays.  Texts without a word are copies of each other.  Only rows that may go
+    shuffle, found by a Bloom filter of their ids; the rest pass straight through.
     """
-    groups = near_groups(docs, id_col, text_col, words, radius, similarity)
-    keep = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col))
-    kept = docs.filter(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    groups = staged(near_groups(docs, id_col, text_col, words, radius, similarity), "near-groups")
+    odd = groups.filter("doc_id <> component_id or rows > 1")
+    keep = odd.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col))
+    maybe = may_be_among(odd.select(F.xxhash64("doc_id").alias("h")))(F.xxhash64(F.col(id_col).cast("long")))
+    suspects = docs.filter(F.col(id_col).isNotNull()).filter(maybe)
+    one = suspects.join(keep, id_col, "left_semi").dropDuplicates([id_col])
+    unharmed = suspects.join(odd.select(F.col("doc_id").alias(id_col)), id_col, "left_anti")  # the filter's false positives
+    rest = docs.filter(F.col(id_col).isNull()).unionByName(docs.filter(F.col(id_col).isNotNull()).filter(~maybe))
+    return rest.unionByName(one.select(docs.columns)).unionByName(unharmed.select(docs.columns))
