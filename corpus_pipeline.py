@@ -33,7 +33,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source's documents as often as the mix takes them, in training order."""
-    return mixing.by_position(mixing.mix(docs, whole=True, keep=True)).select("doc.*")
+    return mixing.training_order(docs, whole=True).select("doc.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import WORD, placed_in_order, ranked, staged
+from .common import WORD, attached, placed_in_order, ranked, row_key, staged
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -84,7 +84,6 @@ def mix(
     slopes: tuple[float, ...] = SLOPES,
     whole: bool = False,
     seed: str = "mix",
-    keep: bool = False,
 ) -> DataFrame:
     """Every document's part in the mix: doc_id, source, size, source_size, target, taken, positions.
 
@@ -96,16 +95,16 @@ def mix(
 
     Null texts have size 0 and take no part; documents without a word neither; a
     null source is one source; repeated rows count each.  With no words at all
-    every target is 0.  Other columns are not looked at; with `keep` they follow
-    as the struct `doc`.  Reruns agree, and no Python runs on the executors.
+    every target is 0.  Other columns are not looked at.  Reruns agree, and no
+    Python runs on the executors.  Texts are read once, for their sizes.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         words_in(F.col(text_col)).alias("size"),
         F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("draw"),
-        *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")] if keep else []),
     )
+    rows = staged(rows, "mix-sizes")
     order = [F.col("source").asc_nulls_last(), F.col("draw"), F.col("size")]
     placed = placed_in_order(rows, order, "mix")
     parts = staged(placed.groupBy("source", "_part").agg(F.sum("size").alias("words")), "mix-parts")
@@ -128,11 +127,14 @@ def mix(
     at = lambda k: position_at((F.col("_start") + k * F.col("source_size")).cast("double"), F.col("target"), F.col("_slope"))
     positions = F.when(copies > 0, F.transform(F.sequence(F.lit(0), F.greatest(copies - 1, F.lit(0))), at)).otherwise(F.array().cast(T.ArrayType(T.DoubleType())))
     return rows.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("_passes") + F.col("_due")).alias("taken"), positions.alias("positions"), *(["doc"] if keep else [])
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("_passes") + F.col("_due")).alias("taken"), positions.alias("positions")
     )
 
 
-def by_position(mixed: DataFrame) -> DataFrame:
-    """A row for each copy that the mix takes, with `copy` and `position`, range-sorted by position."""
-    rows = mixed.select("*", F.posexplode("positions").alias("copy", "position")).drop("positions")
-    return rows.repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id", "copy")
+def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """A row for each copy that the mix takes: `doc` (all columns), `copy` and `position`, range-sorted by position."""
+    mixed = mix(docs, id_col, text_col, source_col, **how)
+    own = row_key(F.col(id_col), F.col(source_col), words_in(F.col(text_col)))
+    rows = attached(docs, own, mixed, row_key(F.col("doc_id"), F.col("source"), F.col("size")), F.col("positions"))
+    rows = rows.select("doc", F.posexplode("got").alias("copy", "position"))
+    return rows.repartitionByRange(F.col("position"), F.col(f"doc.{id_col}")).sortWithinPartitions("position", f"doc.{id_col}", "copy")
