@@ -38,7 +38,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard and slot along the Hilbert curve."""
-    placed = sharding.hilbert_shards(docs, keep=True)
+    placed = sharding.sharded(docs)
     own = ("shard", "slot", "curve")
     return placed.select(*(F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in own), *own)
 

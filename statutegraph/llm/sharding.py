@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranked
+from .common import attached, ranked, row_key, staged
 
 BITS = 6
 
@@ -61,7 +61,15 @@ def with_hilbert_index(df: DataFrame, dims: list[str], bits: int = BITS, out: st
     return df.withColumn(out, index).drop("_turn", *x)
 
 
-def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = ("source", "lang"), keep: bool = False) -> DataFrame:
+def size_of(text: Column) -> Column:
+    return (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(1)).cast("long")
+
+
+def checksum_of(text: Column) -> Column:
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """Every row's place: id, size, text_crc32, law, shard, slot, grown_shard, curve.
 
     Law `rows`: shards take runs of the curve whose counts are at most one apart,
@@ -70,22 +78,21 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     the columns `dims` by the order of their values (nulls last) and the magnitude
     of the size.  A null text has size 1 and checksum 0; repeated rows get slots
     of their own; an empty table gives none; fewer rows than shards fill the
-    first.  Other columns are not looked at; with `keep` they all follow as the
-    struct `doc`, moved once with the rows.  No Python runs on the executors.
+    first.  Other columns are not looked at.  No Python runs on the executors.
+    Texts are read once, for size and checksum.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
-        (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
+        size_of(F.col(text_col)).alias("size"),
+        checksum_of(F.col(text_col)).alias("text_crc32"),
         *(F.col(d).cast("string").alias(f"_d{i}") for i, d in enumerate(dims)),
-        *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")] if keep else []),
     )
+    rows = staged(rows, "shard-sizes")
     for i in range(len(dims)):
-        codes = ordinal_codes(docs.select(F.col(dims[i]).cast("string").alias("_v")), f"codes-{i}")
+        codes = ordinal_codes(rows.select(F.col(f"_d{i}").alias("_v")), f"codes-{i}")
         rows = rows.join(codes, F.col(f"_d{i}").eqNullSafe(F.col("_v")), "left").drop(f"_d{i}", "_v").withColumnRenamed("_code", f"_c{i}")
     rows = with_hilbert_index(rows.withColumn("_size", magnitude(F.col("size"))), [*(f"_c{i}" for i in range(len(dims))), "_size"])
-    rows = rows.select("doc_id", "size", "text_crc32", F.col("_curve").alias("curve"), *(["doc"] if keep else []))
+    rows = rows.select("doc_id", "size", "text_crc32", F.col("_curve").alias("curve"))
     placed, total = ranked(rows, [F.col("curve"), F.col("doc_id").asc_nulls_last(), F.col("text_crc32"), F.col("size")], "hilbert")
     few, more = divmod(total, shards)
     wide = more * (few + 1)  # rows of the larger shards
@@ -93,5 +100,14 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     shard = F.when(r < wide, F.floor(r / F.lit(few + 1))).otherwise(F.lit(more) + F.floor((r - wide) / F.lit(max(1, few))))
     slot = F.when(r < wide, r % F.lit(few + 1)).otherwise((r - wide) % F.lit(max(1, few)))
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve", *(["doc"] if keep else [])
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve"
     )
+
+
+def sharded(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """Whole rows of `docs` as the struct `doc` with `shard`, `slot` and `curve`, laid out in that order."""
+    placed = hilbert_shards(docs, shards, id_col, text_col, **how)
+    own = row_key(F.col(id_col), size_of(F.col(text_col)), checksum_of(F.col(text_col)))
+    rows = attached(docs, own, placed, row_key(F.col("doc_id"), F.col("size"), F.col("text_crc32")), F.struct("shard", "slot", "curve"))
+    rows = rows.select("doc", "got.shard", "got.slot", "got.curve")
+    return rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")

@@ -46,7 +46,7 @@ def test_filter_never_misses_a_repeat_and_rarely_passes_a_single(spark):
     rng = np.random.default_rng(1)
     single, twice = rng.integers(0, 1 << 60, 20_000), rng.integers(0, 1 << 60, 500)
     hashes = spark.createDataFrame([(int(h),) for h in [*single, *twice, *twice]], "h long").repartition(7)
-    bitmap, bits = exact.repeated_filter(hashes)
+    bitmap, bits = exact.bloom_filter(hashes)
 
     def hit(h):
         at = exact._positions(h, bits)
@@ -171,8 +171,18 @@ def test_positions_invert_the_demand(spark, slope):
 
 def test_copies_come_in_order_of_position(spark):
     rows = [(i, "w " * (1 + i % 7), "en", f"s{i % 4}") for i in range(200)]
-    mixed = mixing.mix(documents(spark, rows), whole=True, keep=True)
-    got = mixing.by_position(mixed).select("position", "doc_id", "size", "doc.text").collect()
+    rows += AWKWARD + [(7, "one more word with that id here", "en", "a")]
+    docs = documents(spark, rows, clashing=True)
+    mixed = mixing.mix(docs, whole=True).collect()
+    got = mixing.training_order(docs, whole=True).select("position", "doc.*").collect()
     assert [r.position for r in got] == sorted(r.position for r in got)
-    assert Counter(r.doc_id for r in got) == Counter({r.doc_id: len(r.positions) for r in mixed.collect() if r.positions})
-    assert all(words(r.text) == r["size"] for r in got)
+    assert Counter((r.doc_id, words(r.text)) for r in got) == sum((Counter({(r.doc_id, r["size"]): len(r.positions)}) for r in mixed), Counter())
+
+
+def test_sharded_rows_are_whole(spark):
+    rows = AWKWARD + [(7, "another text with that id", "en", "a")]
+    docs = documents(spark, rows, clashing=True)
+    got = sharding.sharded(docs).select("shard", "slot", "doc.doc_id", "doc.text", "doc.fp").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in rows)
+    want = Counter((r.doc_id, r.text_crc32, r.shard, r.slot) for r in sharding.hilbert_shards(docs).collect())
+    assert Counter((r.doc_id, zlib.crc32((r.text or "").encode()), r.shard, r.slot) for r in got) == want
