@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_texts, mix64, powers, small_batches, staged
+from .common import hashed_texts, mix64, powers, small_batches, staged, with_group
 from .exact import may_be_among
 from .simhash import RADIUS, components, linked
 
@@ -126,8 +126,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = rows.select("id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), signature_column(words)(F.col("text")).alias("s"))
     signed = staged(signed.select("id", "sha", "s.fp", "s.bands"), "near-signatures")
-    first = signed.groupBy("sha").agg(F.min("id").alias("first"))
-    texts = signed.join(first, "sha")
+    first = staged(signed.groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("copies")), "near-copies")
+    texts = with_group(signed, first, "sha", "copies")
     equal = texts.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     alone = texts.filter("id = first").select("id", "fp", "bands")
     of_fp = alone.groupBy("fp").agg(F.min("id").alias("first"))
