@@ -4,9 +4,10 @@ A SimHash within three bits means nearly equal texts; copies with a similarity o
 0.8 differ in ten bits and more, and so do many texts that have nothing to do
 with each other.  So links come from two searches.  The tiled comparison of
 simhash.py links fingerprints within `radius` bits.  For the rest texts meet
-where a band of MinHash values agrees, each with the first of its band; those
-whose fingerprints differ in at most WIDE bits are verified by the exact Jaccard
-similarity of their shingles.
+where a band of MinHash values agrees: first each with the smallest id of its
+band, where fingerprints differ in at most WIDE bits, then, in bands that this
+leaves in several components, the others with each other.  Both are verified by
+the exact Jaccard similarity of their shingles.
 """
 
 from __future__ import annotations
@@ -29,24 +30,26 @@ SIMILARITY = 0.8
 WIDE = 20
 BANDS = 21
 ROWS = 3
-#: Members that one copy of a leader's shingles is compared with.
+#: Members that one copy of a leader's shingles is compared with, and of a tile of a large band.
 MEMBERS = 256
+#: Shingles of a tile, about.
+TILE_SHINGLES = 1 << 19
 
 _A = powers(BANDS * ROWS + 1, 0xD1342543DE82EF95)[1:]
 _B = mix64(_A)
 
 
-def signature(h: np.ndarray) -> tuple[int, list[int]]:
-    """SimHash and band keys of a text's shingle hashes, repeats included; no shingle: 0 and no band."""
+def signature(h: np.ndarray) -> tuple[int, int, list[int]]:
+    """SimHash, number of distinct hashes and band keys of a text's shingle hashes, repeats included; no shingle: 0, 0 and no band."""
     if not len(h):
-        return 0, []
+        return 0, 0, []
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(h), 1 << 16):
         ones += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     fp = int(np.packbits(ones * 2 > len(h), bitorder="little").view("<i8")[0])
     least = np.array([((h ^ b) * a).min() for a, b in zip(_A, _B)], dtype=np.uint64).reshape(BANDS, ROWS)
     keys = mix64(least[:, 0] * _A[0] + least[:, 1] * _A[1] + least[:, 2] * _A[2] + np.arange(BANDS, dtype=np.uint64))
-    return fp, keys.view(np.int64).tolist()
+    return fp, len(np.unique(h)), keys.view(np.int64).tolist()
 
 
 def _lowered(texts) -> Iterator[bytes]:
@@ -54,9 +57,9 @@ def _lowered(texts) -> Iterator[bytes]:
 
 
 def signature_column(words: int):
-    @F.pandas_udf("fp long, bands array<long>")
+    @F.pandas_udf("fp long, size long, bands array<long>")
     def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([signature(h) for h in hashed_texts(_lowered(texts), words, punctuation=False)], columns=["fp", "bands"])
+        return pd.DataFrame([signature(h) for h in hashed_texts(_lowered(texts), words, punctuation=False)], columns=["fp", "size", "bands"])
 
     return of
 
@@ -94,27 +97,122 @@ def _verify(similarity: float):
     return run
 
 
+def tile_forest(sets: list[np.ndarray], root: np.ndarray, side: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links (i, j) that join sets of that similarity whose roots differ: a spanning forest of them.
+
+    side: 0 within one tile; sets of the same side, 1 or 2, have been compared elsewhere.
+    """
+    out, root = [], root.copy()
+    lens = np.array([len(x) for x in sets], dtype=np.int64)
+    every, code = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(lens) - lens
+    has = np.zeros(len(every), dtype=bool)
+    for i in range(len(sets) - 1):
+        k = i + 1
+        open_ = (root[k:] != root[i]) & ((side[k:] == 0) | (side[k:] != side[i]))
+        if not open_.any():
+            continue
+        own = code[starts[i] : starts[k]]
+        has[own] = True
+        common = np.add.reduceat(has[code[starts[k] :]], starts[k:] - starts[k], dtype=np.int64)
+        has[own] = False
+        for j in k + np.flatnonzero(open_ & (common / (lens[i] + lens[k:] - common) >= similarity)):
+            if root[j] != root[i]:
+                out.append((i, int(j)))
+                root[root == root[j]] = root[i]
+    return out
+
+
+def _compare_tiles(similarity: float):
+    """Rows (bucket, side, id, root, shingles), sorted by bucket, to the links that hold."""
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows[rows["shingles"].map(len) > 0]
+        out = []
+        for _, b in rows.groupby("bucket", sort=False):
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in b["shingles"]]
+            ids = b["id"].tolist()
+            out += [(ids[i], ids[j]) for i, j in tile_forest(sets, b["root"].to_numpy(), b["side"].to_numpy(), similarity)]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            last = held["bucket"].to_numpy() != held["bucket"].iloc[-1] if len(held) else np.empty(0, dtype=bool)
+            whole = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0  # the last bucket may go on in the next batch
+            if whole:
+                yield links(held.iloc[:whole])
+                held = held.iloc[whole:]
+        if held is not None and len(held):
+            yield links(held)
+
+    return run
+
+
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of the distinct `ids`.  Only texts that may be needed shuffle; a repeated id has one text here."""
+    near = may_be_among(ids.select(F.xxhash64("id").alias("h")))
+    return docs.filter(near(F.xxhash64("id"))).join(ids, "id", "left_semi").select("id", shingles_column(words)(F.col("text")).alias("shingles")).dropDuplicates(["id"])
+
+
+def _tiles(bands: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (bucket, side, id, root) of the members of bands that are still to be compared with each other.
+
+    A band's leader has met every member; where the others have one root they
+    are done.  Bands of the same members are dealt once.  Members that share the
+    leader's root meet only the others, so that a large group that is linked
+    already does not meet itself.
+    """
+    at = bands.join(roots, F.col("id") == F.col("node"), "left").select("band", "id", "size", "lead", F.coalesce("root", "id").alias("root"))
+    led = at.groupBy("band").agg(F.min_by("root", "id").alias("main"))
+    at = at.filter("id <> lead").join(led, "band").withColumn("other", F.col("root") != F.col("main"))
+    sums = [F.min("root").alias("lo"), F.max("root").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")]
+    sums += [F.count_if("other" if k else ~F.col("other")).alias(f"n{k}") for k in (0, 1)]
+    sums += [F.sum(F.when(F.col("other") == bool(k), F.col("size")).otherwise(0)).alias(f"size{k}") for k in (0, 1)]
+    left = at.groupBy("band", "main").agg(*sums).filter("lo < hi")
+    left = left.groupBy("main", "x", "y", "n0", "n1", "size0", "size1").agg(F.min("band").alias("band"))
+    parts = [F.greatest(F.ceil(F.col(f"n{k}") / F.lit(MEMBERS)), F.ceil(F.col(f"size{k}") / F.lit(TILE_SHINGLES))).cast("long").alias(f"parts{k}") for k in (0, 1)]
+    small = ((F.col("n0") + F.col("n1") <= MEMBERS) & (F.col("size0") + F.col("size1") <= TILE_SHINGLES)).alias("small")
+    at = at.join(left.select("band", small, *parts), "band")
+    p0, p1 = F.col("parts0"), F.col("parts1")
+    own = F.when(F.col("other"), p0 + F.pmod(F.xxhash64("id"), F.greatest(p1, F.lit(1)))).otherwise(F.pmod(F.xxhash64("id"), F.greatest(p0, F.lit(1))))
+    whole = F.array(F.struct(F.xxhash64("band").alias("bucket"), F.lit(0).alias("side")))
+
+    def pair(s):
+        side = F.when(s == F.col("own"), F.lit(0)).when(F.col("own") < s, F.lit(1)).otherwise(F.lit(2))
+        return F.struct(F.xxhash64("band", F.least(s, F.col("own")), F.greatest(s, F.col("own"))).alias("bucket"), side.alias("side"))
+
+    meets = F.filter(F.sequence(F.when(F.col("other"), F.lit(0)).otherwise(p0).cast("long"), p0 + p1), lambda s: s < p0 + p1)
+    at = at.withColumn("own", own).select("id", "root", F.explode(F.when(F.col("small"), whole).otherwise(F.transform(meets, pair))).alias("to"))
+    return at.select("to.bucket", "to.side", "id", "root")
+
+
 def verified_links(docs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links (a, b) between ids of `texts` (id, fp, bands) of that similarity, `docs` having (id, text).
+    """Links (a, b) between ids of `texts` (id, fp, size, bands) of that similarity, `docs` having (id, text).
 
-    In each band the smallest id leads; members are compared with it.  Texts that
-    are alike share many bands, with different leaders where those lack
-    them, so that what one leader misses another finds.
+    In each band the smallest id leads and members are compared with it, which
+    settles most bands.  In those whose members are not of one component then, the
+    members are compared with each other, large bands as pairs of tiles.
     """
-    keyed = texts.select("id", "fp", F.explode("bands").alias("band"))
-    leads = keyed.groupBy("band").agg(F.min(F.struct("id", "fp")).alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    met = keyed.join(leads, "band").filter((F.col("id") != F.col("lead.id")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("lead.fp"))) <= WIDE))
-    pairs = staged(met.select(F.col("lead.id").alias("a"), "id").distinct(), "near-pairs")
+    keyed = texts.select("id", "fp", "size", F.explode("bands").alias("band"))
+    leads = keyed.groupBy("band").agg(F.min(F.struct("id", "fp")).alias("lead"), F.count("*").alias("n")).filter("n > 1")
+    bands = staged(keyed.join(leads, "band").select("band", "id", "size", "n", F.col("lead.id").alias("lead"), F.bit_count(F.col("fp").bitwiseXOR(F.col("lead.fp"))).alias("bits")), "near-bands")
+    met = bands.filter((F.col("id") != F.col("lead")) & (F.col("bits") <= WIDE))
+    pairs = staged(met.select(F.col("lead").alias("a"), "id").distinct(), "near-pairs")
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).alias("salts"))
     members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("id"), "salts").alias("salt"), "id", F.lit(1).alias("turn"))
     leaders = salts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("a").alias("id"), F.lit(0).alias("turn"))
     needed = staged(pairs.select("id").unionByName(pairs.select(F.col("a").alias("id"))).distinct(), "near-needed")
-    # Only texts that may be needed shuffle; a repeated id has one text here.
-    near = may_be_among(needed.select(F.xxhash64("id").alias("h")))
-    sets = docs.filter(near(F.xxhash64("id"))).join(needed, "id", "left_semi").select("id", shingles_column(words)(F.col("text")).alias("shingles")).dropDuplicates(["id"])
-    rows = members.unionByName(leaders).join(sets, "id").select("a", "salt", "turn", "id", "shingles")
+    rows = members.unionByName(leaders).join(_sets(docs, needed, words), "id").select("a", "salt", "turn", "id", "shingles")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "turn", "id")
-    return rows.drop("turn").mapInPandas(_verify(similarity), "a long, b long")
+    led = staged(rows.drop("turn").mapInPandas(_verify(similarity), "a long, b long"), "near-led")
+    tiles = staged(_tiles(bands.filter("n > 2"), components(led, "near-led-links")), "near-tiles")
+    if tiles.isEmpty():
+        return led
+    rows = tiles.join(_sets(docs, staged(tiles.select("id").distinct(), "near-needed"), words), "id").select("bucket", "side", "id", "root", "shingles")
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket")
+    return led.unionByName(rows.mapInPandas(_compare_tiles(similarity), "a long, b long"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
@@ -125,11 +223,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     small_batches(docs.sparkSession)
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = rows.select("id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), signature_column(words)(F.col("text")).alias("s"))
-    signed = staged(signed.select("id", "sha", "s.fp", "s.bands"), "near-signatures")
+    signed = staged(signed.select("id", "sha", "s.fp", "s.size", "s.bands"), "near-signatures")
     first = staged(signed.groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("copies")), "near-copies")
     texts = with_group(signed, first, "sha", "copies")
     equal = texts.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    alone = texts.filter("id = first").select("id", "fp", "bands")
+    alone = texts.filter("id = first").select("id", "fp", "size", "bands")
     of_fp = alone.groupBy("fp").agg(F.min("id").alias("first"))
     same = alone.join(of_fp, "fp").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     close = linked(of_fp.select("fp"), radius)

@@ -117,6 +117,25 @@ def test_near_copies_go_and_others_stay(spark):
     assert neardup.without_near_duplicates(documents(spark, rows)).count() == 15
 
 
+@pytest.mark.parametrize("members", [8, 256])
+@pytest.mark.parametrize("base_at", [30, 60])
+def test_copies_edited_apart_meet_a_base_that_does_not_lead(spark, monkeypatch, base_at, members):
+    monkeypatch.setattr(neardup, "MEMBERS", members)
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for c in range(60):
+        v = list(base)
+        for i in rng.choice(300, 5, replace=False):
+            v[i] = f"c{c}x{i}"
+        texts.append(" ".join(v))
+    texts.insert(base_at, " ".join(base))
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.component_id for r in neardup.near_groups(documents(spark, rows)).collect()}
+    near = [i for i, t in rows if jaccard(t, texts[base_at]) >= 0.8]
+    assert len(near) > 50 and {got[i] for i in near} == {got[base_at]}
+
+
 def test_near_copies_keep_columns_and_awkward_rows(spark):
     df = documents(spark, AWKWARD, clashing=True)
     kept = neardup.without_near_duplicates(df)
