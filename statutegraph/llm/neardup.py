@@ -5,9 +5,9 @@ A SimHash within three bits means nearly equal texts; copies with a similarity o
 with each other.  So links come from two searches.  The tiled comparison of
 simhash.py links fingerprints within `radius` bits.  For the rest texts meet
 where a band of MinHash values agrees: first each with the smallest id of its
-band, where fingerprints differ in at most WIDE bits, then, in bands that this
-leaves in several components, the others with each other.  Both are verified by
-the exact Jaccard similarity of their shingles.
+band, then, in bands that this leaves in several components, the others with
+each other.  Both are verified by the exact Jaccard similarity of their
+shingles; only pairs whose numbers of distinct shingles rule it out are not.
 """
 
 from __future__ import annotations
@@ -25,9 +25,6 @@ from .simhash import RADIUS, components, linked
 
 WORDS = 5
 SIMILARITY = 0.8
-#: Bits in which fingerprints of texts of that similarity may differ: 9.7 on average with a
-#: deviation of 2.9, so 20 leaves out one pair in some thousands; texts at random differ in 32.
-WIDE = 20
 BANDS = 21
 ROWS = 3
 #: Members that one copy of a leader's shingles is compared with, and of a tile of a large band.
@@ -189,16 +186,18 @@ def _tiles(bands: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def verified_links(docs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links (a, b) between ids of `texts` (id, fp, size, bands) of that similarity, `docs` having (id, text).
+    """Links (a, b) between ids of `texts` (id, size, bands) of that similarity, `docs` having (id, text).
 
     In each band the smallest id leads and members are compared with it, which
     settles most bands.  In those whose members are not of one component then, the
     members are compared with each other, large bands as pairs of tiles.
     """
-    keyed = texts.select("id", "fp", "size", F.explode("bands").alias("band"))
-    leads = keyed.groupBy("band").agg(F.min(F.struct("id", "fp")).alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    bands = staged(keyed.join(leads, "band").select("band", "id", "size", "n", F.col("lead.id").alias("lead"), F.bit_count(F.col("fp").bitwiseXOR(F.col("lead.fp"))).alias("bits")), "near-bands")
-    met = bands.filter((F.col("id") != F.col("lead")) & (F.col("bits") <= WIDE))
+    keyed = texts.select("id", "size", F.explode("bands").alias("band"))
+    leads = keyed.groupBy("band").agg(F.min(F.struct("id", "size")).alias("lead"), F.count("*").alias("n")).filter("n > 1")
+    bands = staged(keyed.join(leads, "band").select("band", "id", "size", "n", F.col("lead.id").alias("lead"), F.col("lead.size").alias("lead_size")), "near-bands")
+    # Sets of that similarity hold at least that share of each other's number; a little less for rounding.
+    may = F.least("size", "lead_size") >= F.greatest("size", "lead_size") * F.lit(similarity - 1e-9)
+    met = bands.filter((F.col("id") != F.col("lead")) & may)
     pairs = staged(met.select(F.col("lead").alias("a"), "id").distinct(), "near-pairs")
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).alias("salts"))
     members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("id"), "salts").alias("salt"), "id", F.lit(1).alias("turn"))

@@ -136,6 +136,13 @@ def test_copies_edited_apart_meet_a_base_that_does_not_lead(spark, monkeypatch,
     assert len(near) > 50 and {got[i] for i in near} == {got[base_at]}
 
 
+def test_near_copies_with_a_repeated_line_meet(spark):
+    common = [f"w{i}" for i in range(400)]
+    rows = [(c, " ".join(common + [f"line{c}x{i}" for i in range(12)] * 60)) for c in range(6)]
+    assert all(jaccard(a, b) >= 0.9 for (_, a), (_, b) in itertools.combinations(rows, 2))
+    assert {r.component_id for r in neardup.near_groups(documents(spark, rows)).collect()} == {0}
+
+
 def test_near_copies_keep_columns_and_awkward_rows(spark):
     df = documents(spark, AWKWARD, clashing=True)
     kept = neardup.without_near_duplicates(df)
