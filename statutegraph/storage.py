@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,16 @@ _OWN: list[str] = []
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where the session names none."""
+    """The folder in spark.checkpoint.dir, which driver and executors share.
+
+    Where the session names none, a temporary folder is used on a local master;
+    elsewhere it would be another folder on each machine, so that is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="statutegraph-work-"))
     return _OWN[0]
@@ -25,7 +32,12 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """Written as Parquet and read again: costly or nondeterministic steps run once."""
+    """Written as Parquet in the shared folder and read again.
+
+    Cuts the lineage: costly or nondeterministic steps run once, and what was
+    computed survives lost executors.  The files stay until the owner of the
+    folder clears it.
+    """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
