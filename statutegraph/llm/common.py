@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-_OWN_DIR: list[str] = []
+from ..storage import kept as staged
 
 #: Separators between words in contracts that say ``[^\x20\x09-\x0D]+``.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,20 +18,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROW_BITS = 33
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share.
-
-    Only where the session names none (single-machine tests) is a temporary
-    folder of our own used.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not _OWN_DIR:
-        _OWN_DIR.append(tempfile.mkdtemp(prefix="statutegraph-"))
-    return _OWN_DIR[0]
-
-
 #: Rows with whole texts that go to a Python worker at once; Spark's own default of 10,000
 #: holds tens of megabytes of text several times over on either side.
 TEXTS_A_BATCH = 1000
@@ -47,18 +30,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_ARROW_ROWS, str(TEXTS_A_BATCH))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet in the shared folder and read it back.
-
-    Cuts the lineage: what was computed before survives lost executors and is
-    not computed twice.  The files stay until the owner of the folder clears it.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/statutegraph/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that `df` does not have yet (case-insensitively)."""
     taken = {c.lower() for c in df.columns}
@@ -108,35 +79,64 @@ def row_key(*columns: Column) -> Column:
     return F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-")) for c in columns))
 
 
+#: Rows of one key that a task numbers by itself, at most.
+REPEATS = 1000
+
+
 def attached(docs: DataFrame, key: Column, decided: DataFrame, decided_key: Column, decision: Column) -> DataFrame:
     """Whole rows of `docs` as the struct `doc`, each with a decision of its key as `got`.
 
     Decisions are made on narrow rows; here the rows themselves move, once.  Rows
-    that repeat a key, which holds their id, get a decision each, whichever.
+    that repeat a key, which holds their id, get a decision each, whichever.  Keys
+    that more than REPEATS rows share are numbered on both sides by a range
+    shuffle, so that none of them fills a task.  Nothing in, nothing out; columns
+    of `docs` may have any name, as they travel in the struct.
     """
-    found = decided.groupBy(decided_key.alias("_key")).agg(F.collect_list(decision).alias("_all"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), key.alias("_key")).join(found, "_key")
+    found = decided.select(decided_key.alias("_key"), decision.alias("got"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), key.alias("_key"))
+    many = staged(found.groupBy("_key").agg(F.count("*").alias("_n")).filter(F.col("_n") > REPEATS), "repeated-keys")
+    if many.isEmpty():
+        return _dealt(rows, found)
+    few = _dealt(without_group(rows, many, "_key", "_n"), without_group(found, many, "_key", "_n"))
+    left, _ = ranked(with_group(rows, many, "_key", "_n"), [F.col("_key"), F.rand(1)], "repeated-rows")
+    right, _ = ranked(with_group(found, many, "_key", "_n"), [F.col("_key"), F.rand(2)], "repeated-decisions")
+    # Both sides hold the same number of each key, so equal ranks have equal keys.
+    return few.unionByName(left.select("doc", "_rank").join(right.select("got", "_rank"), "_rank").select("doc", "got"))
+
+
+def _dealt(rows: DataFrame, found: DataFrame) -> DataFrame:
+    each = found.groupBy("_key").agg(F.collect_list("got").alias("_all"))
     at = F.row_number().over(W.partitionBy("_key").orderBy("_key"))
-    return rows.withColumn("got", F.get("_all", at - 1)).select("doc", "got")
+    return rows.join(each, "_key").withColumn("got", F.get("_all", at - 1)).select("doc", "got")
 
 
 #: Groups with at least this share of all rows are hot; there are no more of them than its inverse.
 HOT = 1000
 
 
-def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
-    """Inner join of `rows` with their group's row, of which `size` is the number of rows.
+def _hot(groups: DataFrame, size: str) -> tuple[DataFrame, DataFrame]:
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    return groups.filter(F.col(size) * HOT >= total), groups.filter(F.col(size) * HOT < total)
+
+
+def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
+    """Join (`how`: inner or left) of `rows` with their group's row, of which `size` is the number of rows.
 
     Groups of at least a thousandth of all rows, a thousand at most, are
     broadcast, so that no task gets all rows of a large one; the others shuffle.
-    `groups` should be staged, as it is read three times.
+    `groups` should be staged, as it is read three times.  Null keys meet nothing.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
-    hot = groups.filter(F.col(size) * HOT >= total)
-    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.filter(F.col(size) * HOT < total), key)
+    hot, rest = _hot(groups, size)
+    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key, how)
     return rows.join(F.broadcast(hot), key).unionByName(far)
 
 
+def without_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """The rows that have no group, by the same ways."""
+    hot, rest = _hot(groups, size)
+    return rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest.select(key), key, "left_anti")
+
+
 # ---------------------------------------------------------------- word hashing
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -247,7 +247,3 @@ def hashed_texts(texts: Iterable[bytes], k: int, *, punctuation: bool) -> Iterat
         for to in cut:
             yield shingle_hashes(words[at:to], k)
             at = to
-
-
-def empty_as(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_texts, mix64, powers, small_batches, staged, with_group
-from .exact import may_be_among
+from .common import fresh, hashed_texts, mix64, powers, small_batches, staged, with_group, without_group
+from .exact import hash_of, may_be_among
 from .simhash import RADIUS, components, linked
 
 WORDS = 5
@@ -61,6 +61,10 @@ def signature_column(words: int):
     return of
 
 
+def digest_of(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
 def shingles_column(words: int):
     """The sorted distinct shingle hashes of a text, as bytes."""
 
@@ -147,10 +151,13 @@ def _compare_tiles(similarity: float):
     return run
 
 
-def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(id, shingles) of the distinct `ids`.  Only texts that may be needed shuffle; a repeated id has one text here."""
-    near = may_be_among(ids.select(F.xxhash64("id").alias("h")))
-    return docs.filter(near(F.xxhash64("id"))).join(ids, "id", "left_semi").select("id", shingles_column(words)(F.col("text")).alias("shingles")).dropDuplicates(["id"])
+def _sets(docs: DataFrame, texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of the distinct `nodes`.  Only rows of `docs` that may hold their texts shuffle."""
+    of = staged(texts.join(nodes, texts["node"] == nodes["id"], "left_semi").select(F.col("node"), F.col("id").alias("at"), "sha"), "near-needed")
+    near = may_be_among(of.select(F.xxhash64("at").alias("h")))
+    rows = docs.filter(near(F.xxhash64("id"))).withColumn("own", digest_of(F.col("text")))
+    rows = rows.join(of, (rows["id"] == of["at"]) & (rows["own"] == of["sha"])).dropDuplicates(["node"])
+    return rows.select(F.col("node").alias("id"), shingles_column(words)(F.col("text")).alias("shingles"))
 
 
 def _tiles(bands: DataFrame, roots: DataFrame) -> DataFrame:
@@ -162,16 +169,17 @@ def _tiles(bands: DataFrame, roots: DataFrame) -> DataFrame:
     already does not meet itself.
     """
     at = bands.join(roots, F.col("id") == F.col("node"), "left").select("band", "id", "size", "lead", F.coalesce("root", "id").alias("root"))
-    led = at.groupBy("band").agg(F.min_by("root", "id").alias("main"))
-    at = at.filter("id <> lead").join(led, "band").withColumn("other", F.col("root") != F.col("main"))
+    led = staged(at.groupBy("band").agg(F.min_by("root", "id").alias("main"), F.count("*").alias("n")), "near-mains")
+    at = staged(with_group(at.filter("id <> lead"), led, "band", "n").withColumn("other", F.col("root") != F.col("main")), "near-members")
     sums = [F.min("root").alias("lo"), F.max("root").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")]
     sums += [F.count_if("other" if k else ~F.col("other")).alias(f"n{k}") for k in (0, 1)]
     sums += [F.sum(F.when(F.col("other") == bool(k), F.col("size")).otherwise(0)).alias(f"size{k}") for k in (0, 1)]
     left = at.groupBy("band", "main").agg(*sums).filter("lo < hi")
-    left = left.groupBy("main", "x", "y", "n0", "n1", "size0", "size1").agg(F.min("band").alias("band"))
+    left = left.groupBy("main", "x", "y", "n0", "n1", "size0", "size1").agg(F.min("band").alias("band")).drop("main")
     parts = [F.greatest(F.ceil(F.col(f"n{k}") / F.lit(MEMBERS)), F.ceil(F.col(f"size{k}") / F.lit(TILE_SHINGLES))).cast("long").alias(f"parts{k}") for k in (0, 1)]
     small = ((F.col("n0") + F.col("n1") <= MEMBERS) & (F.col("size0") + F.col("size1") <= TILE_SHINGLES)).alias("small")
-    at = at.join(left.select("band", small, *parts), "band")
+    left = staged(left.select("band", (F.col("n0") + F.col("n1")).alias("of"), small, *parts), "near-open")
+    at = with_group(at.select("band", "id", "root", "other"), left, "band", "of")
     p0, p1 = F.col("parts0"), F.col("parts1")
     own = F.when(F.col("other"), p0 + F.pmod(F.xxhash64("id"), F.greatest(p1, F.lit(1)))).otherwise(F.pmod(F.xxhash64("id"), F.greatest(p0, F.lit(1))))
     whole = F.array(F.struct(F.xxhash64("band").alias("bucket"), F.lit(0).alias("side")))
@@ -186,70 +194,102 @@ def _tiles(bands: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def verified_links(docs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Links (a, b) between ids of `texts` (id, size, bands) of that similarity, `docs` having (id, text).
+    """Links (a, b) between nodes of `texts` (node, id, sha, size, bands) of that similarity, `docs` having (id, text).
 
-    In each band the smallest id leads and members are compared with it, which
+    In each band the smallest node leads and members are compared with it, which
     settles most bands.  In those whose members are not of one component then, the
     members are compared with each other, large bands as pairs of tiles.
     """
-    keyed = texts.select("id", "size", F.explode("bands").alias("band"))
-    leads = keyed.groupBy("band").agg(F.min(F.struct("id", "size")).alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    bands = staged(keyed.join(leads, "band").select("band", "id", "size", "n", F.col("lead.id").alias("lead"), F.col("lead.size").alias("lead_size")), "near-bands")
+    keyed = texts.select(F.col("node").alias("id"), "size", F.explode("bands").alias("band"))
+    leads = staged(keyed.groupBy("band").agg(F.min(F.struct("id", "size")).alias("lead"), F.count("*").alias("n")).filter("n > 1"), "near-leads")
+    bands = with_group(keyed, leads, "band", "n").select("band", "id", "size", "n", F.col("lead.id").alias("lead"), F.col("lead.size").alias("lead_size"))
+    bands = staged(bands, "near-bands")
     # Sets of that similarity hold at least that share of each other's number; a little less for rounding.
     may = F.least("size", "lead_size") >= F.greatest("size", "lead_size") * F.lit(similarity - 1e-9)
-    met = bands.filter((F.col("id") != F.col("lead")) & may)
-    pairs = staged(met.select(F.col("lead").alias("a"), "id").distinct(), "near-pairs")
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(MEMBERS)).alias("salts"))
-    members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("id"), "salts").alias("salt"), "id", F.lit(1).alias("turn"))
+    pairs = staged(bands.filter((F.col("id") != F.col("lead")) & may).select(F.col("lead").alias("a"), "id").distinct(), "near-pairs")
+    salts = staged(pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("salts", F.ceil(F.col("n") / F.lit(MEMBERS))), "near-salts")
+    members = with_group(pairs, salts, "a", "n").select("a", F.pmod(F.xxhash64("id"), "salts").alias("salt"), "id", F.lit(1).alias("turn"))
     leaders = salts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("a").alias("id"), F.lit(0).alias("turn"))
-    needed = staged(pairs.select("id").unionByName(pairs.select(F.col("a").alias("id"))).distinct(), "near-needed")
-    rows = members.unionByName(leaders).join(_sets(docs, needed, words), "id").select("a", "salt", "turn", "id", "shingles")
+    asked = pairs.select("id").unionByName(pairs.select(F.col("a").alias("id"))).distinct()
+    rows = members.unionByName(leaders).join(_sets(docs, texts, asked, words), "id").select("a", "salt", "turn", "id", "shingles")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "turn", "id")
     led = staged(rows.drop("turn").mapInPandas(_verify(similarity), "a long, b long"), "near-led")
     tiles = staged(_tiles(bands.filter("n > 2"), components(led, "near-led-links")), "near-tiles")
     if tiles.isEmpty():
         return led
-    rows = tiles.join(_sets(docs, staged(tiles.select("id").distinct(), "near-needed"), words), "id").select("bucket", "side", "id", "root", "shingles")
+    rows = tiles.join(_sets(docs, texts, tiles.select("id").distinct(), words), "id").select("bucket", "side", "id", "root", "shingles")
     rows = rows.repartition("bucket").sortWithinPartitions("bucket")
     return led.unionByName(rows.mapInPandas(_compare_tiles(similarity), "a long, b long"))
 
 
+def distinct_texts(signed: DataFrame) -> DataFrame:
+    """A row for each distinct text of `signed`: sha, id (its smallest), copies, fp, size, bands and a number of its own as `node`.
+
+    The node is the id; of several texts under one id all but one get a hash of
+    id and digest instead.
+    """
+    texts = signed.groupBy("sha").agg(F.min("id").alias("id"), F.count("*").alias("copies"), *(F.any_value(c).alias(c) for c in ("fp", "size", "bands")))
+    texts = staged(texts, "near-texts")
+    shared = staged(texts.groupBy("id").agg(F.count("*").alias("n"), F.min("sha").alias("least")).filter("n > 1"), "near-shared-ids")
+    if shared.isEmpty():
+        return texts.withColumn("node", F.col("id"))
+    other = with_group(texts, shared, "id", "n", how="left")
+    node = F.when(F.col("sha") != F.col("least"), F.xxhash64("id", "sha")).otherwise(F.col("id"))
+    return staged(other.select(*texts.columns, node.alias("node")), "near-nodes")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, component_id, rows) of every distinct id that is not null.
+    """A row for each distinct text: sha, doc_id (the smallest that has it), copies, repeats, component_id, keep_sha.
 
-    component_id is the smallest id of its group, `rows` how often the id stands in the table.
+    component_id is the smallest id of the group.  The text with the digest
+    `keep_sha` stays: that of the smallest id, and of several texts under that id
+    the one of the smallest digest.  `repeats` is how many rows have both this
+    doc_id and this text.  Null texts count as empty; all texts without a word
+    are one group; very long texts are hashed whole.  Rows with a null id take no
+    part; an empty table gives none.  Other columns are not looked at.
+
+    Equal texts are one from the start, so that only distinct ones are searched
+    and linked, however many rows hold them.
     """
     small_batches(docs.sparkSession)
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = rows.select("id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), signature_column(words)(F.col("text")).alias("s"))
+    signed = rows.select("id", digest_of(F.col("text")).alias("sha"), signature_column(words)(F.col("text")).alias("s"))
     signed = staged(signed.select("id", "sha", "s.fp", "s.size", "s.bands"), "near-signatures")
-    first = staged(signed.groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("copies")), "near-copies")
-    texts = with_group(signed, first, "sha", "copies")
-    equal = texts.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    alone = texts.filter("id = first").select("id", "fp", "size", "bands")
-    of_fp = alone.groupBy("fp").agg(F.min("id").alias("first"))
-    same = alone.join(of_fp, "fp").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    close = linked(of_fp.select("fp"), radius)
-    close = close.join(of_fp.select(F.col("fp").alias("a"), F.col("first").alias("fa")), "a").join(of_fp.select(F.col("fp").alias("b"), F.col("first").alias("fb")), "b")
-    links = equal.unionByName(same).unionByName(close.select(F.col("fa").alias("a"), F.col("fb").alias("b"))).unionByName(verified_links(rows, alone, words, similarity))
+    texts = distinct_texts(signed)
+    of_fp = staged(texts.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")), "near-fingerprints")
+    same = with_group(texts.select("node", "fp"), of_fp, "fp", "n").filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    links = same.unionByName(linked(of_fp.select("fp", "first"), radius, node="first")).unionByName(verified_links(rows, texts, words, similarity))
     roots = components(links, "near-links")
-    ids = signed.groupBy("id").agg(F.count("*").alias("rows"))
-    return ids.join(roots, F.col("id") == F.col("node"), "left").select(F.col("id").alias("doc_id"), F.coalesce("root", "id").alias("component_id"), "rows")
+    found = texts.select("sha", "id", "copies", F.col("node").alias("own")).join(roots, F.col("own") == F.col("node"), "left")
+    found = staged(found.select("sha", "id", "copies", F.coalesce("root", "own").alias("root")), "near-roots")
+    kept = found.groupBy("root").agg(F.min(F.struct("id", "sha")).alias("keep"), F.count("*").alias("n"))
+    out = with_group(found, staged(kept, "near-kept"), "root", "n").select("sha", "id", "copies", F.col("keep.id").alias("component_id"), F.col("keep.sha").alias("keep_sha"))
+    repeated = signed.groupBy("id", "sha").agg(F.count("*").alias("repeats")).filter("repeats > 1")
+    out = out.join(repeated, ["id", "sha"], "left")
+    return out.select("sha", F.col("id").alias("doc_id"), "copies", F.coalesce("repeats", F.lit(1)).alias("repeats"), "component_id", "keep_sha")
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: of each group that with the smallest id.
-
-    Rows with a null id take no part and stay.  Of rows that repeat an id one
-    stays.  Texts without a word are copies of each other.  Only rows that may go
-    shuffle, found by a Bloom filter of their ids; the rest pass straight through.
+    """The rows of `docs` that stay, with all their columns: of each group one, that with the smallest id.
+
+    Of several texts under that id the one of the smallest digest stays, of rows
+    that repeat id and text any one.  Null and empty texts and all without a word
+    are copies of each other.  Rows with a null id take no part and stay.  An
+    empty table gives none; columns may have any name.  Only rows whose text may
+    be in a group of several shuffle, found by a Bloom filter of the digests; the
+    rest pass straight through.
     """
-    groups = staged(near_groups(docs, id_col, text_col, words, radius, similarity), "near-groups")
-    odd = groups.filter("doc_id <> component_id or rows > 1")
-    keep = odd.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col))
-    maybe = may_be_among(odd.select(F.xxhash64("doc_id").alias("h")))(F.xxhash64(F.col(id_col).cast("long")))
-    suspects = docs.filter(F.col(id_col).isNotNull()).filter(maybe)
-    one = suspects.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    unharmed = suspects.join(odd.select(F.col("doc_id").alias(id_col)), id_col, "left_anti")  # the filter's false positives
-    rest = docs.filter(F.col(id_col).isNull()).unionByName(docs.filter(F.col(id_col).isNotNull()).filter(~maybe))
-    return rest.unionByName(one.select(docs.columns)).unionByName(unharmed.select(docs.columns))
+    groups = near_groups(docs, id_col, text_col, words, radius, similarity).filter("copies > 1 or sha <> keep_sha")
+    sha, size, repeats, keep = fresh(docs, "sha", "copies", "repeats", "keep")
+    keeps = F.when(F.col("sha") == F.col("keep_sha"), F.col("component_id"))
+    groups = staged(groups.select(F.col("sha").alias(sha), F.col("copies").alias(size), F.col("repeats").alias(repeats), keeps.alias(keep)), "near-groups")
+    maybe = may_be_among(groups.select(hash_of(sha).alias("h")))(hash_of(sha))
+    rows = docs.withColumn(sha, digest_of(F.col(text_col)))
+    has_id = F.col(id_col).isNotNull()
+    rest = rows.filter(~has_id).unionByName(rows.filter(has_id).filter(~maybe)).select(docs.columns)
+    met = with_group(rows.filter(has_id).filter(maybe), groups, sha, size, how="left")
+    met = met.filter(F.col(size).isNull() | (F.col(id_col).cast("long") == F.col(keep)))
+    if groups.filter((F.col(repeats) > 1) & F.col(keep).isNotNull()).isEmpty():
+        return rest.unionByName(met.select(docs.columns))
+    one = met.filter(F.col(repeats) > 1).dropDuplicates([id_col, sha])
+    return rest.unionByName(met.filter(F.coalesce(repeats, F.lit(1)) == 1).select(docs.columns)).unionByName(one.select(docs.columns))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged
+from .common import small_batches, staged, with_group
 
 SEED = 42
 WORDS = 3
@@ -117,18 +117,18 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[list[np.ndarray], list
     return [root[at]], [at]
 
 
-def _compare(radius: int):
-    """Partitions of rows (bucket, fp, side), sorted by bucket, to links between fingerprints."""
+def _compare(radius: int, node: str):
+    """Partitions of rows (bucket, fp, side, and `node` if another), sorted by bucket, to links between nodes."""
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
-        fp = rows["fp"].to_numpy().view(np.uint64)
+        fp, nodes = rows["fp"].to_numpy().view(np.uint64), rows[node].to_numpy()
         bucket = rows["bucket"].to_numpy()
         pop, side = np.bitwise_count(fp).astype(np.int64), rows["side"].to_numpy()
         group = np.cumsum(np.concatenate(([0], bucket[1:] != bucket[:-1])))
         order = np.lexsort((pop, group))
-        fp, pop, group, side = fp[order], pop[order], group[order], side[order]
+        fp, nodes, pop, group, side = fp[order], nodes[order], pop[order], group[order], side[order]
         (a,), (b,) = forest(len(fp), *tile_links(fp, pop, group, side, radius))
-        return pd.DataFrame({"a": fp[a].view(np.int64), "b": fp[b].view(np.int64)})
+        return pd.DataFrame({"a": nodes[a], "b": nodes[b]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -147,14 +147,18 @@ def _compare(radius: int):
     return run
 
 
-def linked(fingerprints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Links (a, b) that join every pair of distinct `fp` within `radius` bits, directly or by others."""
-    masks = block_masks(radius)
-    keyed = fingerprints.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("t", "key"))
-    sizes = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    rows = keyed.join(sizes, ["t", "key"])
+def linked(fingerprints: DataFrame, radius: int = RADIUS, tile: int = TILE, node: str = "fp") -> DataFrame:
+    """Links (a, b) that join every pair of distinct `fp` within `radius` bits, directly or by others.
+
+    a and b are values of the column `node`, of which each fingerprint has one.
+    """
+    columns = list(dict.fromkeys(("fp", node)))
+    masks = [F.col("fp").bitwiseAND(F.lit(m)) for m in block_masks(radius)]
+    keyed = fingerprints.select(*columns, F.explode(F.array(*(F.xxhash64(F.lit(t), key) for t, key in enumerate(masks)))).alias("key"))
+    sizes = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    rows = with_group(keyed, sizes, "key", "n")
     pop, parts = F.bit_count("fp").cast("long"), F.ceil(F.col("n") / F.lit(tile))
-    one = F.array(F.struct(F.xxhash64("t", "key").alias("bucket"), F.lit(0).alias("side")))
+    one = F.array(F.struct(F.col("key").alias("bucket"), F.lit(0).alias("side")))
     # A tile of a large bucket: rows of one population count, dealt by a hash.  It meets each tile no more than `radius` counts away.
     own = F.pmod(F.xxhash64("fp"), parts)
 
@@ -164,35 +168,35 @@ def linked(fingerprints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> D
         lo, lo_s = F.when(first, p).otherwise(pop), F.when(first, s).otherwise(own)
         hi, hi_s = F.when(first, pop).otherwise(p), F.when(first, own).otherwise(s)
         side = F.when(same, F.lit(0)).when(first, F.lit(2)).otherwise(F.lit(1))
-        return F.struct(F.xxhash64("t", "key", lo, lo_s, hi, hi_s).alias("bucket"), side.alias("side"))
+        return F.struct(F.xxhash64("key", lo, lo_s, hi, hi_s).alias("bucket"), side.alias("side"))
 
     many = F.flatten(F.transform(F.sequence(pop - radius, pop + radius), lambda p: F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda s: pair(p, s))))
-    rows = rows.select("fp", F.explode(F.when(F.col("n") <= tile, one).otherwise(many)).alias("at")).select("at.bucket", "fp", "at.side")
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_compare(radius), "a long, b long").distinct()
+    rows = rows.select(*columns, F.explode(F.when(F.col("n") <= tile, one).otherwise(many)).alias("at")).select("at.bucket", *columns, "at.side")
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_compare(radius, node), "a long, b long").distinct()
 
 
 def components(links: DataFrame, name: str = "links") -> DataFrame:
     """(node, root) for every node of the links (a, b): root is the smallest node reachable.
 
-    Alternating large-star and small-star contraction; each round is staged in
-    the shared folder, so a lost executor costs at most one round.  Minima of
-    neighbours are summed before they shuffle.
+    Alternating large-star and small-star contraction until every node hangs on
+    its root alone.  Minima of neighbours are summed before they shuffle, and
+    nodes with many neighbours get theirs by broadcast, so that no task holds all
+    links of one.  Each round is staged in the shared folder: a lost executor
+    costs at most one round.
     """
     edges = staged(links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).filter("u <> v").distinct(), name)
-    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("m").alias("u"), "v").filter("u <> v").distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        joined = large.join(least, "v")
-        small = joined.select(F.col("m").alias("u"), "v").unionByName(joined.filter("u <> m").select(F.col("m").alias("u"), F.col("u").alias("v"))).distinct()
-        edges = staged(small, name)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+        near = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"), F.count_if(F.col("v") < F.col("u")).alias("up"))
+        near = staged(near, name)
+        if near.filter("up > 1 or (up = 1 and n > 1)").isEmpty():
+            return near.select(F.col("u").alias("node"), F.col("m").alias("root"))
+        large = with_group(both, near.select("u", "m", "n"), "u", "n").filter("v > u").select(F.col("m").alias("u"), "v")
+        large = staged(large.filter("u <> v").distinct(), name)
+        near = staged(large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")), name)
+        joined = with_group(large, near, "v", "n")
+        small = joined.select(F.explode(F.when(F.col("u") == F.col("m"), F.array("v")).otherwise(F.array("v", "u"))).alias("v"), F.col("m").alias("u"))
+        edges = staged(small.select("u", "v").distinct(), name)
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
@@ -208,14 +212,14 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small_batches(docs.sparkSession)
     of = fingerprint_column(words)
     rows = staged(docs.select(F.col(id_col).alias("doc_id"), of(F.col(text_col)).alias("fp")), "fingerprints")
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    least = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "distinct-fingerprints")
     roots = components(linked(least.select("fp"), radius, tile), "simhash-links")
-    grouped = least.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_fp = grouped.join(smallest, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    grouped = least.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
+    grouped = staged(grouped, "fingerprint-roots")
+    smallest = staged(grouped.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("fps")), "fingerprint-components")
+    of_fp = staged(with_group(grouped, smallest, "root", "fps").select("fp", "component_id", "n"), "fingerprint-groups")
+    return with_group(rows, of_fp, "fp", "n").select("doc_id", "fp", "component_id")
 
 
 def as_hex(fp) -> object:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
-

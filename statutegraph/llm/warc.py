@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
-from .common import shared_dir, staged
+from ..storage import new_path
+from .common import staged
 from .exact import hash_of, may_repeat
 
 SCHEMA = (
@@ -274,7 +275,7 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     revisits, which hold none).  An empty table gives no rows.
     """
     spark = pages.sparkSession
-    path = f"{shared_dir(spark)}/statutegraph/warc-{uuid.uuid4().hex}"
+    path = new_path(spark, "warc")
     write_archive(page_records(pages), path)
     of = lambda c: F.nullif(F.substring_index(c, ":", -1), F.lit("")).cast("long")
     return read_archive(spark, path).select(
