@@ -46,8 +46,9 @@ def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    ordered = mixed.withColumn("_first", F.get("positions", 0)).repartitionByRange(F.col("_first").asc_nulls_last(), F.col("doc_id")).sortWithinPartitions(F.col("_first").asc_nulls_last(), "doc_id")
-    return ordered.select("doc_id", "size", "source_size", "target", "taken")
+    first = F.get("positions", 0)
+    out = mixed.select("doc_id", "size", "source_size", "target", "taken", F.size("positions").alias("copies"), first.alias("first_position"), F.element_at(F.when(first.isNotNull(), F.col("positions")), -1).alias("last_position"))
+    return out.repartitionByRange(F.col("first_position").asc_nulls_last(), F.col("doc_id")).sortWithinPartitions(F.col("first_position").asc_nulls_last(), "doc_id")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,18 +126,25 @@ ORACLES = {
     "op7_mixing": rf"""
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size, md5('mix|' || doc_id) AS draw FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
-        w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
+        w AS (SELECT *, CASE turn WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn FROM s)),
         l AS (SELECT *, 3 * source_size AS cap,
                      (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER o, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0))::DOUBLE AS level
               FROM w WINDOW o AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-        t AS (SELECT source, source_size, CASE WHEN final IS NULL THEN cap::DOUBLE ELSE least(cap::DOUBLE, final * weight) END AS target
+        t AS (SELECT source, source_size, turn, CASE WHEN final IS NULL THEN cap::DOUBLE ELSE least(cap::DOUBLE, final * weight) END AS target
               FROM l, (SELECT max(level) FILTER (cap > level * weight) AS final FROM l)),
-        c AS (SELECT d.*, t.source_size, t.target, round(t.target)::BIGINT AS due,
+        c AS (SELECT d.*, t.source_size, t.target, t.turn, round(t.target)::BIGINT AS due,
                      coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY draw, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
-              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-        SELECT doc_id, size, source_size, target,
-               (CASE WHEN size = 0 THEN 0 ELSE size * (due // source_size) + greatest(0, least(size, due % source_size - before)) END)::BIGINT AS taken
-        FROM c""",
+              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        k AS (SELECT *, CASE WHEN size = 0 THEN 0 ELSE (due // source_size)::BIGINT END AS passes,
+                     CASE WHEN size = 0 THEN 0 ELSE greatest(0, least(size, due % source_size - before)) END AS rest,
+                     CASE turn WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 0.5::DOUBLE ELSE 0.2::DOUBLE END AS r0,
+                     CASE turn WHEN 0 THEN -1::DOUBLE WHEN 1 THEN 1::DOUBLE ELSE 1.6::DOUBLE END AS slope FROM c),
+        n AS (SELECT *, (passes + (rest > 0)::INT)::INT AS copies,
+                     greatest(0, least(1, before::DOUBLE / target)) AS x0, greatest(0, least(1, (before + (passes + (rest > 0)::INT - 1) * source_size)::DOUBLE / target)) AS x1 FROM k)
+        SELECT doc_id, size, source_size, target, (size * passes + rest)::BIGINT AS taken, copies,
+               CASE WHEN copies > 0 THEN CASE WHEN x0 <= 0 THEN 0 ELSE least(1, 2 * x0 / (r0 + sqrt(r0 * r0 + 2 * slope * x0))) END END AS first_position,
+               CASE WHEN copies > 0 THEN CASE WHEN x1 <= 0 THEN 0 ELSE least(1, 2 * x1 / (r0 + sqrt(r0 * r0 + 2 * slope * x1))) END END AS last_position
+        FROM n""",
     "op8_decontaminate": rf"""
         WITH b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}_]+') AS w FROM benchmark),
         s AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS sh FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b WHERE len(w) >= 5)),

@@ -73,8 +73,8 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     """Every row's place: id, size, text_crc32, law, shard, slot, grown_shard, curve.
 
     Law `rows`: shards take runs of the curve whose counts are at most one apart,
-    the first ones the larger.  Rows of one cell follow by id, checksum and size,
-    so that a cell with a third of all rows is cut like any other.  Dimensions:
+    the first ones the larger.  Rows of one cell follow by id, checksum, size and
+    place in the input, so that a cell with a third of all rows is cut like any other.  Dimensions:
     the columns `dims` by the order of their values (nulls last) and the magnitude
     of the size.  A null text has size 1 and checksum 0; repeated rows get slots
     of their own; an empty table gives none; fewer rows than shards fill the
@@ -85,6 +85,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
         F.col(id_col).alias("doc_id"),
         size_of(F.col(text_col)).alias("size"),
         checksum_of(F.col(text_col)).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("tie"),
         *(F.col(d).cast("string").alias(f"_d{i}") for i, d in enumerate(dims)),
     )
     rows = staged(rows, "shard-sizes")
@@ -92,8 +93,8 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
         codes = ordinal_codes(rows.select(F.col(f"_d{i}").alias("_v")), f"codes-{i}")
         rows = rows.join(codes, F.col(f"_d{i}").eqNullSafe(F.col("_v")), "left").drop(f"_d{i}", "_v").withColumnRenamed("_code", f"_c{i}")
     rows = with_hilbert_index(rows.withColumn("_size", magnitude(F.col("size"))), [*(f"_c{i}" for i in range(len(dims))), "_size"])
-    rows = rows.select("doc_id", "size", "text_crc32", F.col("_curve").alias("curve"))
-    placed, total = ranked(rows, [F.col("curve"), F.col("doc_id").asc_nulls_last(), F.col("text_crc32"), F.col("size")], "hilbert")
+    rows = rows.select("doc_id", "size", "text_crc32", "tie", F.col("_curve").alias("curve"))
+    placed, total = ranked(rows, [F.col("curve"), F.col("doc_id").asc_nulls_last(), F.col("text_crc32"), F.col("size"), F.col("tie")], "hilbert")
     few, more = divmod(total, shards)
     wide = more * (few + 1)  # rows of the larger shards
     r = F.col("_rank")
@@ -105,9 +106,19 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
 
 
 def sharded(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """Whole rows of `docs` as the struct `doc` with `shard`, `slot` and `curve`, laid out in that order."""
+    """Whole rows of `docs` as the struct `doc` with `shard`, `slot` and `curve`, laid out in that order.
+
+    Nulls, empty and very long texts, ties, repeated rows and empty tables are as
+    in hilbert_shards(); columns of `docs` may have any name, as they travel in
+    the struct.
+    """
     placed = hilbert_shards(docs, shards, id_col, text_col, **how)
     own = row_key(F.col(id_col), size_of(F.col(text_col)), checksum_of(F.col(text_col)))
     rows = attached(docs, own, placed, row_key(F.col("doc_id"), F.col("size"), F.col("text_crc32")), F.struct("shard", "slot", "curve"))
     rows = rows.select("doc", "got.shard", "got.slot", "got.curve")
     return rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+
+
+def write_shards(placed: DataFrame, path: str) -> None:
+    """Rows with a column `shard` as Parquet, a folder for each shard: no file straddles two."""
+    placed.write.partitionBy("shard").parquet(path)

@@ -6,8 +6,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from frames import AWKWARD, documents
-from statutegraph.llm import exact, mixing, sharding
+from statutegraph.llm import common, exact, mixing, sharding
 
 # ---------------------------------------------------------------- exact duplicates
 
@@ -69,6 +71,35 @@ def test_hilbert_curve_is_a_walk_of_single_steps(spark, dims, bits):
     assert all(sum(abs(a - b) for a, b in zip(at[i], at[i + 1])) == 1 for i in range(len(cells) - 1))
 
 
+def curve_of(cell, bits):
+    """The index of a cell by numbers: inverse turns of each level, Gray code, then bits interleaved."""
+    x, n = list(cell), len(cell)
+    for q in (1 << b for b in range(bits - 1, 0, -1)):
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0], x[i] = x[0] ^ t, x[i] ^ t
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t = 0
+    for q in (1 << b for b in range(bits - 1, 0, -1)):
+        if x[-1] & q:
+            t ^= q - 1
+    return int("".join(str((v ^ t) >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def test_curve_of_documents_equals_numbers(spark):
+    """More values than codes in one dimension, nulls in two, sizes over many magnitudes."""
+    rows = [(i, "x" * (i * i), ("en", "de", None)[i % 3], f"s{i % 90:02d}" if i % 7 else None) for i in range(300)]
+    order = lambda at: {v: i for i, v in enumerate(sorted({r[at] for r in rows}, key=lambda v: (v is None, v or "")))}
+    sources, langs = order(3), order(2)
+    magnitude = lambda n: min(63, 2 * ((n + 1).bit_length() - 1) + int(bin(n + 1)[3:4] == "1"))
+    want = {r[0]: curve_of((sources[r[3]] * 64 // len(sources), langs[r[2]] * 64 // len(langs), magnitude(len(r[1]) + 1)), 6) for r in rows}
+    assert {r.doc_id: r.curve for r in sharding.hilbert_shards(documents(spark, rows)).collect()} == want
+
+
 def check_shards(rows, got, shards=16):
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
     counts = Counter(r.shard for r in got)
@@ -161,14 +192,49 @@ def test_mix_of_nothing_and_of_no_words(spark):
 
 @pytest.mark.parametrize("slope", [-1.0, -0.5, 0.0, 0.8, 1.0])
 def test_positions_invert_the_demand(spark, slope):
-    from pyspark.sql import functions as F
-
     target = 1000.0
     rows = spark.createDataFrame([(float(w),) for w in range(0, 1001, 50)], "w double")
-    for r in rows.select("w", mixing.position_at(F.col("w"), F.lit(target), F.lit(slope)).alias("t")).collect():
+    for r in rows.select("w", mixing.position_at(F.col("w"), F.lit(target), ((0, 1 - slope), (1, 1 + slope))).alias("t")).collect():
         assert math.isclose(target * (r.t + slope * (r.t * r.t - r.t)), r.w, abs_tol=1e-6)
 
 
+@pytest.mark.parametrize("schedule", [((0, 1), (0.25, 3), (0.5, 0), (1, 2)), ((0, 0), (0.3, 0), (0.6, 5), (1, 0)), ((0, 2), (1, 2))])
+def test_positions_invert_any_schedule(spark, schedule):
+    """The integral of the rate up to the position, by many small steps, is the share of words that are due."""
+    import numpy as np
+
+    at = np.linspace(0, 1, 200_001)
+    rate = np.interp(at, [t for t, _ in schedule], [r for _, r in schedule])
+    demand = np.concatenate(([0], np.cumsum((rate[1:] + rate[:-1]) / 2)))
+    demand /= demand[-1]
+    rows = spark.createDataFrame([(float(w),) for w in range(0, 1001, 25)], "w double")
+    for r in rows.select("w", mixing.position_at(F.col("w"), F.lit(1000.0), schedule).alias("t")).collect():
+        assert 0 <= r.t <= 1 and math.isclose(np.interp(r.t, at, demand), r.w / 1000, abs_tol=1e-4)
+
+
+def test_no_schedule_is_an_error():
+    for bad in (((0, 0), (1, 0)), ((0, 1), (0.5, 1)), ((0, -1), (1, 3)), ((0, 1), (0, 2), (1, 1))):
+        with pytest.raises(ValueError):
+            mixing.position_at(F.lit(1.0), F.lit(2.0), bad)
+
+
+def test_a_source_may_have_its_own_schedule(spark):
+    rows = [(i, "w " * 10, "en", f"s{i % 2}") for i in range(100)]
+    late = ((0, 0), (0.9, 0), (1, 1))
+    got = mixing.mix(documents(spark, rows), of_source={"s1": late}).collect()
+    assert all(r.positions[-1] >= 0.9 for r in got if r.source == "s1" and r.taken) and any(r.positions[0] < 0.5 for r in got if r.source == "s0" and r.taken)
+
+
+@pytest.mark.parametrize("most", [0, 1, 1000])
+def test_rows_that_repeat_a_key_get_a_decision_each(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "REPEATS", most)
+    docs = spark.createDataFrame([(i % 3, f"t{i}") for i in range(12)] + [(None, "n")] * 5, "id long, text string")
+    decided = spark.createDataFrame([(i % 3, i) for i in range(12)] + [(None, 100 + i) for i in range(5)], "id long, at long")
+    got = common.attached(docs, common.row_key(F.col("id")), decided, common.row_key(F.col("id")), F.col("at")).select("doc.*", "got").collect()
+    assert Counter(r.got for r in got) == Counter([*range(12), *range(100, 105)]) and Counter(r.text for r in got)["n"] == 5
+    assert all((r.id is None) == (r.got >= 100) and (r.id is None or r.got % 3 == r.id) for r in got)
+
+
 def test_copies_come_in_order_of_position(spark):
     rows = [(i, "w " * (1 + i % 7), "en", f"s{i % 4}") for i in range(200)]
     rows += AWKWARD + [(7, "one more word with that id here", "en", "a")]
@@ -179,6 +245,14 @@ def test_copies_come_in_order_of_position(spark):
     assert Counter((r.doc_id, words(r.text)) for r in got) == sum((Counter({(r.doc_id, r["size"]): len(r.positions)}) for r in mixed), Counter())
 
 
+def test_shards_are_written_apart(spark, tmp_path):
+    docs = documents(spark, [(i, f"t{i}", "en", f"s{i % 4}") for i in range(200)])
+    sharding.write_shards(sharding.sharded(docs, shards=5).select("shard", "slot", "doc.doc_id"), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {p.name for p in (tmp_path / "out").iterdir() if p.is_dir()} == {f"shard={i}" for i in range(5)}
+    assert Counter(r.shard for r in back.collect()) == Counter(dict.fromkeys(range(5), 40))
+
+
 def test_sharded_rows_are_whole(spark):
     rows = AWKWARD + [(7, "another text with that id", "en", "a")]
     docs = documents(spark, rows, clashing=True)
