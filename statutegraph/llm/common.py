@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -159,37 +161,40 @@ def powers(n: int, base: int = 0x100000001B3) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+@cache
 def _word_table() -> np.ndarray:
-    """True for bytes of words: ASCII letters, digits, underscore, and all of non-ASCII."""
-    t = np.zeros(256, dtype=bool)
-    t[0x80:] = True
-    for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_":
-        t[c] = True
-    return t
-
-
-_IS_WORD = _word_table()
+    """True for the code points of words: letters, marks and digits of any script, and the underscore."""
+    return np.array([unicodedata.category(chr(c))[0] in "LMN" or c == 0x5F for c in range(0x110000)], dtype=bool)
+
+
+def _in_words(data: np.ndarray) -> np.ndarray:
+    """For each byte of UTF-8 whether it belongs to a character of words."""
+    table = _word_table()
+    inside = table[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return inside
+    inside[data >= 0x80] = False
+    first = data[lead].astype(np.int64)
+    width = 2 + (first >= 0xE0) + (first >= 0xF0)
+    code = first & (0xFF >> (width + 1))
+    for k in (1, 2, 3):
+        at = np.minimum(lead + k, len(data) - 1)
+        code = np.where(width > k, code << 6 | data[at] & 0x3F, code)
+    good = table[np.minimum(code, 0x10FFFF)]
+    for k in (0, 1, 2, 3):
+        at = lead[good & (width > k)] + k
+        inside[at[at < len(data)]] = True
+    return inside
 
 
 def word_spans(data: np.ndarray, *, punctuation: bool) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words in UTF-8 bytes.
 
     punctuation=False: words lie between ASCII white space.  True: words are
-    runs of letters and digits; ASCII signs and the blocks Latin-1 signs
-    (C2 xx), general punctuation (E2 80/81 xx) and CJK signs (E3 80 xx) part them.
+    runs of letters, marks and digits by their Unicode category, and underscores.
     """
-    if punctuation:
-        inside = _IS_WORD[data]
-        for lead, seconds, width in ((0xC2, None, 2), (0xE2, (0x80, 0x81), 3), (0xE3, (0x80,), 3)):
-            at = np.flatnonzero(data == lead)
-            if len(at):
-                at = at[at + width <= len(data)]
-                if seconds is not None:
-                    at = at[np.isin(data[at + 1], seconds)]
-                for k in range(width):
-                    inside[at + k] = False
-    else:
-        inside = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
+    inside = _in_words(data) if punctuation else ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
     edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 

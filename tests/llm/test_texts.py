@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from frames import AWKWARD, LONG, documents, with_clashes
-from statutegraph.llm import decontam, langid, neardup, queries, simhash
+from statutegraph.llm import common, decontam, langid, neardup, queries, simhash
 
 # ---------------------------------------------------------------- SimHash
 
@@ -183,14 +183,16 @@ def test_contained_items_equal_brute_force(spark, clashing, block):
         (52, "one two three four five six seven eight nine x ten"),
         (53, "one two three x four five six seven eight nine ten"),
         (54, "alpha beta gamma delta epsilon zeta " * 3),
+        (55, "one，two→three😀four five。six€seven …eight nine\u3000ten"),
+        (56, "oneµtwo three four five six seven²eight nine ten"),
     ]
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     docs = documents(spark, rows, clashing)
     got = decontam.contained_items(docs, with_clashes(items) if clashing else items, block_bytes=block)
     assert Counter((r.doc_id, r.item_id, r.matched, r.shingles) for r in got.collect()) == brute_contained(rows, ITEMS)
     clean = decontam.without_contaminated(docs, items, block_bytes=block)
-    assert clean.columns == docs.columns and not {50, 51, 52, 54} & {r.doc_id for r in clean.select("doc_id").collect()}
-    assert clean.count() == len(rows) - 4
+    assert clean.columns == docs.columns and not {50, 51, 52, 54, 55} & {r.doc_id for r in clean.select("doc_id").collect()}
+    assert clean.count() == len(rows) - 5
 
 
 def test_contained_items_of_nothing(spark):
@@ -206,13 +208,35 @@ def test_sketch_finds_every_item_at_the_threshold():
         n = int(rng.integers(5, 60))
         w = [f"w{i}" for i in range(n)]
         index = decontam.build([(1, " ".join(w))])
-        need = decontam.needed(len(index.shingles[0]), 0.8)
-        cut = n - (len(index.shingles[0]) - need)  # so many words hold exactly the needed shingles
-        data = " ".join(w[:cut]).encode()
-        from statutegraph.llm.common import hashed_texts
+        shingles = n - 4
+        need = decontam.needed(shingles, 0.8)
+        data = " ".join(w[: n - (shingles - need)]).encode()  # holds exactly the needed shingles
+        (h,) = common.hashed_texts([data], 5, punctuation=True)
+        assert index.matches(h, data) == [(1, need, shingles)]
+        (h,) = common.hashed_texts([data.rpartition(b" ")[0]], 5, punctuation=True)
+        assert index.matches(h, data) == []
 
-        (h,) = hashed_texts([data], 5, punctuation=True)
-        assert index.matches(h, data) == [(1, need, len(index.shingles[0]))]
+
+def test_items_of_a_size_meet_only_texts_that_can_hold_them():
+    items = [(n, " ".join(f"s{n}w{i}" for i in range(n))) for n in (5, 12, 40, 200, 1500)]
+    index = decontam.build(items)
+    assert len(index.classes) == 5 and [c.least for c in index.classes] == [decontam.needed(n - 4, 0.8) for n, _ in items]
+    for n, text in items:
+        (h,) = common.hashed_texts([text.encode()], 5, punctuation=True)
+        assert index.matches(h, text.encode()) == [(n, n - 4, n - 4)]
+        assert all(not len(c.near(h)) for c in index.classes if c.least > len(h))
+
+
+WORDS_OF_ALL_KINDS = ["二，三 四、五", "a→b €5 x²", "emoji😀word 😀", "µm naïve e\u0301te\u0301", "々 ー ｱ", "۱۲۳ ½", "a_b-c d\u00a0e\u2028f", "\U00020000\U0001d7ce", "", "don’t «so»", "ქართული ไทย हिन्दी"]
+
+
+@pytest.mark.parametrize("text", [*WORDS_OF_ALL_KINDS, " ".join(WORDS_OF_ALL_KINDS)])
+def test_words_are_runs_of_letters_marks_and_digits(text):
+    import regex
+
+    data = text.encode()
+    starts, ends = common.word_spans(np.frombuffer(data, dtype=np.uint8), punctuation=True)
+    assert [data[a:b].decode() for a, b in zip(starts, ends)] == regex.findall(r"[\p{L}\p{M}\p{N}_]+", text)
 
 
 # ---------------------------------------------------------------- language
