@@ -18,15 +18,20 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import fresh, small_batches
 
 FEATURES = 1 << 12
-#: Documents learnt from for each language, at most; chosen by a hash of the id.
+#: Documents learnt from for each language, at most, and for all languages together; chosen
+#: by a hash of the id.  With LEAST_DOCS a language the sum bounds what comes to the driver.
 TRAIN_DOCS = 400
+TRAIN_TOTAL = 6000
+LEAST_DOCS = 20
 MAX_BITS = 31
 RIDGE = 3.0
 #: The second best is ambiguous if it is less likely by less than this.
 AMBIGUOUS = 0.05
+#: Loss of a text that says nothing of any bit.  One with as much against its nearest codeword is in no language learnt.
+NO_EVIDENCE = 1.0
 #: Bytes of a text whose n-grams are counted at once.
 CHUNK = 1 << 20
 
@@ -90,20 +95,20 @@ class Model:
         margins = x @ self.weights[:-1] + self.weights[-1]
         return np.array([(self.reliable * np.maximum(0.0, 1.0 - word * margins)).sum() for word in self.code])
 
-    def predict(self, text: str | None) -> tuple[str, float, bool]:
+    def predict(self, text: str | None) -> tuple[str, float, bool, float]:
         if text is None or not self.languages or not _LETTER.search(text):
-            return "und", 0.0, False
+            return "und", 0.0, False, NO_EVIDENCE
         if len(self.languages) == 1:
-            return self.languages[0], 1.0, False
+            return self.languages[0], 1.0, False, 0.0
         losses = self.losses(ngram_counts(text))
         shares = np.exp(4.0 * (losses.min() - losses))
         shares /= shares.sum()
         first, second = np.argsort(-shares, kind="stable")[:2]
-        return self.languages[first], float(min(1.0, shares[first])), bool(shares[first] - shares[second] < AMBIGUOUS)
+        return self.languages[first], float(min(1.0, shares[first])), bool(shares[first] - shares[second] < AMBIGUOUS), float(losses.min())
 
 
 def train(languages: list[str], x: np.ndarray, y: np.ndarray) -> Model:
-    """Ridge regression of every bit on the features, by its dual (few rows)."""
+    """Ridge regression of every bit on the features, by its dual where there are fewer rows than features."""
     code = codewords(len(languages)) if len(languages) > 1 else np.ones((len(languages), 1))
     if len(languages) < 2:
         return Model(languages, code, np.zeros((FEATURES + 1, code.shape[1])), np.ones(code.shape[1]))
@@ -112,10 +117,12 @@ def train(languages: list[str], x: np.ndarray, y: np.ndarray) -> Model:
     rare = 1.0 / np.bincount(y, minlength=len(languages))[y]  # languages count alike, whatever their rows
     rare = np.sqrt(rare / rare.mean())[:, None]
     base = (rare * rare * target).mean(axis=0) / (rare * rare).mean()
-    k = (rare * centred) @ (rare * centred).T
-    scale = np.trace(k) / len(k)
-    dual = np.linalg.solve(k + RIDGE * 1e-3 * max(scale, 1e-12) * np.eye(len(k)), rare * (target - base))
-    weights = (rare * centred).T @ dual
+    a, b = rare * centred, rare * (target - base)
+    ridge = RIDGE * 1e-3 * max((a * a).sum() / len(a), 1e-12)
+    if len(a) <= a.shape[1]:
+        weights = a.T @ np.linalg.solve(a @ a.T + ridge * np.eye(len(a)), b)
+    else:
+        weights = np.linalg.solve(a.T @ a + ridge * np.eye(a.shape[1]), a.T @ b)
     bias = base - mean @ weights
     wrong = (np.sign(x @ weights + bias) != target).mean(axis=0)
     wrong = (wrong * len(x) + 1) / (len(x) + 2)
@@ -128,12 +135,13 @@ def is_held_out(id_text):
     return F.coalesce(F.crc32(id_text.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS) -> Model:
-    """Learn from about `train_docs` rows of each language, outside the held-out quarter.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS, train_total: int = TRAIN_TOTAL) -> Model:
+    """Learn from about `train_docs` rows of each language, `train_total` of all, outside the held-out quarter.
 
     Rows are chosen where a hash of the id falls under the language's share, so
     that reruns agree.  Sparse n-gram counts of those rows, of their whole texts,
-    are all that comes to the driver.  Rows without text, letter or label teach
+    are all that comes to the driver; it solves for the smaller of rows and
+    features, so that its memory does not grow with the languages.  Rows without text, letter or label teach
     nothing; without any labelled row the model knows no language.
     """
     small_batches(docs.sparkSession)
@@ -142,7 +150,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not counts:
         return Model([], np.ones((0, 1)), np.zeros((FEATURES + 1, 1)), np.ones(1))
-    languages = sorted(counts)
+    train_docs = min(train_docs, max(LEAST_DOCS, train_total // len(counts)))
     share = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min(1.0, train_docs / n))) for k, n in sorted(counts.items())))
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = known.filter(draw < F.element_at(share, F.col("lang"))).select("lang", "text", "id")
@@ -168,19 +176,19 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def predict_column(spark, model: Model):
-    """A pandas UDF: text to struct<lang_pred, score, ambiguous>."""
+    """A pandas UDF: text to struct<lang_pred, score, ambiguous, loss>."""
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # FEATURES x at most MAX_BITS numbers
 
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean, loss double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score", "ambiguous"])
+        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score", "ambiguous", "loss"])
 
     return predict
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, lang_pred, score, ambiguous for every row.
+    """doc_id, held_out, lang_pred, score, ambiguous, loss for every row.
 
     A null text, or one without a letter, is `und` with score 0; so is everything
     where the model knows no language.  The prediction sees the text alone, all
@@ -189,4 +197,21 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """
     predict = predict_column(docs.sparkSession, model)
     rows = docs.select(F.col(id_col).alias("doc_id"), is_held_out(F.col(id_col)).alias("held_out"), predict(F.col(text_col)).alias("_p"))
-    return rows.select("doc_id", "held_out", "_p.lang_pred", "_p.score", "_p.ambiguous")
+    return rows.select("doc_id", "held_out", "_p.lang_pred", "_p.score", "_p.ambiguous", "_p.loss")
+
+
+def in_a_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose text is in a language that the model knows, with all their columns.
+
+    Texts without a letter go, null and empty ones too, and texts whose nearest
+    codeword has as much against it as one of which nothing is known; ambiguous
+    ones stay.  Very long texts are looked at whole; repeated rows are judged
+    alike; an empty table gives none.  A model that knows no language judges by
+    letters alone.
+    """
+    if not model.languages:
+        return docs.filter(F.coalesce(F.col(text_col), F.lit("")).rlike(r"\p{L}"))
+    predict = predict_column(docs.sparkSession, model)
+    (at,) = fresh(docs, "language")
+    judged = docs.withColumn(at, predict(F.col(text_col)))
+    return judged.filter((F.col(at)["lang_pred"] != "und") & (F.col(at)["loss"] < NO_EVIDENCE)).select(docs.columns)

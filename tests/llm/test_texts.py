@@ -284,3 +284,54 @@ def test_counts_do_not_depend_on_the_cut(monkeypatch):
     whole = langid.ngram_counts(text)
     monkeypatch.setattr(langid, "CHUNK", 7)
     assert np.allclose(whole, langid.ngram_counts(text))
+
+
+def test_decoding_equals_a_plain_loop():
+    """Margins, losses weighted by reliability and the nearest codeword, recomputed number by number."""
+    import math
+
+    texts = [(f"the cat number {i} sat", "en") for i in range(9)] + [(f"le chat numéro {i} est", "fr") for i in range(9)] + [(f"die Katze Nummer {i} ist", "de") for i in range(9)]
+    langs = ["de", "en", "fr"]
+    model = langid.train(langs, np.array([langid.ngram_counts(t) for t, _ in texts]), np.array([langs.index(x) for _, x in texts]))
+    for text in ("the dog", "un chien est ici", "Hund", "xyz"):
+        x = langid.ngram_counts(text)
+        margins = [sum(float(a) * float(b) for a, b in zip(x, model.weights[:-1, k]) if a) + float(model.weights[-1, k]) for k in range(model.code.shape[1])]
+        losses = [sum(float(r) * max(0.0, 1.0 - float(c) * m) for r, c, m in zip(model.reliable, word, margins)) for word in model.code]
+        lang, score, ambiguous, loss = model.predict(text)
+        shares = [math.exp(4 * (min(losses) - v)) for v in losses]
+        assert lang == langs[losses.index(min(losses))] and math.isclose(loss, min(losses), abs_tol=1e-9)
+        assert math.isclose(score, max(shares) / sum(shares), abs_tol=1e-9)
+        top = sorted(shares)[::-1]
+        assert ambiguous == ((top[0] - top[1]) / sum(shares) < langid.AMBIGUOUS)
+
+
+def test_rows_beyond_features_give_the_same_weights(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(langid, "FEATURES", 12)
+    x, y = rng.random((30, 12)), np.arange(30) % 3
+    primal = langid.train(["a", "b", "c"], x, y)
+    wide = langid.train(["a", "b", "c"], np.hstack([x, np.zeros((30, 40))]), y)  # more features than rows: solved by the dual
+    assert np.allclose(primal.weights[:-1], wide.weights[:12]) and np.allclose(primal.weights[-1], wide.weights[-1])
+
+
+def test_texts_against_every_codeword_go_and_labelled_ones_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.fit(docs)
+    import regex
+
+    letters = {r.doc_id for r in docs.collect() if r.text and regex.search(r"\p{L}", r.text)}
+    assert {r.doc_id for r in langid.in_a_language(docs, model).collect()} == letters
+    far = langid.Model(model.languages, model.code, -model.weights, model.reliable)  # says the opposite of what it knows
+    assert langid.in_a_language(docs, far).count() < len(letters)
+
+
+def test_the_sample_is_bounded_over_all_languages(spark):
+    rows = [(i, f"wort{i % 50} text{i} lang{i % 10}", f"l{i % 10}") for i in range(2000)]
+    seen = []
+    real = langid.train
+    langid.train = lambda languages, x, y: seen.append(len(x)) or real(languages, x, y)
+    try:
+        langid.fit(documents(spark, rows), train_total=300)
+    finally:
+        langid.train = real
+    assert 200 < seen[0] < 420
