@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from statutegraph.llm import decontam, langid, mixing, neardup, sharding
 from statutegraph.llm.common import staged
@@ -13,34 +12,63 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows stay; those without a letter go."""
-    model = langid.fit(docs)
-    predict = langid.predict_column(spark, model)
-    if not model.languages:  # nothing was labelled: only texts without a letter are known to be none
-        return docs.filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    return docs.filter(predict(F.col("text"))["lang_pred"] != "und")
+    """Documents in a language that the model knows stay; those without a letter or far from every codeword go.
+
+    Null and empty texts go; a null language teaches nothing; very long texts are
+    looked at whole; ambiguous ones stay; repeated rows are judged alike; an empty
+    table gives none; columns may have any name.
+    """
+    return langid.in_a_language(docs, langid.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the smallest doc_id."""
+    """One document of each group of near copies stays: that with the smallest doc_id.
+
+    Rows with a null id stay; null, empty and wordless texts are copies of each
+    other; very long texts are compared whole; of rows that repeat id and text one
+    stays, of texts under one id that of the smallest digest; an empty table gives
+    none; columns may have any name.
+    """
     return neardup.without_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain an item of the benchmark go."""
+    """Documents that contain an item of the benchmark go.
+
+    Null and empty texts contain nothing; very long ones are searched whole;
+    repeated rows go or stay alike; an empty table gives none, and an empty
+    benchmark leaves all; columns may have any name.
+    """
     return decontam.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source's documents as often as the mix takes them, in training order."""
+    """Each source's documents as often as the mix takes them, in training order.
+
+    A null source is one source; texts without a word, null ones too, are not
+    taken; very long ones are taken like others; ties in position follow by id;
+    repeated rows count each; an empty table gives none; columns may have any name.
+    """
     return mixing.training_order(docs, whole=True).select("doc.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and slot along the Hilbert curve."""
-    placed = sharding.sharded(docs)
-    own = ("shard", "slot", "curve")
-    return placed.select(*(F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in own), *own)
+    """Documents with their shard, slot and curve index along the Hilbert curve.
+
+    Nulls come last in each dimension; a null text has size 1; very long ones are
+    placed by size like others; ties follow by id, checksum and size; repeated
+    rows get slots of their own; an empty table gives none.  Columns of the
+    documents stay: where one is named like a new one, the new one gets a trailing
+    underscore.
+    """
+    taken = {c.lower() for c in docs.columns}
+    names = []
+    for name in ("shard", "slot", "curve"):
+        while name in taken:
+            name += "_"
+        names.append(name)
+    placed = sharding.sharded(docs).toDF("doc", *names)
+    return placed.select("doc.*", *names)
 
 
 STAGES = [
