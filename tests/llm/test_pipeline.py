@@ -35,7 +35,9 @@ def test_stages_do_what_they_decide(spark, tmp_path, clashing):
     assert clean == near - Counter([2002])
     assert set(mixed) <= set(clean) and max(mixed.values()) <= 3
     assert sharded == mixed
-    places = docs.select("shard", "slot").collect()
+    ours = [c for c in docs.columns if c not in columns]
+    assert docs.columns == columns + ours and [c.rstrip("_") for c in ours] == ["shard", "slot", "curve"]
+    places = docs.select(*ours[:2]).collect()
     assert len(set(places)) == len(places) and {s for s, _ in places} <= set(range(16))
 
 
