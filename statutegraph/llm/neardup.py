@@ -219,7 +219,7 @@ def verified_links(docs: DataFrame, texts: DataFrame, words: int, similarity: fl
         return led
     rows = tiles.join(_sets(docs, texts, tiles.select("id").distinct(), words), "id").select("bucket", "side", "id", "root", "shingles")
     rows = rows.repartition("bucket").sortWithinPartitions("bucket")
-    return led.unionByName(rows.mapInPandas(_compare_tiles(similarity), "a long, b long"))
+    return led.unionByName(staged(rows.mapInPandas(_compare_tiles(similarity), "a long, b long"), "near-tiled"))
 
 
 def distinct_texts(signed: DataFrame) -> DataFrame:

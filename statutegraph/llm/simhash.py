@@ -1,8 +1,10 @@
 """SimHash near-duplicates by tiled exact comparison.
 
 Fingerprints within `radius` bits are linked, all of them.  Rows meet in
-buckets: two fingerprints that differ in r bits agree in at least two of r + 2
-blocks of bits, so each pair of blocks keys a table and no link is missed.
+buckets: two fingerprints that differ in r bits agree in at least b - r of b
+blocks of bits, so each choice of b - r blocks keys a table and no link is
+missed.  The more fingerprints there are, the more blocks, so that keys have
+about as many bits as the number of fingerprints and buckets stay small.
 Within a bucket, sorted by population count, tiles are compared with numpy's
 exclusive-or and bit counts; pairs of tiles whose population counts differ by
 more than the radius are never formed.  A bucket beyond one tile is dealt to
@@ -58,11 +60,20 @@ def fingerprint_column(words: int = WORDS):
     return of
 
 
-def block_masks(radius: int) -> list[int]:
-    """A mask for each pair of the radius + 2 blocks of the 64 bits, as signed numbers."""
-    cuts = np.linspace(0, 64, radius + 3).round().astype(int)
-    blocks = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(cuts[:-1], cuts[1:])]
-    masks = [a | b for a, b in itertools.combinations(blocks, 2)]
+def blocks_for(n: int, radius: int) -> int:
+    """The least number of blocks, radius + 2 or more, whose keys have as many bits as the number n."""
+    blocks = radius + 2
+    while 64 * (blocks - radius) // blocks < min(48, max(n, 1).bit_length()):
+        blocks += 1
+    return blocks
+
+
+def block_masks(radius: int, blocks: int | None = None) -> list[int]:
+    """A mask for each choice of all but `radius` of the blocks of the 64 bits, as signed numbers."""
+    blocks = blocks or radius + 2
+    cuts = np.linspace(0, 64, blocks + 1).round().astype(int)
+    each = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(cuts[:-1], cuts[1:])]
+    masks = [sum(chosen) for chosen in itertools.combinations(each, blocks - radius)]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
@@ -147,13 +158,13 @@ def _compare(radius: int, node: str):
     return run
 
 
-def linked(fingerprints: DataFrame, radius: int = RADIUS, tile: int = TILE, node: str = "fp") -> DataFrame:
+def linked(fingerprints: DataFrame, radius: int = RADIUS, tile: int = TILE, node: str = "fp", blocks: int | None = None) -> DataFrame:
     """Links (a, b) that join every pair of distinct `fp` within `radius` bits, directly or by others.
 
     a and b are values of the column `node`, of which each fingerprint has one.
     """
     columns = list(dict.fromkeys(("fp", node)))
-    masks = [F.col("fp").bitwiseAND(F.lit(m)) for m in block_masks(radius)]
+    masks = [F.col("fp").bitwiseAND(F.lit(m)) for m in block_masks(radius, blocks or blocks_for(fingerprints.count(), radius))]
     keyed = fingerprints.select(*columns, F.explode(F.array(*(F.xxhash64(F.lit(t), key) for t, key in enumerate(masks)))).alias("key"))
     sizes = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     rows = with_group(keyed, sizes, "key", "n")

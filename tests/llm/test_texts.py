@@ -54,8 +54,8 @@ def test_simhash_of_nothing(spark):
     assert simhash.simhash_groups(documents(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("tile", [4, 4096])
-def test_links_miss_no_pair_whatever_the_tile(spark, tile):
+@pytest.mark.parametrize(("tile", "blocks"), [(4, None), (4096, None), (64, 6), (4096, 7)])
+def test_links_miss_no_pair_whatever_the_tile(spark, tile, blocks):
     rng = np.random.default_rng(4)
     fps = [int(x) for x in rng.integers(0, 1 << 63, 40)] + [0, (1 << 64) - 1]
     for f in list(fps):
@@ -68,13 +68,21 @@ def test_links_miss_no_pair_whatever_the_tile(spark, tile):
     fps += [hot ^ (1 << a) ^ (1 << b) for a, b in itertools.combinations(range(12), 2)]  # one crowded bucket
     fps = sorted(set(fps))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    links = simhash.linked(spark.createDataFrame([(f,) for f in signed], "fp long"), tile=tile)
+    links = simhash.linked(spark.createDataFrame([(f,) for f in signed], "fp long"), tile=tile, blocks=blocks)
     roots = {r.node: r.root for r in simhash.components(links).collect()}
     got = [roots.get(f, f) for f in signed]
     want = brute_components(fps, fps)
     assert all((got[i] == got[j]) == (want[i] == want[j]) for i, j in itertools.combinations(range(len(fps)), 2))
 
 
+def test_more_fingerprints_get_longer_keys():
+    assert [simhash.blocks_for(n, 3) for n in (0, 1000, 1 << 24, 1 << 27, 1 << 36)] == [5, 5, 5, 6, 8]
+    for blocks in (5, 6, 8):
+        masks = [m & (1 << 64) - 1 for m in simhash.block_masks(3, blocks)]
+        for flips in itertools.combinations(range(0, 64, 5), 3):
+            assert any(not any(m >> b & 1 for b in flips) for m in masks)
+
+
 def test_large_groups_leave_a_forest_not_all_pairs(spark):
     fps = [1 << a | 1 << b for a, b in itertools.combinations(range(40), 2)]
     n = simhash.linked(spark.createDataFrame([(f,) for f in fps], "fp long")).count()
