@@ -3,10 +3,11 @@
     spark.dataSource.register(WarcDataSource)
     spark.read.format("warc").load(folder).filter("record_type = 'response'")
 
-The reader plans partitions from file sizes, takes over equality predicates on
-record headers, reads each record's headers first and seeks past the payload of
-a record that no predicate wants.  The writer rolls files by size, so that one
-file stays a fit piece of work for one task.
+The reader plans partitions from file sizes, large files in pieces, takes over
+predicates on record headers, reads each record's headers first and skips the
+payload of a record that no predicate wants.  What is no record, a header
+without a colon, a length that is no number, costs no more than itself.  The
+writer rolls files by size; a task's files count from the commit of the job on.
 """
 
 from __future__ import annotations
@@ -15,24 +16,46 @@ import base64
 import gzip
 import hashlib
 import io
+import operator
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceWriter,
+    EqualNullSafe,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    IsNotNull,
+    IsNull,
+    LessThan,
+    LessThanOrEqual,
+    Not,
+    StringContains,
+    StringEndsWith,
+    StringStartsWith,
+    WriterCommitMessage,
+)
 
 from ..storage import new_path
-from .common import staged
-from .exact import hash_of, may_repeat
+from .common import staged, with_group
+from .exact import hash_of, may_be_among, may_repeat
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, date string, payload_digest string, payload_bytes long, "
     "refers_to string, intact boolean, headers map<string,string>, payload binary"
 )
-#: Columns whose equality predicates the reader evaluates on headers, before any payload.
+#: Columns whose predicates the reader evaluates on headers, before any payload.
 HEADER_OF = {
     "record_id": "warc-record-id",
     "record_type": "warc-type",
@@ -64,92 +87,248 @@ def _plain(name: str, value: str) -> str:
 
 
 @dataclass
-class Files(InputPartition):
-    paths: list[str]
+class Pieces(InputPartition):
+    """(path, start, end): records that begin there; end None is that of the file."""
+
+    pieces: list[tuple[str, int, int | None]]
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    paths: list[str]
+    names: list[str]
+
+
+_COMPARE = {EqualTo: operator.eq, EqualNullSafe: operator.eq, GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt, LessThanOrEqual: operator.le}
+_COMPARE |= {StringStartsWith: str.startswith, StringEndsWith: str.endswith, StringContains: operator.contains}
+
+
+def header_test(f: Filter) -> tuple[str, Callable[[str | None], bool]] | None:
+    """The header column of a filter and its test of a value, null where the header is missing; None if it is none of ours."""
+    if isinstance(f, Not):
+        inner = header_test(f.child)
+        if inner is None or isinstance(f.child, (IsNull, IsNotNull, EqualNullSafe, Not)):
+            return None
+        return inner[0], lambda v: v is not None and not inner[1](v)
+    column = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+    if column not in HEADER_OF:
+        return None
+    if isinstance(f, IsNull):
+        return column, lambda v: v is None
+    if isinstance(f, IsNotNull):
+        return column, lambda v: v is not None
+    if isinstance(f, In):
+        values = {x for x in f.value if x is not None}
+        return (column, lambda v: v in values) if len(values) == len(set(f.value)) else None
+    if type(f) not in _COMPARE or (f.value is None and not isinstance(f, EqualNullSafe)):
+        return None
+    compare, value = _COMPARE[type(f)], f.value
+    if value is None:
+        return column, lambda v: v is None
+    return column, lambda v: v is not None and compare(v, value)
+
+
+class Member(io.RawIOBase):
+    """The text of one gzip member that begins at `at` of a file; when it is read up, `end` is where the next may begin."""
+
+    def __init__(self, file, at: int):
+        file.seek(at)
+        self.file, self.at, self.end = file, at, None
+        self.inflate, self.left = zlib.decompressobj(31), b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, out) -> int:
+        while not self.inflate.eof:
+            data = self.inflate.unconsumed_tail or self.file.read(1 << 16)
+            if not data:
+                self.end = self.at
+                return 0  # the file breaks off inside
+            self.at += 0 if self.inflate.unconsumed_tail else len(data)
+            got = self.inflate.decompress(data, len(out))
+            if self.inflate.eof:
+                self.end = self.at - len(self.inflate.unused_data)
+            if got:
+                out[: len(got)] = got
+                return len(got)
+        return 0
 
 
 class WarcReader(DataSourceReader):
+    """`payload`: true gives payloads, verify only checks them against their digests, false skips them."""
+
     def __init__(self, options: dict):
         self.path = options["path"]
-        self.with_payload = options.get("payload", "true").lower() == "true"
+        self.payload = options.get("payload", "true").lower()
         self.partition_bytes = int(options.get("partitionbytes", PARTITION_BYTES))
-        self.wanted: dict[str, set] = {}
+        self.tests: list[tuple[str, Callable[[str | None], bool]]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
-            column = f.attribute[0] if isinstance(f, (EqualTo, In)) and len(f.attribute) == 1 else None
-            if column not in HEADER_OF:
+            test = header_test(f)
+            if test is None:
                 yield f
-                continue
-            values = set(f.value) if isinstance(f, In) else {f.value}
-            self.wanted[column] = self.wanted.get(column, values) & values
+            else:
+                self.tests.append(test)
 
-    def partitions(self) -> list[Files]:
+    def partitions(self) -> list[Pieces]:
         fs, root = pafs.FileSystem.from_uri(self.path)
         found = fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True))
-        files = sorted((x.path, x.size) for x in found if x.is_file and x.path.endswith((".warc", ".warc.gz")))
-        out: list[Files] = []
+        hidden = lambda p: any(x.startswith(("_", ".")) for x in p[len(root) :].split("/") if x)
+        files = sorted((x.path, x.size) for x in found if x.is_file and x.path.endswith((".warc", ".warc.gz")) and not hidden(x.path))
+        out: list[Pieces] = []
         room = 0
         for path, size in files:
+            if size > 2 * self.partition_bytes:
+                cuts = range(0, size, self.partition_bytes)
+                out += [Pieces([(path, at, at + self.partition_bytes if at + self.partition_bytes < size else None)]) for at in cuts]
+                room = 0
+                continue
             if size > room or not out:
-                out.append(Files([]))
+                out.append(Pieces([]))
                 room = self.partition_bytes
-            out[-1].paths.append(path)
+            out[-1].pieces.append((path, 0, None))
             room -= size
-        return out or [Files([])]
+        return out or [Pieces([])]
 
-    def read(self, partition: Files) -> Iterator[tuple]:
+    def read(self, partition: Pieces) -> Iterator[tuple]:
         fs, _ = pafs.FileSystem.from_uri(self.path)
-        for path in partition.paths:
+        for path, start, end in partition.pieces:
             with fs.open_input_file(path) as raw:
-                yield from self.records(gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw)
-
-    def records(self, file) -> Iterator[tuple]:
-        buffered = file if isinstance(file, gzip.GzipFile) else io.BufferedReader(file, 1 << 20)
-        while line := buffered.readline():
-            if line.strip() == b"":
+                if not path.endswith(".gz"):
+                    yield from self.records(io.BufferedReader(raw, 1 << 20), start, end)
+                elif (start, end) == (0, None):
+                    yield from self.records(gzip.GzipFile(fileobj=raw))
+                else:
+                    yield from self.members(raw, start, end)
+
+    def members(self, raw, start: int, end: int | None) -> Iterator[tuple]:
+        """Records of the gzip members that begin in a piece; that what begins there is one shows in its first bytes."""
+        at, size = start, raw.size()
+        while at < (size if end is None else end):
+            raw.seek(at)
+            window = raw.read((1 << 16) + 2)
+            found = window.find(b"\x1f\x8b\x08")
+            if found < 0:
+                at += 1 << 16
                 continue
+            at += found
+            if at >= (size if end is None else end):
+                return
+            try:
+                begins = io.BufferedReader(Member(raw, at), 1 << 10).peek(5).startswith(b"WARC/")
+            except zlib.error:
+                begins = False
+            if not begins:
+                at += 1
+                continue
+            member = Member(raw, at)
+            text = io.BufferedReader(member, 1 << 16)
+            yield from self.records(text)
+            while text.read(1 << 20):
+                pass
+            at = max(at + 1, member.end or 0)
+
+    def records(self, file, start: int = 0, end: int | None = None) -> Iterator[tuple]:
+        """Records that begin from `start` to before `end`; from headers to headers where they begin before it."""
+        at, line = file.tell() if file.seekable() else 0, file.readline()
+        while line:
             if not line.startswith(b"WARC/"):
-                raise ValueError(f"no WARC record here: {line[:40]!r}")
-            headers = {}
-            while (line := buffered.readline()).strip():
-                key, _, value = line.decode("utf-8").partition(":")
-                headers[key.strip().lower()] = value.strip()
-            length = int(headers.get("content-length", 0))
+                at, line = at + len(line), file.readline()
+                continue
+            if end is not None and at >= end:
+                return
+            headers, n = read_headers(file)
+            body = at + len(line) + n
+            length = whole_number(headers.get("content-length"))
             values = {column: _plain(column, headers[name]) if name in headers else None for column, name in HEADER_OF.items()}
-            if any(values[column] not in allowed for column, allowed in self.wanted.items()):
-                buffered.seek(length, 1)
+            wanted = at >= start and all(test(values[column]) for column, test in self.tests)
+            if length is None:  # goes on to the next line that begins a record
+                if wanted:
+                    yield (*(values[k] for k in _FIRST), None, values["refers_to"], False, headers, None)
+                at, line = body, file.readline()
                 continue
-            yield self.row(values, headers, buffered, length)
+            if wanted:
+                yield self.row(values, headers, file, length)
+            else:
+                skip(file, length)
+            at, line = body + length, file.readline()
 
     def row(self, values: dict, headers: dict, file, length: int) -> tuple:
-        block_http = headers.get("content-type", "").startswith("application/http")
-        if not self.with_payload and not block_http:
-            file.seek(length, 1)
-            size, payload = length, None
-        else:
-            block = file.read(length)
-            head, _, payload = block.partition(b"\r\n\r\n") if block_http else (b"", b"", block)
-            fields = dict(x.lower().split(b":", 1) for x in head.split(b"\r\n")[1:])
-            size = int(fields.get(b"content-length", len(payload)))
+        head, rest = (b"", b"")
+        if headers.get("content-type", "").lower().startswith("application/http"):
+            head, rest = http_head(file, length)
         whole = values["record_type"] != "revisit"
-        intact = None
-        if payload is not None and whole and values["payload_digest"]:
-            intact = len(payload) == size and base32_digest(payload) == values["payload_digest"]
-        kept = payload if whole and self.with_payload else None
-        return (*(values[k] for k in ("record_id", "record_type", "target_uri", "date", "payload_digest")), size, values["refers_to"], intact, headers, kept)
+        size = length - len(head)
+        if not whole:  # its payload stands elsewhere; how long it is, its own HTTP headers say
+            size = whole_number(next((x.split(b":", 1)[1].decode("latin-1") for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), None))
+        payload = intact = None
+        if whole and self.payload != "false":
+            payload = rest + file.read(length - len(head) - len(rest))
+            if values["payload_digest"]:
+                intact = len(payload) == size and base32_digest(payload) == values["payload_digest"]
+        else:
+            skip(file, length - len(head) - len(rest))
+        return (*(values[k] for k in _FIRST), size, values["refers_to"], intact, headers, payload if self.payload == "true" else None)
+
+
+_FIRST = ("record_id", "record_type", "target_uri", "date", "payload_digest")
+
+
+def whole_number(text: str | None) -> int | None:
+    text = (text or "").strip()
+    return int(text) if text.isascii() and text.isdigit() else None
+
+
+def read_headers(file) -> tuple[dict[str, str], int]:
+    """Headers up to the empty line, names in lower case, and how many bytes they took.
+
+    A line that begins with white space goes on with the one before; one without a
+    colon is passed over; of a name that repeats the values are joined by a comma.
+    """
+    headers, n, name = {}, 0, None
+    while line := file.readline():
+        n += len(line)
+        text = line.decode("utf-8", "replace").rstrip("\r\n")
+        if not text.strip():
+            break
+        if text[0] in " \t" and name is not None:
+            headers[name] += f" {text.strip()}"
+        elif ":" in text:
+            name, value = (x.strip() for x in text.split(":", 1))
+            name = name.lower()
+            headers[name] = f"{headers[name]}, {value}" if name in headers else value
+    return headers, n
+
+
+def http_head(file, length: int) -> tuple[bytes, bytes]:
+    """The head of an HTTP message up to its empty line, and what was read beyond it; all of it if there is none."""
+    data = b""
+    while len(data) < length:
+        more = file.read(min(1 << 12, length - len(data)))
+        if not more:
+            break
+        data += more
+        at = data.find(b"\r\n\r\n", max(0, len(data) - len(more) - 3))
+        if at >= 0:
+            return data[: at + 4], data[at + 4 :]
+    return data, b""
+
+
+def skip(file, n: int) -> None:
+    if file.seekable():
+        file.seek(n, 1)
+        return
+    while n > 0 and (data := file.read(min(n, 1 << 20))):
+        n -= len(data)
 
 
 class WarcWriter(DataSourceWriter):
     """Rows: record_id, record_type, target_uri, date, refers_to, payload_digest, payload_bytes, payload.
 
-    A task writes files of its own name; the commit names what counts, and
-    deletes what lost or repeated tasks left.
+    Tasks write into a folder of the job that readers pass over.  The commit moves
+    the files of the tasks that count to their place and drops the folder, with
+    all that lost, repeated or speculative tasks left in it.
     """
 
     def __init__(self, options: dict, overwrite: bool):
@@ -157,25 +336,26 @@ class WarcWriter(DataSourceWriter):
         self.overwrite = overwrite
         self.zip = options.get("compression", "none") == "gzip"
         self.file_bytes = int(options.get("filebytes", FILE_BYTES))
+        self.staging = f"_job-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator) -> Written:
         fs, root = pafs.FileSystem.from_uri(self.path)
-        fs.create_dir(root, recursive=True)
-        paths: list[str] = []
+        fs.create_dir(f"{root}/{self.staging}", recursive=True)
+        names: list[str] = []
         out, size = None, 0
         for row in iterator:
             if out is None or size >= self.file_bytes:
                 if out is not None:
                     out.close()
-                paths.append(f"{root}/part-{uuid.uuid4().hex}.warc{'.gz' if self.zip else ''}")
-                out, size = fs.open_output_stream(paths[-1], compression=None), 0
+                names.append(f"part-{uuid.uuid4().hex}.warc{'.gz' if self.zip else ''}")
+                out, size = fs.open_output_stream(f"{root}/{self.staging}/{names[-1]}", compression=None), 0
             record = self.record(row.asDict())
             record = gzip.compress(record) if self.zip else record  # one member a record
             out.write(record)
             size += len(record)
         if out is not None:
             out.close()
-        return Written(paths)
+        return Written(names)
 
     def record(self, r: dict) -> bytes:
         payload = r["payload"] if r["payload"] is not None else b""
@@ -193,16 +373,20 @@ class WarcWriter(DataSourceWriter):
 
     def commit(self, messages: list[Written]) -> None:
         fs, root = pafs.FileSystem.from_uri(self.path)
-        kept = {p for m in messages if m is not None for p in m.paths}
-        for x in fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True)):
-            # Appending leaves other files alone; only a folder of our own is swept.
-            if self.overwrite and x.is_file and x.path not in kept:
-                fs.delete_file(x.path)
+        fs.create_dir(root, recursive=True)
+        old = [x.path for x in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if x.is_file and f"/{self.staging}/" not in x.path] if self.overwrite else []
+        for name in (n for m in messages if m is not None for n in m.names):
+            fs.move(f"{root}/{self.staging}/{name}", f"{root}/{name}")
+        for path in old:
+            fs.delete_file(path)
+        self.sweep(fs, root)
+
+    def sweep(self, fs, root: str) -> None:
+        if fs.get_file_info(f"{root}/{self.staging}").type != pafs.FileType.NotFound:
+            fs.delete_dir(f"{root}/{self.staging}")
 
     def abort(self, messages: list[Written]) -> None:
-        fs, _ = pafs.FileSystem.from_uri(self.path)
-        for p in (p for m in messages if m is not None for p in m.paths):
-            fs.delete_file(p)
+        self.sweep(*pafs.FileSystem.from_uri(self.path))
 
 
 class WarcDataSource(DataSource):
@@ -231,18 +415,27 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     Payloads under `min_bytes` are all responses.  A null payload is empty, a
     null url leaves the target out, rows that repeat the smallest id are all
     responses.  A null id counts as the largest; a group of null ids only is all
-    responses.  Payloads are compared by SHA-1 and length.  Two passes: digests
-    fill a Bloom filter, and only pages whose digest may repeat shuffle; the others
-    are responses as they are.
+    responses.  Payloads are compared by SHA-1 and length; very long ones are
+    hashed whole; an empty table gives none; other columns are not looked at.
+
+    Two passes: digests fill a Bloom filter, and only pages whose digest may
+    repeat shuffle, without their payload unless they may be the first of their
+    group, as a second filter of the first ones' ids tells; the others are
+    responses as they are.
     """
     payload = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("target_uri"), payload.alias("payload"))
     rows = rows.withColumn("payload_digest", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-    slim = staged(rows.select("id", "payload_digest", "payload_bytes").withColumn("h", hash_of("payload_digest")), "page-digests")
+    rows = rows.withColumn("group", F.concat_ws("|", "payload_digest", "payload_bytes"))
+    slim = staged(rows.select("id", "group").withColumn("h", hash_of("group")), "page-digests")
     again = may_repeat(pages.sparkSession, slim)
-    firsts = slim.filter(again("h")).groupBy("payload_digest", "payload_bytes").agg(F.min("id").alias("first"))
-    repeated = rows.filter(again(hash_of("payload_digest"))).join(firsts, ["payload_digest", "payload_bytes"])
-    both = repeated.unionByName(rows.filter(~again(hash_of("payload_digest"))).withColumn("first", F.col("id")))
+    groups = staged(slim.filter(again("h")).groupBy("group").agg(F.min("id").alias("first"), F.count("*").alias("n")), "page-groups")
+    may_be_first = may_be_among(groups.select(F.xxhash64("first").alias("h")))
+    met = rows.filter(again(hash_of("group")))
+    met = met.withColumn("payload", F.when(may_be_first(F.xxhash64("id")) | (F.col("payload_bytes") < min_bytes), F.col("payload")))
+    columns = ["id", "target_uri", "payload", "payload_digest", "payload_bytes"]
+    both = with_group(met, groups, "group", "n").select(*columns, "first")
+    both = both.unionByName(rows.filter(~again(hash_of("group"))).select(*columns, F.col("id").alias("first")))
     revisit = (F.col("payload_bytes") >= min_bytes) & ~F.col("id").eqNullSafe(F.col("first"))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
     return both.select(
@@ -262,7 +455,8 @@ def write_archive(records: DataFrame, path: str, compression: str = "none") -> N
     records.write.format("warc").option("compression", compression).mode("append").save(path)
 
 
-def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, payload: bool | str = True) -> DataFrame:
+    """The records of an archive; `payload` True, False, or "verify" to check payloads without giving them."""
     register(spark)
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
 
@@ -278,6 +472,6 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     path = new_path(spark, "warc")
     write_archive(page_records(pages), path)
     of = lambda c: F.nullif(F.substring_index(c, ":", -1), F.lit("")).cast("long")
-    return read_archive(spark, path).select(
+    return read_archive(spark, path, "verify").select(
         of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", of("refers_to").alias("refers_to"), "intact"
     )

@@ -91,21 +91,143 @@ def test_files_are_packed_into_partitions(tmp_path):
     for i in range(10):
         (tmp_path / f"{i}.warc").write_bytes(b"x" * 40)
     parts = warc.WarcReader({"path": str(tmp_path), "partitionbytes": "100"}).partitions()
-    assert [len(p.paths) for p in parts] == [2] * 5
+    assert [len(p.pieces) for p in parts] == [2] * 5
+    (tmp_path / "_job-x").mkdir()
+    (tmp_path / "_job-x" / "z.warc").write_bytes(b"x" * 40)
+    (tmp_path / "big.warc").write_bytes(b"x" * 450)
+    parts = warc.WarcReader({"path": str(tmp_path), "partitionbytes": "100"}).partitions()
+    big = [p.pieces[0][1:] for p in parts if p.pieces[0][0].endswith("big.warc")]
+    assert big == [(0, 100), (100, 200), (200, 300), (300, 400), (400, None)] and len(parts) == 10
+
+
+class Row(dict):
+    def asDict(self):
+        return dict(self)
+
+
+def records(n, size=0, **more):
+    made = []
+    for i in range(n):
+        payload = f"{i} " + "x" * (size * (i % 5))
+        digest = hashlib.sha1(payload.encode()).hexdigest()
+        made.append(Row(record_id=f"urn:page:{i}", record_type="response", target_uri=None, date="d", refers_to=None, payload_digest=digest, payload_bytes=len(payload), payload=payload) | more)
+    return [Row(r) for r in made]
+
+
+def read_all(path, **options):
+    reader = warc.WarcReader({"path": str(path)} | options)
+    return [r for p in reader.partitions() for r in reader.read(p)]
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+@pytest.mark.parametrize("piece", ["50", "300", "5000", "100000"])
+def test_large_files_are_read_in_pieces(tmp_path, compression, piece):
+    writer = warc.WarcWriter({"path": str(tmp_path), "compression": compression}, False)
+    rows = records(60, 40)
+    rows[7]["payload"] = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 20
+    rows[7] |= {"payload_bytes": len(rows[7]["payload"]), "payload_digest": hashlib.sha1(rows[7]["payload"].encode()).hexdigest()}
+    writer.commit([writer.write(map(Row, rows))])
+    got = read_all(tmp_path, partitionbytes=piece)
+    assert [r[0] for r in sorted(got, key=lambda r: int(r[0].split(":")[2]))] == [r["record_id"] for r in rows]
+    assert all(r[7] for r in got)
+
+
+def test_one_gzip_member_of_many_records_is_read_once(tmp_path):
+    import gzip
+
+    writer = warc.WarcWriter({"path": str(tmp_path)}, False)
+    (tmp_path / "whole.warc.gz").write_bytes(gzip.compress(b"".join(map(writer.record, records(50, 300)))))
+    assert Counter(r[0] for r in read_all(tmp_path, partitionbytes="200")) == Counter(f"urn:page:{i}" for i in range(50))
+
+
+def test_odd_archives_cost_no_more_than_what_is_odd(tmp_path):
+    writer = warc.WarcWriter({"path": str(tmp_path)}, False)
+    a, b, c = map(writer.record, records(3, 10))
+    http = b"HTTP/1.1 200 OK\r\nno colon here\r\nContent-Length: many\r\nX: 1\r\nX: 2\r\n\r\nbody"
+    odd = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <odd>\r\nno colon\r\nX-Name: caf\xe9\r\n folded\r\nX-Twice: 1\r\nx-twice: 2\r\nContent-Type: application/http\r\nContent-Length: %d\r\n\r\n" % len(http)
+    bad_length = b"WARC/1.0\r\nWARC-Type: metadata\r\nWARC-Record-ID: <bad>\r\nContent-Length: lots\r\n\r\nsome text\r\n\r\n"
+    no_head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <headless>\r\nContent-Type: application/http\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
+    plain = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <plain>\r\nContent-Length: 3\r\n\r\nxyz\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(b"garbage\n" + a + odd + http + b"\r\n\r\n" + bad_length + b + no_head + plain + c + b"WARC/1.0\r\nWARC-Record-ID: <cut>\r\nContent-Length: 99\r\n\r\nbroken off")
+    for payload in ("true", "verify", "false"):
+        got = {r[0]: r for r in read_all(tmp_path, payload=payload)}
+        assert set(got) == {"urn:page:0", "odd", "bad", "urn:page:1", "headless", "plain", "urn:page:2", "cut"}
+        assert got["odd"][5] == 4 and got["odd"][8]["x-twice"] == "1, 2" and got["odd"][8]["x-name"].endswith("folded")
+        assert got["bad"][5] is None and got["bad"][7] is False and got["plain"][5] == 3
+        assert (got["odd"][9], got["plain"][9]) == ((b"body", b"xyz") if payload == "true" else (None, None))
+        assert got["urn:page:1"][7] is (None if payload == "false" else True)
+
+
+def test_skipped_payloads_are_not_read(tmp_path):
+    writer = warc.WarcWriter({"path": str(tmp_path)}, False)
+    big = records(3, 0, payload="y" * 3_000_000, payload_bytes=3_000_000)
+    (tmp_path / "a.warc").write_bytes(b"".join(map(writer.record, big)))
+    reader, taken = warc.WarcReader({"path": str(tmp_path), "payload": "false"}), []
+
+    class Counted:
+        def __init__(self, path):
+            self.file = open(path, "rb", buffering=0)
+
+        def __getattr__(self, name):
+            return getattr(self.file, name)
+
+        def read(self, n=-1):
+            taken.append(len(data := self.file.read(n)))
+            return data
+
+        def readline(self):
+            taken.append(len(data := self.file.readline()))
+            return data
+
+    assert [r[5] for r in reader.records(Counted(tmp_path / "a.warc"))] == [3_000_000] * 3 and sum(taken) < 50_000
+
+
+def test_predicates_of_every_kind(spark, tmp_path):
+    path = str(tmp_path / "w")
+    warc.write_archive(warc.page_records(pages(spark)), path)
+    every = warc.read_archive(spark, path)
+    rows = every.collect()
+    for text, want in {
+        "target_uri is null": lambda r: r.target_uri is None,
+        "target_uri is not null": lambda r: r.target_uri is not None,
+        "target_uri like 'http://a%'": lambda r: r.target_uri is not None and r.target_uri.startswith("http://a"),
+        "target_uri like '%example'": lambda r: r.target_uri is not None and r.target_uri.endswith("example"),
+        "target_uri like '%/%.example/%'": lambda r: r.target_uri is not None and ".example/" in r.target_uri,
+        "target_uri > 'http://c'": lambda r: r.target_uri is not None and r.target_uri > "http://c",
+        "target_uri <= 'http://c.example/é'": lambda r: r.target_uri is not None and r.target_uri <= "http://c.example/é",
+        "not (record_type = 'revisit')": lambda r: r.record_type != "revisit",
+        "refers_to <=> null": lambda r: r.refers_to is None,
+        "refers_to <> 'urn:page:1'": lambda r: r.refers_to is not None and r.refers_to != "urn:page:1",
+        "not (target_uri like 'http://a%')": lambda r: r.target_uri is not None and not r.target_uri.startswith("http://a"),
+        "target_uri in ('http://a.example/x', null)": lambda r: r.target_uri == "http://a.example/x",
+    }.items():
+        assert Counter(r.record_id for r in every.filter(text).collect()) == Counter(r.record_id for r in rows if want(r)), text
+
+
+def test_a_task_that_ran_twice_counts_once(tmp_path):
+    """Appending to an archive that has records: a lost task's files and a repeated task's go, what was there stays."""
+    before = warc.WarcWriter({"path": str(tmp_path)}, False)
+    before.commit([before.write(iter(records(2)))])
+    writer = warc.WarcWriter({"path": str(tmp_path)}, False)
+    writer.write(iter(records(3, record_id="lost")))
+    good = writer.write(iter(records(3, record_id="good")))
+    assert len(read_all(tmp_path)) == 2  # nothing counts before the commit
+    writer.commit([good])
+    assert Counter(r[0] for r in read_all(tmp_path)) == Counter({"good": 3, "urn:page:0": 1, "urn:page:1": 1})
+    broken = warc.WarcWriter({"path": str(tmp_path)}, False)
+    broken.abort([broken.write(iter(records(4))), None])
+    assert len(read_all(tmp_path)) == 5 and all(p.is_file() for p in tmp_path.iterdir())
 
 
 def test_writer_rolls_files_and_sweeps_what_broke(tmp_path):
     writer = warc.WarcWriter({"path": str(tmp_path), "filebytes": "10"}, True)
 
-    class Row(dict):
-        def asDict(self):
-            return dict(self)
-
-    rows = [Row(record_id=f"urn:page:{i}", record_type="response", target_uri=None, date="d", refers_to=None, payload_digest="00" * 20, payload_bytes=0, payload=None) for i in range(3)]
+    rows = records(3)
     lost, good = writer.write(iter(rows)), writer.write(iter(rows))
-    assert len(good.paths) == 3
+    assert len(good.names) == 3
+    (tmp_path / "old.warc").write_bytes(b"")
     writer.commit([good])
-    assert sorted(str(p) for p in tmp_path.iterdir()) == sorted(good.paths) and lost.paths
+    assert sorted(p.name for p in tmp_path.iterdir()) == sorted(good.names) and lost.names
 
 
 # ---------------------------------------------------------------- URLs
