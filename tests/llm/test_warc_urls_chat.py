@@ -271,10 +271,33 @@ def test_urls_of_nothing(spark):
 
 
 def test_overlapping_terms_and_repeats():
-    found = urls.automaton(("spam",), ("spam farm", "farm", "free"))
-    assert urls.hits(found, "x-spam farm-x") == (1, 2)
-    assert urls.hits(found, "FREE/free/free") == (0, 1)
-    assert urls.hits(found, "spamfarm éspamé") == (1, 0)
+    found = urls.Terms(urls.vocabulary(("spam",), ("spam farm", "farm", "free")))
+    got = found.hits(["x-spam farm-x", "free/free/free", "spamfarm éspamé", "", "spam", "farm", "a\nfree\nb"], 2)
+    assert list(map(tuple, got.to_numpy())) == [(1, 2, 4), (0, 1, 1), (1, 0, 2), (0, 0, 0), (1, 0, 2), (0, 1, 1), (0, 1, 1)]
+    assert len(found.hits([], 2)) == 0 and urls.Terms({}).hits(["x"], 2).to_numpy().tolist() == [[0, 0, 0]]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab1-/ é\n", max_size=12), max_size=8))
+def test_hits_equal_a_plain_search(texts):
+    import re
+
+    weights = {"a": 1, "ab": 3, "b1": 1, "a-b": 2}
+    want = []
+    for t in texts:
+        hit = [w for w in weights if re.search(rf"(?<![a-z0-9]){re.escape(w)}(?![a-z0-9])", t)]
+        want.append([sum(weights[w] >= 3 for w in hit), sum(weights[w] < 3 for w in hit), sum(weights[w] for w in hit)])
+    assert urls.Terms(weights).hits(texts, 3).to_numpy().tolist() == want
+
+
+def test_vocabulary_from_a_table(spark):
+    table = spark.createDataFrame([("Casino", 5), ("casino", 2), ("free", 1), ("win", 2), ("", 9)], "term string, weight int")
+    weights = urls.vocabulary_of(table)
+    assert weights == {"casino": 5, "free": 1, "win": 2}
+    df = spark.createDataFrame([(1, "http://x.com/casino"), (2, "http://x.com/free"), (3, "http://x.com/FREE?win"), (4, "http://x.com/freewin")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in urls.filter_urls(df, terms=weights, threshold=3).collect()} == {1: "block", 2: "allow", 3: "block", 4: "allow"}
+    with pytest.raises(ValueError):
+        urls.vocabulary_of(table, max_terms=2)
 
 
 # ---------------------------------------------------------------- chat
