@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -10,8 +11,8 @@ from .operators import articles as art
 
 #: Relation of a triplet by return flag and line status.
 LABELS = (("AF", "정의함"), ("AO", "간주함"), ("NF", "요구함"), ("NO", "금지함"), ("RF", "허용함"))
+#: Phrase by line number modulo 8; at 1 a citation stands, of a form that the number gives.
 PLANTED = (
-    (1, " 제3조제1항에 따라"),
     (2, " 「상법」에 따른"),
     (3, " “용어”이란"),
     (4, " 하여야 한다"),
@@ -37,18 +38,27 @@ def legal_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statutes_of(table(spark, sf_dir, "documents"))
 
 
-def planted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with titled headings and a phrase on most articles."""
+def planted_citation(n: Column) -> Column:
+    branch, item = F.when(n % 16 == 1, "의2").otherwise(""), F.when(n % 3 == 0, F.concat(F.lit("제"), n % 5 + 1, F.lit("호"))).otherwise("")
+    return F.concat(F.lit(" 제"), n % 9 + 1, F.lit("조"), branch, F.lit("제"), n % 4 + 1, F.lit("항"), item, F.lit("에 따라"))
+
+
+def planted_of(docs: DataFrame) -> DataFrame:
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
 
     def line(x, i):
         n = i + 1
-        phrase = F.lit("")
+        phrase = F.when(n % 8 == 1, planted_citation(n)).otherwise("")
         for k, words in PLANTED:
             phrase = F.when(n % 8 == k, words).otherwise(phrase)
         return F.concat(F.lit("제"), n, F.lit("조(제목"), n, F.lit(") "), x, phrase)
 
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("\n\n", F.transform(lines, line)).alias("content"))
+    return docs.select("doc_id", F.concat_ws("\n\n", F.transform(lines, line)).alias("content"))
+
+
+def planted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with titled headings and a phrase on most articles."""
+    return planted_of(table(spark, sf_dir, "documents"))
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,9 +69,10 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Triplets with few subjects and objects, so that keys and confidences tie."""
+    """Triplets with few subjects and objects, so that keys and confidences tie; orders are dealt to the documents."""
+    documents = table(spark, sf_dir, "documents").count()  # from the footers
     order = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    rows = table(spark, sf_dir, "lineitem").withColumn("doc_id", F.col("l_orderkey") % 200)
+    rows = table(spark, sf_dir, "lineitem").withColumn("doc_id", F.col("l_orderkey") % F.lit(max(1, documents)))
     pos = F.row_number().over(W.partitionBy("doc_id").orderBy(*order)) - 1
     relation = F.lit("참조함")
     for flag, label in LABELS:
@@ -124,3 +135,20 @@ def meta_of_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(n, F.lit(".pdf")).alias("filename"),
         F.when(n % 11 == 10, F.lit("unreadable")).alias("error"),
     )
+
+
+def write_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """A file of each conversation's texts, named .pdf, .PDF or, every third, .txt; written by the tasks."""
+
+    def write(batches):
+        for batch in batches:
+            fs, root = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+            fs.create_dir(root, recursive=True)
+            for n, texts in zip(batch["conv_id"], batch["texts"]):
+                kind = "txt" if n % 3 == 0 else "pdf" if n % 2 == 0 else "PDF"
+                with fs.open_output_stream(f"{root}/{n}.{kind}") as out:
+                    out.write("".join(texts).encode())
+            yield batch[["conv_id"]]
+
+    texts = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list(F.coalesce("text", F.lit(""))).alias("texts"))
+    texts.mapInPandas(write, "conv_id long").write.format("noop").mode("overwrite").save()

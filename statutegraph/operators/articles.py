@@ -34,16 +34,19 @@ def offsets(docs: DataFrame) -> DataFrame:
 
 
 def metrics(docs: DataFrame) -> DataFrame:
-    """doc_id, chars of the rejoined content, articles: array work within the row, no shuffle."""
-    pieces = t.split_articles(t.clean_text(F.col("content")))
-    return docs.select("doc_id", F.length(F.concat_ws("\n\n", pieces)).cast("long").alias("chars"), F.size(pieces).cast("long").alias("articles"))
+    """doc_id, chars of the rejoined content, articles: array work within the row, done once, no shuffle."""
+    rows = docs.select("doc_id", t.clean_text(F.col("content")).alias("_clean"))
+    rows = rows.select("doc_id", t.split_articles(F.col("_clean")).alias("_pieces"))
+    return rows.select("doc_id", F.length(F.concat_ws("\n\n", "_pieces")).cast("long").alias("chars"), F.size("_pieces").cast("long").alias("articles"))
 
 
-def with_counts(docs: DataFrame, entities: DataFrame, triplets: DataFrame) -> DataFrame:
-    """metrics() with the numbers of entities and triplets, 0 where there are none."""
+def with_counts(docs: DataFrame, entities: DataFrame, triplets: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """metrics() with the numbers of entities and triplets, and of `pages` (doc_id, pages) if given, 0 where there are none."""
     out = metrics(docs)
     for name, rows in (("entities", entities), ("triplets", triplets)):
         out = out.join(rows.groupBy("doc_id").agg(F.count("*").alias(name)), "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    if pages is not None:
+        out = out.join(pages.select("doc_id", "pages"), "doc_id", "left").withColumn("pages", F.coalesce("pages", F.lit(0)))
     return out
 
 

@@ -12,7 +12,7 @@ def dedup_triplets(triplets: DataFrame, min_confidence: float | None = None) ->
     """One triplet for each document, subject, relation and object: that of the highest confidence.
 
     Ties keep the earliest.  A NaN never replaces another and, standing first,
-    is never replaced.  `rank` orders the kept by where their key first stood.
+    is never replaced.  `first_pos` is where the key first stood.
     The winners are found by partial aggregates, without a sort.  A confidence
     threshold applies only if asked for.
     """

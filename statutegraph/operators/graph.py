@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import vocabulary
 from .running import running_sum
@@ -171,7 +170,3 @@ def vocabulary_difference(triplets: DataFrame) -> DataFrame:
     only = listed.exceptAll(asked).withColumn("only_in", F.lit("enum")).unionByName(asked.exceptAll(listed).withColumn("only_in", F.lit("prompt")))
     used = triplets.groupBy(F.col("relation").alias("label")).agg(F.count("*").alias("uses"))
     return F.broadcast(only).join(used, "label", "left").select("label", "only_in", F.coalesce("uses", F.lit(0)).alias("uses"))
-
-
-def rank_in_document(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("rank", F.row_number().over(W.partitionBy("doc_id").orderBy("pos")))

@@ -25,14 +25,6 @@ def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def _is_list(v: Column) -> Column:
-    return F.startswith(_kind(v), F.lit("ARRAY"))
-
-
-def _is_object(v: Column) -> Column:
-    return F.startswith(_kind(v), F.lit("OBJECT"))
-
-
 def _field(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f"$.{name}", "variant")
 
@@ -45,11 +37,32 @@ def _text(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
+def _read(answers: DataFrame) -> DataFrame:
+    """The answers with their variant `_v` and its kind `_k`, each found once."""
+    return answers.withColumn("_v", parsed(F.col("response"))).withColumn("_k", F.substring(_kind(F.col("_v")), 1, 5))
+
+
+def _items(answers: DataFrame, outer: bool) -> DataFrame:
+    each = F.when(F.col("_k") == "ARRAY", F.try_variant_get(F.col("_v"), "$", "array<variant>")).when(F.col("_k") == "OBJEC", F.array("_v"))
+    explode = F.posexplode_outer if outer else F.posexplode
+    return _read(answers).select("doc_id", "pos", F.col("_v").isNull().alias("no_json"), explode(each).alias("item_pos", "item"))
+
+
 def items(answers: DataFrame) -> DataFrame:
     """doc_id, pos, item_pos, item: a list's items, an object as the only item; nothing else gives rows."""
-    v = F.col("_v")
-    each = F.when(_is_list(v), F.try_variant_get(v, "$", "array<variant>")).when(_is_object(v), F.array(v))
-    return answers.withColumn("_v", parsed(F.col("response"))).select("doc_id", "pos", F.posexplode(each).alias("item_pos", "item"))
+    return _items(answers, outer=False).drop("no_json")
+
+
+def _checked(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("_is", F.coalesce(F.startswith(_kind(F.col("item")), F.lit("OBJECT")), F.lit(False)))
+    rows = rows.withColumns({f"_{name}": F.when(F.col("_is"), _field(F.col("item"), name)) for name in (*TRIPLET_FIELDS, "confidence")})
+    given = F.col("_confidence")
+    number = F.when(given.isNull(), F.lit(1.0)).when(F.is_variant_null(given), F.lit(None).cast("double")).otherwise(F.try_variant_get(given, "$", "double"))
+    rows = rows.withColumn("_number", number)
+    ok = F.col("_is") & F.col("_number").isNotNull()
+    for name in TRIPLET_FIELDS:
+        ok = ok & _is_text(F.col(f"_{name}"))
+    return rows.withColumn("ok", F.coalesce(ok, F.lit(False)))
 
 
 def checked_triplets(answers: DataFrame) -> DataFrame:
@@ -58,16 +71,8 @@ def checked_triplets(answers: DataFrame) -> DataFrame:
     The four text fields must be strings; a missing confidence is 1, a null one or
     one that is no number fails; other keys are passed over.
     """
-    rows = items(answers)
-    for name in (*TRIPLET_FIELDS, "confidence"):
-        rows = rows.withColumn(f"_{name}", F.when(_is_object(F.col("item")), _field(F.col("item"), name)))
-    given = F.col("_confidence")
-    number = F.when(given.isNull(), F.lit(1.0)).when(F.is_variant_null(given), F.lit(None).cast("double")).otherwise(F.try_variant_get(given, "$", "double"))
-    ok = _is_object(F.col("item")) & number.isNotNull()
-    for name in TRIPLET_FIELDS:
-        ok = ok & _is_text(F.col(f"_{name}"))
     fields = [_text(F.col(f"_{name}")).alias(name) for name in TRIPLET_FIELDS]
-    return rows.select("doc_id", "pos", "item_pos", *fields, number.alias("confidence"), F.coalesce(ok, F.lit(False)).alias("ok"))
+    return _checked(items(answers)).select("doc_id", "pos", "item_pos", *fields, F.col("_number").alias("confidence"), "ok")
 
 
 def triplets(answers: DataFrame) -> DataFrame:
@@ -81,12 +86,11 @@ def entities(answers: DataFrame) -> DataFrame:
     missing or null, but not of another kind.
     """
     v = F.col("_v")
-    rows = answers.withColumn("_v", parsed(F.col("response")))
-    rows = rows.withColumn("_e", F.when(_is_list(v), F.try_variant_get(v, "$[0]", "variant")).otherwise(v))
+    rows = _read(answers).withColumn("_e", F.when(F.col("_k") == "ARRAY", F.try_variant_get(v, "$[0]", "variant")).otherwise(v))
+    rows = rows.withColumn("_is", F.coalesce(F.startswith(_kind(F.col("_e")), F.lit("OBJECT")), F.lit(False)))
     names = ("article_number", "concept", *OPTIONAL_FIELDS, "full_text")
-    for name in names:
-        rows = rows.withColumn(f"_{name}", F.when(_is_object(F.col("_e")), _field(F.col("_e"), name)))
-    ok = F.coalesce(_is_object(F.col("_e")), F.lit(False))
+    rows = rows.withColumns({f"_{name}": F.when(F.col("_is"), _field(F.col("_e"), name)) for name in names})
+    ok = F.col("_is")
     for name in names:
         here = F.col(f"_{name}")
         ok = ok & (_is_text(here) | here.isNull() | F.is_variant_null(here) if name in OPTIONAL_FIELDS else _is_text(here))
@@ -97,10 +101,17 @@ def entities(answers: DataFrame) -> DataFrame:
 
 
 def errors(answers: DataFrame, dropped: DataFrame | None = None) -> DataFrame:
-    """doc_id, pos, stage, message of answers that are no JSON, of rejected items, of triplets without an article."""
-    bad = answers.filter(parsed(F.col("response")).isNull()).select("doc_id", "pos", F.lit("parse").alias("stage"), F.lit("no JSON").alias("message"))
-    rejected = checked_triplets(answers).filter(~F.col("ok")).select("doc_id", "pos", F.lit("validate").alias("stage"), F.lit("invalid item").alias("message"))
-    out = bad.unionByName(rejected)
+    """doc_id, pos, stage, message of answers that are no JSON, of rejected items, of triplets without an article.
+
+    Each answer is parsed once.  Where `answers` has an `error`, why the extractor
+    gave no answer, the stage is extract and the message that.
+    """
+    failed = F.col("error") if "error" in answers.columns else F.lit(None).cast("string")
+    out = answers.filter(failed.isNotNull()).select("doc_id", "pos", F.lit("extract").alias("stage"), failed.alias("message"))
+    rows = _checked(_items(answers.filter(failed.isNull()), outer=True)).filter(F.col("no_json") | (F.col("item").isNotNull() & ~F.col("ok")))
+    stage = F.when(F.col("no_json"), "parse").otherwise("validate")
+    message = F.when(F.col("no_json"), "no JSON").otherwise("invalid item")
+    out = rows.select("doc_id", "pos", stage.alias("stage"), message.alias("message")).unionByName(out)
     if dropped is not None:
         out = out.unionByName(dropped.select("doc_id", "pos", F.lit("match").alias("stage"), F.concat(F.lit("no article "), F.col("article_number")).alias("message")))
     return out

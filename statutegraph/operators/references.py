@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions import vocabulary
+from ..storage import kept
 
 
 def citations(pieces: DataFrame) -> DataFrame:
@@ -48,3 +49,10 @@ def resolved(cited: DataFrame, pieces: DataFrame) -> DataFrame:
     numbers = pieces.select("doc_id", F.regexp_extract(F.coalesce(t.article_number(F.col("article_text")), F.lit("")), r"(?U)^(제\d+조(?:의\d+)?)", 1).alias("target"), "pos")
     first = numbers.groupBy("doc_id", "target").agg(F.min("pos").alias("target_pos"))
     return cited.withColumn("target", target).join(first, ["doc_id", "target"], "left").select("doc_id", "pos", "at", "cited", "target_pos")
+
+
+def resolve(pieces: DataFrame) -> DataFrame:
+    """The citations of `pieces`, resolved: the texts are read once, numbers and citations of each article are kept."""
+    found = pieces.select("doc_id", "pos", t.article_number(F.col("article_text")).alias("article_text"), t.citations(F.col("article_text")).alias("cited"))
+    found = kept(found, "citations")
+    return resolved(found.select("doc_id", "pos", F.posexplode("cited").alias("at", "cited")), found.drop("cited"))

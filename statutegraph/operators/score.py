@@ -13,12 +13,12 @@ from ..storage import kept
 Scorer = Callable[[pd.Series], pd.Series]
 
 
-def score(rows: DataFrame, prompt: str, fn: Scorer, out: str = "response", partitions: int | None = None, batch: int = 256) -> DataFrame:
-    """`rows` with the answer of `fn` to the prompt in column `prompt`.
+def score(rows: DataFrame, prompt: str, fn: Scorer, out: str = "response", partitions: int | None = None, batch: int = 256, error: str | None = None) -> DataFrame:
+    """`rows` with the answer of `fn` to the prompt in column `prompt`, and why there is none as `error` if named.
 
     Equal prompts are asked once.  `partitions` bounds how many calls run at a
     time.  `fn` gets up to `batch` prompts; if it fails on a batch, the prompts go
-    one by one, and those that fail again get null.  Answers are written before
+    one by one, and those that fail again get null and the error's text.  Answers are written before
     they are used, as asking again costs much and may answer otherwise.
     """
 
@@ -26,22 +26,25 @@ def score(rows: DataFrame, prompt: str, fn: Scorer, out: str = "response", parti
         for pdf in batches:
             for at in range(0, len(pdf), batch):
                 part = pdf.iloc[at : at + batch].reset_index(drop=True)
+                why = None
                 try:
                     answers = fn(part["_prompt"])
                 except Exception:
-                    answers = pd.Series([_one(fn, p) for p in part["_prompt"]], dtype=object)
-                yield part.assign(**{out: answers.astype(object).where(answers.notna(), None)})
+                    one = [_one(fn, p) for p in part["_prompt"]]
+                    answers, why = pd.Series([x for x, _ in one], dtype=object), [x for _, x in one]
+                yield part.assign(**{out: answers.astype(object).where(answers.notna(), None), "_error": why})
 
     asked = rows.select(F.col(prompt).alias("_prompt")).filter(F.col(prompt).isNotNull()).distinct()
     asked = asked.repartition(partitions) if partitions else asked
-    answers = kept(asked.mapInPandas(ask, f"_prompt string, {out} string"), "answers")
+    answers = kept(asked.mapInPandas(ask, f"_prompt string, {out} string, _error string"), "answers")
     # The hash keeps long prompts out of the join's comparisons except where it agrees.
     left, right = rows.withColumn("_h", F.xxhash64(prompt)), answers.withColumn("_h", F.xxhash64("_prompt"))
-    return left.join(right, (left["_h"] == right["_h"]) & (left[prompt] == right["_prompt"]), "left").drop(left["_h"]).drop(right["_h"]).drop("_prompt")
+    rows = left.join(right, (left["_h"] == right["_h"]) & (left[prompt] == right["_prompt"]), "left").drop(left["_h"]).drop(right["_h"]).drop("_prompt")
+    return rows.withColumnRenamed("_error", error) if error else rows.drop("_error")
 
 
-def _one(fn: Scorer, prompt: str) -> str | None:
+def _one(fn: Scorer, prompt: str) -> tuple[str | None, str | None]:
     try:
-        return fn(pd.Series([prompt])).iloc[0]
-    except Exception:
-        return None
+        return fn(pd.Series([prompt])).iloc[0], None
+    except Exception as e:
+        return None, f"{type(e).__name__}: {e}"

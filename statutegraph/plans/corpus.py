@@ -30,13 +30,21 @@ def wording_triplets(pieces: DataFrame) -> DataFrame:
     return references.citation_triplets(pieces).unionByName(references.cue_triplets(pieces))
 
 
-def scored(docs: DataFrame, entity_fn: Scorer, relation_fn: Scorer, partitions: int | None = None, mode: str = "citation") -> tuple[DataFrame, DataFrame]:
-    """Entity records and triplets from two scorers: records first, then relations with their context."""
+def scored(docs: DataFrame, entity_fn: Scorer, relation_fn: Scorer, partitions: int | None = None, mode: str = "citation") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entity records, triplets and errors from two scorers: records first, then relations with their context.
+
+    An article whose record fails has the default one; what fails at the second
+    scorer gives no triplet; both stand in the errors, as does every rejected item.
+    """
     pieces = art.articles(docs, mode).withColumn("prompt", art.entity_prompt(F.col("article_text")))
-    entities = parse.entities(score(pieces, "prompt", entity_fn, partitions=partitions))
+    answers = score(pieces, "prompt", entity_fn, partitions=partitions, error="error")
+    entities = parse.entities(answers)
     with_context = art.context(entities)
     asked = with_context.withColumn("prompt", art.relation_prompt(with_context)).select("doc_id", "pos", "prompt")
-    return entities, parse.triplets(score(asked, "prompt", relation_fn, partitions=partitions)).drop("item_pos")
+    relations = score(asked, "prompt", relation_fn, partitions=partitions, error="error")
+    failed = answers.filter("error IS NOT NULL").select("doc_id", "pos", F.lit("extract entity").alias("stage"), F.col("error").alias("message"))
+    found = parse.errors(relations).withColumn("stage", F.when(F.col("stage") == "extract", "extract relation").otherwise(F.col("stage")))
+    return entities, parse.triplets(relations).drop("item_pos"), failed.unionByName(found)
 
 
 def build(docs: DataFrame, entities: DataFrame | None = None, triplets: DataFrame | None = None, mode: str = "heading") -> Graph:
@@ -49,7 +57,11 @@ def build(docs: DataFrame, entities: DataFrame | None = None, triplets: DataFram
 
 
 def pdf_documents(meta: DataFrame, pages: DataFrame) -> DataFrame:
-    """Documents of a directory's page and metadata tables, content cleaned and rejoined."""
-    docs = pdf.documents(meta, pdf.assemble_pages(pages, meta.select("path")))
+    """Documents of a directory's page and metadata tables, content cleaned and rejoined.
+
+    Files that failed are left out; pdf.failures() tells of them.
+    """
+    readable = meta.join(pdf.without_text(meta, pages).select("path"), "path", "left_anti")
+    docs = pdf.documents(readable, pdf.assemble_pages(pages, readable.select("path")))
     key = F.xxhash64("path")
     return docs.select(key.alias("doc_id"), key.alias("load_seq"), "title", "law_number", t.rejoin(F.col("content")).alias("content"))

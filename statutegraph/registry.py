@@ -33,10 +33,12 @@ def query(sql: str | None = None):
     return add
 
 
+# Fixed value: the article marker, as functions/text.py has it, in the words of the other engine.
 _PAT = r"제\s*\d+\s*조(?:의\s*\d+)?(?:제\s*\d+\s*항)?"
 _STRIP = r"'^\s+|\s+$', '', 'g'"
 _LABEL = "CASE l_returnflag || l_linestatus " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fx.LABELS) + " ELSE '참조함' END"
-_PLANT = "CASE i % 8 " + " ".join(f"WHEN {k} THEN '{w}'" for k, w in fx.PLANTED) + " ELSE '' END"
+_CITE = "' 제' || (i % 9 + 1) || '조' || CASE WHEN i % 16 = 1 THEN '의2' ELSE '' END || '제' || (i % 4 + 1) || '항' || CASE WHEN i % 3 = 0 THEN '제' || (i % 5 + 1) || '호' ELSE '' END || '에 따라'"
+_PLANT = f"CASE i % 8 WHEN 1 THEN {_CITE} " + " ".join(f"WHEN {k} THEN '{w}'" for k, w in fx.PLANTED) + " ELSE '' END"
 
 
 def _split(c: str, pat: str = _PAT) -> str:
@@ -49,10 +51,10 @@ ld AS (SELECT doc_id, doc_id AS load_seq, source AS title, '법률 제' || doc_i
          array_to_string(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x, i: '제' || i || '조 ' || x), chr(10) || chr(10)) AS content FROM documents),
 pieces AS (SELECT doc_id, load_seq, title, i - 1 AS pos, ps[i] AS article_text FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS i FROM (SELECT doc_id, load_seq, title, {_split('content')} AS ps FROM ld))),
 art AS (SELECT doc_id, load_seq, pos, '제' || (pos % 5 + 1) || '조' AS article_number, substring(article_text, 1, 20) AS concept, article_text FROM pieces),
-tri AS (SELECT l_orderkey % 200 AS doc_id,
-          row_number() OVER (PARTITION BY l_orderkey % 200 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS pos,
+tri AS (SELECT l_orderkey % n AS doc_id,
+          row_number() OVER (PARTITION BY l_orderkey % n ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS pos,
           'S' || l_suppkey % 5 AS subject, {_LABEL} AS relation, 'P' || l_partkey % 10 AS object, '제' || l_linenumber || '조' AS article_number,
-          round(l_discount::DOUBLE * 10, 1) AS confidence FROM lineitem),
+          round(l_discount::DOUBLE * 10, 1) AS confidence FROM lineitem, (SELECT greatest(1, count(*)) AS n FROM documents)),
 ded AS (SELECT doc_id, subject, relation, object, arg_max(article_number, confidence * 10000000 - pos) AS article_number, max(confidence) AS confidence,
           arg_max(pos, confidence * 10000000 - pos) AS pos, min(pos) AS first_pos FROM tri GROUP BY 1, 2, 3, 4),
 edges AS (SELECT d.doc_id, d.pos, subject, relation, object, confidence, d.article_number AS article, multiplicity
@@ -207,10 +209,15 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.entities(_edges(spark, sf_dir))
 
 
-@query("SELECT DISTINCT name FROM (SELECT unnest([subject, object]) AS name FROM edges WHERE doc_id % 4 = 1) WHERE name NOT IN (SELECT subject FROM edges WHERE doc_id % 4 = 0 UNION SELECT object FROM edges WHERE doc_id % 4 = 0)")
+@query(
+    """SELECT DISTINCT name FROM (SELECT unnest([subject, object]) || '-' || doc_id // 3 AS name FROM edges WHERE doc_id % 4 <> 0)
+    WHERE name NOT IN (SELECT unnest([subject, object]) || '-' || doc_id // 3 FROM edges WHERE doc_id % 4 = 0)"""
+)
 def merge_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = _edges(spark, sf_dir)
-    return graph.new_entities(graph.entities(edges.filter("doc_id % 4 = 1")), graph.entities(edges.filter("doc_id % 4 = 0")))
+    """Names of three documents each: those of every fourth document are there, the others arrive."""
+    of = F.concat(F.lit("-"), F.floor(F.col("doc_id") / 3))
+    edges = _edges(spark, sf_dir).withColumns({c: F.concat(c, of) for c in ("subject", "object")})
+    return graph.new_entities(graph.entities(edges.filter("doc_id % 4 <> 0")), graph.entities(edges.filter("doc_id % 4 = 0")))
 
 
 @query(
@@ -374,18 +381,20 @@ def cue_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.cue_triplets(art.articles(fx.planted_text(spark, sf_dir), "heading"))
 
 
-@query(rf"SELECT DISTINCT cited, regexp_extract(cited, '^(제\d+조)', 1) AS parent, regexp_extract(cited, '^(제\d+조)', 1) AS article FROM ({_CITED}) WHERE cited LIKE '%항'")
+@query(
+    rf"""SELECT DISTINCT cited, CASE WHEN cited LIKE '%호' THEN regexp_replace(cited, '제\d+호$', '') WHEN cited LIKE '%항' THEN regexp_replace(cited, '제\d+항$', '')
+    WHEN regexp_matches(cited, '조의\d+$') THEN regexp_replace(cited, '의\d+$', '') END AS parent, nullif(regexp_extract(cited, '^(제\d+조(?:의\d+)?)', 1), cited) AS article FROM ({_CITED})"""
+)
 def parent_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.parents(references.citations(art.articles(fx.planted_text(spark, sf_dir), "heading")))
 
 
 @query(
-    rf"""SELECT c.doc_id, c.pos, c.at, c.cited, t.target_pos FROM (SELECT *, regexp_extract(cited, '^(제\d+조)', 1) AS target FROM ({_CITED})) c
+    rf"""SELECT c.doc_id, c.pos, c.at, c.cited, t.target_pos FROM (SELECT *, regexp_extract(cited, '^(제\d+조(?:의\d+)?)', 1) AS target FROM ({_CITED})) c
     LEFT JOIN (SELECT doc_id, regexp_extract(article_text, '^(제\d+조)', 1) AS target, min(pos) AS target_pos FROM hp GROUP BY 1, 2) t ON t.doc_id = c.doc_id AND t.target = c.target"""
 )
 def citation_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = art.articles(fx.planted_text(spark, sf_dir), "heading")
-    return references.resolved(references.citations(pieces), pieces)
+    return references.resolve(art.articles(fx.planted_text(spark, sf_dir), "heading"))
 
 
 # ---------------------------------------------------------------- sources, sinks, scoring, streams
@@ -406,6 +415,45 @@ def file_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pdf.failures(fx.meta_of_file(spark, sf_dir))
 
 
+@query(
+    """SELECT path, 'metadata' AS stage, error AS message FROM meta WHERE error IS NOT NULL
+    UNION ALL SELECT path, 'text', 'no page could be read' FROM meta WHERE error IS NULL AND n % 13 = 12"""
+)
+def text_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every thirteenth file has no page that could be read."""
+    pages = fx.pages_of_file(spark, sf_dir).filter(F.regexp_extract("path", r"(-?\d+)\.pdf$", 1).cast("long") % 13 != 12)
+    return pdf.failures(fx.meta_of_file(spark, sf_dir), pages)
+
+
+@query(
+    """SELECT path, CASE WHEN error IS NULL THEN title ELSE '' END AS title, '' AS author, CASE WHEN error IS NULL THEN meta.subject ELSE '' END AS subject, CASE WHEN error IS NULL THEN k ELSE 0 END AS pages, filename, error
+    FROM meta JOIN (SELECT '/' || conv_id || '.pdf' AS path, count(*)::INT AS k FROM conversations GROUP BY 1) USING (path)"""
+)
+def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pdf.described(fx.meta_of_file(spark, sf_dir))
+
+
+@query(
+    rf"""SELECT path AS doc_id, length(array_to_string(ps, chr(10) || chr(10)))::BIGINT AS chars, len(ps)::BIGINT AS articles, 0::BIGINT AS entities, 0::BIGINT AS triplets, k AS pages
+    FROM (SELECT path, {_split('c')} AS ps FROM (SELECT path, trim(regexp_replace(content, '\s+', ' ', 'g')) AS c FROM joined JOIN meta USING (path) WHERE error IS NULL))
+    JOIN (SELECT '/' || conv_id || '.pdf' AS path, count(*)::INT AS k FROM conversations GROUP BY 1) USING (path)"""
+)
+def file_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of files before extraction: no entities, no triplets, pages as the metadata tells."""
+    meta = fx.meta_of_file(spark, sf_dir)
+    docs = pdf.documents(meta, pdf.assemble_pages(fx.pages_of_file(spark, sf_dir))).withColumnRenamed("path", "doc_id")
+    none = docs.select("doc_id").filter(F.lit(False))
+    return art.with_counts(docs, none, none, meta.select(F.col("path").alias("doc_id"), "pages"))
+
+
+@query("SELECT conv_id || '.' || CASE WHEN conv_id % 2 = 0 THEN 'pdf' ELSE 'PDF' END AS file, sum(octet_length(encode(coalesce(text, ''))))::BIGINT AS length FROM conversations WHERE conv_id % 3 <> 0 GROUP BY conv_id HAVING sum(octet_length(encode(coalesce(text, '')))) > 0")
+def list_pdf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file written for each conversation, a third of them no PDF by name; the others are listed."""
+    folder = new_path(spark, "files")
+    fx.write_files(spark, sf_dir, folder)
+    return pdf.list_files(spark, folder).select(F.substring_index("path", "/", -1).alias("file"), "length")
+
+
 @query("SELECT title, article_number, concept, NULL::VARCHAR AS subject, NULL::VARCHAR AS action, NULL::VARCHAR AS object, article_text AS full_text FROM art JOIN ld USING (doc_id)")
 def article_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written as CSV and read again."""
@@ -468,30 +516,52 @@ def scored_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.scored(fx.legal_documents(spark, sf_dir), _entity_stub, _relation_stub)[1]
 
 
+def _failing_stub(prompts: pd.Series) -> pd.Series:
+    """A model that refuses texts of some lengths."""
+    if (prompts.str.len() % 7 == 3).any():
+        raise ValueError("refused")
+    return _entity_stub(prompts)
+
+
+@query(
+    """SELECT doc_id, pos, 'extract entity' AS stage, 'ValueError: refused' AS message FROM (SELECT *, length('다음 조문의 번호, 개념, 주체, 행위, 대상을 JSON으로 답하라.' || chr(10) || chr(10) || article_text) AS n FROM pieces) WHERE n % 7 = 3
+    UNION ALL SELECT doc_id, pos, 'validate', 'invalid item' FROM pieces"""
+)
+def extraction_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two scorers leave as errors: refusals of the first, and from each answer of the second an item that is no triplet."""
+    return corpus.scored(fx.legal_documents(spark, sf_dir), _failing_stub, _relation_stub)[2]
+
+
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fx.table(spark, sf_dir, "documents").schema
     # A pattern, as the table may be a file or a folder.
-    return fx.statutes_of(spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]"))
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]")
 
 
 @query("SELECT doc_id, pos, article_text FROM pieces")
 def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "stream-split")
-    arrivals.split_stream(_arriving(spark, sf_dir), f"{path}/out", f"{path}/state").awaitTermination()
+    arrivals.split_stream(fx.statutes_of(_arriving(spark, sf_dir)), f"{path}/out", f"{path}/state").awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
 
-@query(rf"SELECT (SELECT count(*) FROM ld) AS documents, (SELECT count(*) FROM pieces) AS articles, 0::BIGINT AS entities")
+_WORDING = (
+    rf"SELECT DISTINCT doc_id, n AS subject, '참조함' AS relation, cited AS object FROM ({_CITED}) JOIN (SELECT doc_id, pos, regexp_extract(article_text, '^({_PAT})', 1) AS n FROM hp) USING (doc_id, pos)"
+    + "".join(rf" UNION ALL SELECT DISTINCT doc_id, regexp_extract(article_text, '^({_PAT})', 1), '{label}', regexp_extract(article_text, '({cue})', 1) FROM hp WHERE regexp_matches(article_text, '{cue}')" for label, cue in vocabulary.CUES)
+)
+
+
+@query(f"SELECT * FROM (WITH w AS ({_WORDING}) SELECT (SELECT count(*) FROM ld) AS documents, (SELECT count(*) FROM hp) AS articles, (SELECT count(*) FROM (SELECT subject FROM w UNION SELECT object FROM w)) AS entities, (SELECT count(*) FROM w) AS relations)")
 def stream_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planted documents arrive and are appended to a graph."""
     path = new_path(spark, "stream-graph")
-    arrivals.append_stream(_arriving(spark, sf_dir), f"{path}/graph", f"{path}/state", mode="citation").awaitTermination()
+    titles = {"load_seq": F.col("doc_id"), "title": F.lit(""), "law_number": F.lit("")}
+    arrivals.append_stream(fx.planted_of(_arriving(spark, sf_dir)).withColumns(titles), f"{path}/graph", f"{path}/state").awaitTermination()
     saved = store.load(spark, f"{path}/graph")
-    return graph.statistics(saved.documents, saved.articles, saved.entities)
+    return graph.statistics(saved.documents, saved.articles, saved.entities, relations=saved.relations)
 
 
-@query(rf"SELECT relation, count(*) AS edges FROM (SELECT DISTINCT doc_id, n AS subject, '참조함' AS relation, cited AS object FROM ({_CITED}) JOIN (SELECT doc_id, pos, regexp_extract(article_text, '^({_PAT})', 1) AS n FROM hp) USING (doc_id, pos)"
-       + "".join(rf" UNION ALL SELECT DISTINCT doc_id, regexp_extract(article_text, '^({_PAT})', 1), '{label}', regexp_extract(article_text, '({cue})', 1) FROM hp WHERE regexp_matches(article_text, '{cue}')" for label, cue in vocabulary.CUES)
-       + ") GROUP BY 1")
+@query(f"SELECT relation, count(*) AS edges FROM ({_WORDING}) GROUP BY 1")
 def wording_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole plan on planted text: split, records, triplets, deduplication, edges; counted by relation."""
     docs = fx.planted_text(spark, sf_dir).select("doc_id", F.lit("").alias("title"), F.lit("").alias("law_number"), "content")

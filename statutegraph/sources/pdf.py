@@ -44,6 +44,21 @@ def documents(meta: DataFrame, contents: DataFrame) -> DataFrame:
     return good.join(contents, "path").select("path", title.alias("title"), F.concat(F.lit("PDF 문서 - "), "filename").alias("law_number"), "content")
 
 
-def failures(meta: DataFrame) -> DataFrame:
-    """path, stage, message of files whose metadata could not be read; one never fails the job."""
-    return meta.filter("error IS NOT NULL").select("path", F.lit("metadata").alias("stage"), F.col("error").alias("message"))
+def described(meta: DataFrame) -> DataFrame:
+    """The metadata with blanks and no pages where it could not be read; `error` says why."""
+    bad = F.col("error").isNotNull()
+    blank = {c: F.when(bad, F.lit("")).otherwise(F.col(c)) for c in ("title", "author", "subject")}
+    return meta.withColumns(blank | {"pages": F.when(bad, F.lit(0)).otherwise(F.col("pages"))})
+
+
+def without_text(meta: DataFrame, pages: DataFrame) -> DataFrame:
+    """Files of readable metadata that tells of pages, of which none could be read."""
+    return meta.filter("error IS NULL AND pages > 0").join(pages.select("path").distinct(), "path", "left_anti")
+
+
+def failures(meta: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """path, stage, message of files whose metadata could not be read and, given the pages, of those without text; one never fails the job."""
+    out = meta.filter("error IS NOT NULL").select("path", F.lit("metadata").alias("stage"), F.col("error").alias("message"))
+    if pages is not None:
+        out = out.unionByName(without_text(meta, pages).select("path", F.lit("text").alias("stage"), F.lit("no page could be read").alias("message")))
+    return out

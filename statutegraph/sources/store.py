@@ -1,7 +1,14 @@
-"""A graph as five Parquet tables in a folder."""
+"""A graph as five Parquet tables in a folder.
+
+A save writes folders of its own and counts from the row on that the table of
+saves gets at the end: a run that breaks off leaves nothing that is read, and may
+be repeated.  Clearing starts a new generation the same way, so the old graph
+stays whole until the new one is.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -22,69 +29,73 @@ class Graph:
     relations: DataFrame
 
 
-def table_path(path: str, name: str) -> str:
-    return f"{path.rstrip('/')}/{name}"
+def table_path(path: str, name: str, save: str | None = None) -> str:
+    return f"{path.rstrip('/')}/{name}" + (f"/save={save}" if save else "")
 
 
-def _read(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+def _saves(spark: SparkSession, path: str) -> tuple[list[str], int]:
+    """The saves of the latest generation, and its number; -1 if there is none."""
     try:
-        return spark.read.parquet(table_path(path, name))
+        rows = spark.read.schema("save string, generation long").parquet(table_path(path, "saves")).distinct().collect()  # a row for each save
     except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
+        return [], -1
+    last = max((r["generation"] for r in rows), default=-1)
+    return sorted(r["save"] for r in rows if r["generation"] == last), last
 
 
-def load(spark: SparkSession, path: str) -> Graph:
-    return Graph(*(spark.read.parquet(table_path(path, name)).drop("batch") for name in TABLES))
+def _read(spark: SparkSession, path: str, name: str, saves: list[str]) -> DataFrame | None:
+    return spark.read.parquet(*(table_path(path, name, x) for x in saves)) if saves else None
 
 
-def save(graph: Graph, path: str, clear: bool = False, on_duplicate: str = "skip") -> None:
-    """Write a graph, in place of what is there or added to it.
+def load(spark: SparkSession, path: str) -> Graph:
+    saves, _ = _saves(spark, path)
+    if not saves:
+        raise FileNotFoundError(f"no graph was saved in {path}")
+    return Graph(*(_read(spark, path, name, saves) for name in TABLES))
 
-    Adding skips documents that are there already, with all that hangs on them,
-    unless on_duplicate="append".  Entities are created only where absent.
-    """
-    if on_duplicate not in ("skip", "append"):
-        raise ValueError(f"on_duplicate is skip or append, not {on_duplicate!r}")
+
+def _write(graph: Graph, path: str, save_id: str, generation: int, others: list[str], skip: bool) -> None:
+    """Write a save next to `others`; their documents, with all that hangs on them, are left out if `skip`, their entities always."""
     spark = graph.documents.sparkSession
-    old = None if clear else _read(spark, path, "documents")
-    mode = "overwrite" if clear else "append"
     parts = {name: getattr(graph, name) for name in TABLES}
-    if old is not None and on_duplicate == "skip":
-        there = old.select("doc_id").distinct()
+    there = _read(spark, path, "documents", others)
+    if there is not None and skip:
         for name in ("documents", "articles", "contains", "relations"):
-            parts[name] = parts[name].join(there, "doc_id", "left_anti")
+            parts[name] = parts[name].join(there.select("doc_id").distinct(), "doc_id", "left_anti")
         names = parts["relations"].select(F.explode(F.array("subject", "object")).alias("name")).distinct()
         parts["entities"] = parts["entities"].join(names, "name", "left_semi")
-    names = None if clear else _read(spark, path, "entities")
+    names = _read(spark, path, "entities", others)
     if names is not None:
         parts["entities"] = new_entities(parts["entities"], names)
-    # Documents last: a run that breaks off before is repeated whole.
-    for name in ("articles", "entities", "contains", "relations", "documents"):
-        parts[name].write.mode(mode).parquet(table_path(path, name))
+    for name in TABLES:
+        parts[name].write.mode("overwrite").parquet(table_path(path, name, save_id))
+    row = spark.createDataFrame([(save_id, generation)], "save string, generation long")
+    row.coalesce(1).write.mode("append").parquet(table_path(path, "saves"))
 
 
-def save_batch(graph: Graph, path: str, batch_id: int) -> None:
-    """Write a micro-batch into folders of its own, replacing what a broken run of it left.
+def save(graph: Graph, path: str, clear: bool = False, on_duplicate: str = "skip") -> None:
+    """Write a graph, in place of what is there or added to it.
 
-    Documents that other batches brought are skipped, with all that hangs on
-    them, and entities are created only where no other batch did.  A graph is
-    kept either in batches or by save(), not both.
+    Adding skips documents that are there already, with all that hangs on them,
+    unless on_duplicate="append".  Entities are created only where absent.  One
+    save at a time: two that run at once do not see each other.
     """
-    spark = graph.documents.sparkSession
-    parts = {name: getattr(graph, name) for name in TABLES}
+    if on_duplicate not in ("skip", "append"):
+        raise ValueError(f"on_duplicate is skip or append, not {on_duplicate!r}")
+    saves, generation = _saves(graph.documents.sparkSession, path)
+    if clear or generation < 0:
+        saves, generation = [], generation + 1
+    _write(graph, path, uuid.uuid4().hex, generation, saves, on_duplicate == "skip")
 
-    def others(name: str) -> DataFrame | None:
-        old = _read(spark, path, name)
-        return None if old is None else old.filter(F.col("batch") != batch_id)
 
-    there = others("documents")
-    if there is not None:
-        for name in ("documents", "articles", "contains", "relations"):
-            parts[name] = parts[name].join(there.select("doc_id").distinct(), "doc_id", "left_anti")
-    names = parts["relations"].select(F.explode(F.array("subject", "object")).alias("name")).distinct()
-    old_names = others("entities")
-    parts["entities"] = names if old_names is None else new_entities(names, old_names)
-    for name in ("articles", "entities", "contains", "relations", "documents"):
-        parts[name].write.mode("overwrite").parquet(f"{table_path(path, name)}/batch={batch_id}")
+def save_batch(graph: Graph, path: str, batch_id: int) -> None:
+    """Write a micro-batch as a save of its number, replacing what an earlier run of it left.
+
+    Documents that other saves brought are skipped, with all that hangs on them,
+    and entities are created only where no other save did.
+    """
+    saves, generation = _saves(graph.documents.sparkSession, path)
+    own = f"batch-{batch_id}"
+    _write(graph, path, own, max(0, generation), [x for x in saves if x != own], True)

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from statutegraph.operators import graph
 from statutegraph.plans import corpus
 from statutegraph.schemas import DOCUMENTS, PDF_META, PDF_PAGES
@@ -36,6 +38,10 @@ def test_pages_and_documents(spark):
     assert got == {"/a.pdf": ("주제", "PDF 문서 - a.pdf", "하나\n\n\n 둘"), "/b.v1.pdf": ("b.v1", "PDF 문서 - b.v1.pdf", ""), "/d.pdf": ("t", "PDF 문서 - d.pdf", "")}
     assert [tuple(r) for r in pdf.failures(m).collect()] == [("/e.pdf", "metadata", "broken")]
     assert corpus.pdf_documents(m, p).count() == 3
+    some = p.filter("path <> '/a.pdf'")
+    assert [tuple(r) for r in pdf.failures(m, some).orderBy("path").collect()] == [("/a.pdf", "text", "no page could be read"), ("/e.pdf", "metadata", "broken")]
+    assert corpus.pdf_documents(m, some).count() == 2
+    assert [(r.title, r.author, r.pages) for r in pdf.described(m).filter("path = '/e.pdf'").collect()] == [("", "", 0)]
 
 
 def test_listings_survive_the_trip(spark, tmp_path):
@@ -71,6 +77,38 @@ def test_save_clear_skip_append(spark, tmp_path):
     assert counts(spark, path)[:2] == (1, 2)
 
 
+@pytest.mark.parametrize("clear", [False, True])
+@pytest.mark.parametrize("breaks_at", ["articles", "entities", "relations", "saves"])
+def test_a_save_that_breaks_off_is_repeated_whole(spark, tmp_path, monkeypatch, clear, breaks_at):
+    path = str(tmp_path / "g")
+    store.save(corpus.build(docs(spark, [1, 2])), path)
+    before, real = counts(spark, path), store.table_path
+
+    def broken(path, name, save=None):
+        if name == breaks_at and (save or broken.reads > 1):
+            raise OSError("lost")
+        broken.reads += name == breaks_at
+        return real(path, name, save)
+
+    broken.reads = 1 if breaks_at == "saves" else 0
+    graph_ = corpus.build(docs(spark, [2, 3]))
+    monkeypatch.setattr(store, "table_path", broken)
+    with pytest.raises(OSError):
+        store.save(graph_, path, clear=clear)
+    monkeypatch.setattr(store, "table_path", real)
+    assert counts(spark, path) == before
+    store.save(graph_, path, clear=clear)
+    got = counts(spark, path)
+    assert got[:2] == ((2, 4) if clear else (3, 6))
+    store.save(graph_, path, clear=clear)
+    assert counts(spark, path) == got
+
+
+def test_no_graph_there(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        store.load(spark, str(tmp_path / "none"))
+
+
 def test_streams_equal_the_batch(spark, tmp_path):
     source, path = tmp_path / "in", str(tmp_path / "g")
     docs(spark, [1, 2, 3]).coalesce(1).write.parquet(str(source / "one"))
@@ -93,6 +131,23 @@ def test_scored_plan(spark):
 
     entity = lambda s: pd.Series(['{"article_number":"제1조","concept":"뜻","full_text":"글"}'] * len(s))
     relation = lambda s: pd.Series(['[{"subject":"갑","relation":"정의함","object":"을","article_number":"제1조"}]'] * len(s))
-    entities, triplets = corpus.scored(docs(spark, [1]), entity, relation, mode="heading")
+    entities, triplets, errors = corpus.scored(docs(spark, [1]), entity, relation, mode="heading")
+    assert errors.count() == 0
     g = corpus.build(docs(spark, [1]), entities, triplets)
     assert [(r.subject, r.multiplicity) for r in g.relations.collect()] == [("갑", 2)]
+
+
+def test_errors_of_scorers_are_kept(spark):
+    import pandas as pd
+
+    def entity(s):
+        if s.str.contains("고시").any():
+            raise ValueError("no answer")
+        return pd.Series(['{"article_number":"제2조","concept":"뜻","full_text":"글"}'] * len(s))
+
+    def relation(s):
+        return pd.Series(["{" if "조항: 제2조" in p else '[{"subject":1}]' for p in s])
+
+    entities, triplets, errors = corpus.scored(docs(spark, [1]), entity, relation, mode="heading")
+    assert triplets.count() == 0 and {r.article_number for r in entities.collect()} == {"Unknown", "제2조"}
+    assert sorted((r.pos, r.stage, r.message) for r in errors.collect()) == [(0, "extract entity", "ValueError: no answer"), (0, "validate", "invalid item"), (1, "parse", "no JSON")]
