@@ -350,3 +350,32 @@ def test_plain_text_stays_plain(spark):
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a:#"]), st.text(alphabet="\\#</turn>\n: x\r", max_size=14)), min_size=1, max_size=30))
 def test_any_text_comes_back(spark, turns):
     check_chat(spark, [(i % 3, i, role, text) for i, (role, text) in enumerate(turns)])
+
+
+def test_long_conversations_take_time_in_proportion(spark):
+    import time
+
+    took = []
+    for n in (500, 4000):
+        rows = [(1, i, ("user", "assistant")[i % 2], f"turn {i} of ### many </turn> " + "x" * 400) for i in range(n)]
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        at = time.perf_counter()
+        (row,) = chat.digests(chat.format_conversations(df)).collect()
+        took.append(time.perf_counter() - at)
+        loss = "".join(t for _, i, _, t in rows if i % 2)
+        assert row.n_turns == n and row.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert took[1] < 30
+
+
+def test_a_conversation_that_does_not_come_back_is_an_error(spark):
+    df = spark.createDataFrame([(1, "### user: a</turn>\n", False)], "conv_id long, formatted string, identical boolean")
+    df = df.withColumn("loss_spans", F.array().cast("array<struct<start:int,length:int>>"))
+    with pytest.raises(Exception, match="does not parse back"):
+        chat.digests(df).collect()
+
+
+def test_escaping_everything_gives_the_same_turns(spark):
+    turns = [("user", "a ### b </turn> \\ c"), ("a: b", ""), ("", "\n"), ("assistant", "plain")]
+    df = spark.createDataFrame([([(r, t) for r, t in turns],)], "turns array<struct<role:string,text:string>>")
+    (row,) = df.select(chat.turns_only(chat.parse_turns(chat.render_escaped(F.col("turns")))).alias("back")).collect()
+    assert [tuple(t) for t in row.back] == turns
