@@ -26,6 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt to all cores where their files give fewer partitions than that: what follows is work of the processor.
+
+    A large table has more partitions than cores and stays as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def statutes_of(docs: DataFrame) -> DataFrame:
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     content = F.concat_ws("\n\n", F.transform(lines, lambda x, i: F.concat(F.lit("제"), i + 1, F.lit("조 "), x)))
@@ -35,7 +44,7 @@ def statutes_of(docs: DataFrame) -> DataFrame:
 
 def legal_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose lines are articles; titles (the source) repeat on purpose."""
-    return statutes_of(table(spark, sf_dir, "documents"))
+    return statutes_of(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
 
 
 def planted_citation(n: Column) -> Column:
@@ -58,7 +67,7 @@ def planted_of(docs: DataFrame) -> DataFrame:
 
 def planted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with titled headings and a phrase on most articles."""
-    return planted_of(table(spark, sf_dir, "documents"))
+    return planted_of(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
