@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: White space as Python's str methods see it: Java's Unicode class and four separators.
 SPACE = r"[\s\x1c-\x1f]"
+#: The same characters, one by one.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # The article marker 제N조[의N][제N항].
 ARTICLE = rf"제{SPACE}*\d+{SPACE}*조(?:의{SPACE}*\d+)?(?:제{SPACE}*\d+{SPACE}*항)?"
 ITEM = rf"(?:제{SPACE}*\d+{SPACE}*호)?"
@@ -19,12 +21,13 @@ NO_CONTEXT = "없음"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{UNICODE}^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))  # looks at the ends only
 
 
 def clean_text(c: Column) -> Column:
     """Every run of white space, no-break spaces too, as one space; none at the ends."""
-    return F.trim(F.regexp_replace(c, rf"{UNICODE}{SPACE}+", " "))
+    # A single space, the commonest run by far, is left as it is.
+    return F.trim(F.regexp_replace(c, rf"{UNICODE}[\s\x1c-\x1f&&[^ ]]{SPACE}*| {SPACE}+", " "))
 
 
 def or_default(c: Column, default: str) -> Column:

@@ -16,7 +16,7 @@ from .operators import dedup, graph, parse, references
 from .operators.score import score
 from .plans import corpus
 from .sources import exports, pdf, store
-from .storage import new_path
+from .storage import kept, new_path
 from .streaming import arrivals
 
 QUERIES: dict = {}
@@ -308,7 +308,8 @@ def contains_graph_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def relation_edges_graph_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.relation_edges_graph_scope(fx.legal_documents(spark, sf_dir), dedup.dedup_triplets(fx.triplets(spark, sf_dir)), fx.articles(spark, sf_dir))
+    winners = kept(dedup.dedup_triplets(fx.triplets(spark, sf_dir)), "winners")  # read twice
+    return graph.relation_edges_graph_scope(fx.legal_documents(spark, sf_dir), winners, fx.articles(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- parsing
