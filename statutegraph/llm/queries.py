@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact, langid, mixing, pii, sharding, simhash, urls, warc
+from . import chat, decontam, exact, langid, mixing, pii, pq, sharding, simhash, urls, warc
 
 #: The surrogates' key; a deployment passes its own, kept apart from the data.
 KEY = b"statutegraph-test-key"
@@ -65,6 +65,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.coded_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,7 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_surrogates, op2_warc, op3_hilbert, op4_urls, op5_chat, op6_exact, op7_mixing, op8_decontaminate, op9_langid, op10_simhash, pipeline)
+    for f in (op1_surrogates, op2_warc, op3_hilbert, op4_urls, op5_chat, op6_exact, op7_mixing, op8_decontaminate, op9_langid, op10_simhash, op12_codes, pipeline)
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -86,6 +90,19 @@ _BASE32 = """array_to_string(list_transform(range(32), lambda i:
 _ESCAPED = r"""replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn>', '<\/turn>')"""
 
 
+def _assigned(r: int) -> str:
+    return f"""a{r} AS MATERIALIZED (
+            SELECT vec_id, label, part, any_value(x) AS x, min({{'d': list_sum(list_transform(list_zip(x, y), lambda t: (t[1] - t[2]) * (t[1] - t[2])))::BIGINT, 'e': e}}) AS m
+            FROM p JOIN b{r} USING (part) GROUP BY vec_id, label, part)"""
+
+
+def _moved(r: int) -> str:
+    return f"""b{r + 1} AS MATERIALIZED (
+            SELECT part, e, coalesce(n.y, b{r}.y) AS y FROM b{r} LEFT JOIN (
+                SELECT part, e, list(floor(s / c)::BIGINT ORDER BY i) AS y
+                FROM (SELECT part, m.e AS e, i, sum(x[i + 1]) AS s, count(*) AS c FROM a{r}, unnest(range(len(x))) u(i) GROUP BY ALL) GROUP BY part, e) n USING (part, e))"""
+
+
 def _terms(terms: tuple[str, ...]) -> str:
     return " + ".join(f"regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)')::INT" for t in terms)
 
@@ -153,4 +170,14 @@ ORACLES = {
         ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS sh FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
         m AS (SELECT doc_id, item_id, count(*) AS matched FROM ds JOIN s USING (sh) GROUP BY doc_id, item_id)
         SELECT doc_id, item_id, matched, shingles, matched::DOUBLE / shingles AS containment FROM m JOIN n USING (item_id) WHERE matched >= 0.8 * shingles""",
+    "op12_codes": f"""
+        WITH k AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v, len(embedding) // 16 AS w FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (SELECT vec_id, label, part, v[part * w + 1:(part + 1) * w] AS x FROM k, range(16) r(part)),
+        b0 AS MATERIALIZED (SELECT part, dense_rank() OVER (ORDER BY vec_id) - 1 AS e, x AS y FROM p WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 64)),
+        {_assigned(0)}, {_moved(0)}, {_assigned(1)}, {_moved(1)}, {_assigned(2)},
+        z AS (SELECT vec_id, label, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM a2 GROUP BY vec_id, label),
+        h AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, e)) AS sha FROM b2)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, sha AS codebooks_sha256 FROM z, h""",
 }
