@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact, langid, mixing, pii, pq, sharding, simhash, urls, warc
+from . import chat, decontam, exact, langid, mixing, pii, pq, sharding, simhash, trie, urls, warc
 
 #: The surrogates' key; a deployment passes its own, kept apart from the data.
 KEY = b"statutegraph-test-key"
@@ -69,6 +69,10 @@ def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.coded_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +81,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_surrogates, op2_warc, op3_hilbert, op4_urls, op5_chat, op6_exact, op7_mixing, op8_decontaminate, op9_langid, op10_simhash, op12_codes, pipeline)
+    for f in (op1_surrogates, op2_warc, op3_hilbert, op4_urls, op5_chat, op6_exact, op7_mixing, op8_decontaminate, op9_langid, op10_simhash, op12_codes, op13_trie, pipeline)
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -90,6 +94,11 @@ _BASE32 = """array_to_string(list_transform(range(32), lambda i:
 _ESCAPED = r"""replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn>', '<\/turn>')"""
 
 
+#: CRC-32 of an id's digits: each byte is taken in, then eight steps follow.
+_CRC32 = """xor(4294967295, list_reduce(flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, o: CASE WHEN o >= 0 THEN xor(a, o) ELSE xor(a >> 1, (a & 1) * 3988292384) END, 4294967295::BIGINT))"""
+
+
 def _assigned(r: int) -> str:
     return f"""a{r} AS MATERIALIZED (
             SELECT vec_id, label, part, any_value(x) AS x, min({{'d': list_sum(list_transform(list_zip(x, y), lambda t: (t[1] - t[2]) * (t[1] - t[2])))::BIGINT, 'e': e}}) AS m
@@ -180,4 +189,19 @@ ORACLES = {
         z AS (SELECT vec_id, label, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM a2 GROUP BY vec_id, label),
         h AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, e)) AS sha FROM b2)
         SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, sha AS codebooks_sha256 FROM z, h""",
+    "op13_trie": f"""
+        WITH o AS (SELECT conv_id, list(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s,
+                          list(length(coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS l
+                   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        h AS (SELECT *, ({_CRC32} % 6)::INTEGER AS h FROM o),
+        b AS MATERIALIZED (SELECT a.conv_id, list_concat(coalesce(o.s[1:h], []), a.s[h + 1:]) AS s, list_concat(coalesce(o.l[1:h], []), a.l[h + 1:]) AS l
+                           FROM h a LEFT JOIN o ON o.conv_id = a.conv_id - a.conv_id % 100),
+        n AS MATERIALIZED (SELECT s[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(l[d], 0)) AS chars,
+                                  coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = d), '') AS ends
+                           FROM b, unnest(range(len(s) + 1)) u(d) GROUP BY 1, 2),
+        c AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+        m AS MATERIALIZED (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (p)),
+        t AS (SELECT p[1:k] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens FROM m, unnest(range(d + 1)) u(k) GROUP BY 1)
+        SELECT m.conv_id, m.d AS depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens, sha256(m.ends) AS ends_sha256
+        FROM m JOIN t USING (p) LEFT JOIN n up ON m.d > 0 AND up.p = m.p[1:m.d - 1] AND up.d = m.d - 1""",
 }
