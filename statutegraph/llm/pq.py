@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, staged, with_group
+from .common import row_key, spans, staged, with_group
 
 PARTS = 16
 ENTRIES = 64
@@ -47,12 +47,6 @@ class Codebooks:
         return hashlib.sha256(",".join(map(str, self.entries.ravel().tolist())).encode()).hexdigest()
 
 
-def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers of all the runs, one after the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
-
-
 class Tree:
     """Balanced trees over `len(points) / n` runs of `n` points each, all of one shape.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact, langid, mixing, pii, pq, sharding, simhash, trie, urls, warc
+from . import chat, decontam, exact, langid, mixing, pii, pq, sharding, simhash, suffix, trie, urls, warc
 
 #: The surrogates' key; a deployment passes its own, kept apart from the data.
 KEY = b"statutegraph-test-key"
@@ -65,6 +65,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.coded_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -81,7 +85,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_surrogates, op2_warc, op3_hilbert, op4_urls, op5_chat, op6_exact, op7_mixing, op8_decontaminate, op9_langid, op10_simhash, op12_codes, op13_trie, pipeline)
+    for f in (op1_surrogates, op2_warc, op3_hilbert, op4_urls, op5_chat, op6_exact, op7_mixing, op8_decontaminate, op9_langid, op10_simhash, op11_repeats, op12_codes, op13_trie, pipeline)
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -179,6 +183,19 @@ ORACLES = {
         ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS sh FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
         m AS (SELECT doc_id, item_id, count(*) AS matched FROM ds JOIN s USING (sh) GROUP BY doc_id, item_id)
         SELECT doc_id, item_id, matched, shingles, matched::DOUBLE / shingles AS containment FROM m JOIN n USING (item_id) WHERE matched >= 0.8 * shingles""",
+    # Texts as hexadecimal digits, in chunks, as a string's end is reached from its beginning.
+    "op11_repeats": """
+        WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        y AS MATERIALIZED (SELECT doc_id, 1000 * k AS at, substr(x, 2000 * k + 1, 2098) AS y FROM d, unnest(range(len(x) // 2000 + 1)) u(k)),
+        w AS MATERIALIZED (SELECT doc_id, at + t AS s, substr(y, 2 * t + 1, 100) AS g FROM y, unnest(range(len(y) // 2 - 49)) u(t)),
+        f AS (SELECT g, min(doc_id) AS m FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
+        r AS (SELECT doc_id, s, s > coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50, -1) AS new FROM w JOIN f USING (g) WHERE m < doc_id),
+        i AS (SELECT doc_id, min(s) AS a, max(s) + 50 AS b FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM r) GROUP BY doc_id, run),
+        p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS c FROM i),
+        q AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS runs, string_agg(substr(x, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept
+              FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(runs, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+        FROM d LEFT JOIN q USING (doc_id)""",
     "op12_codes": f"""
         WITH k AS MATERIALIZED (
             SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v, len(embedding) // 16 AS w FROM embeddings
