@@ -186,8 +186,8 @@ ORACLES = {
     # Texts as hexadecimal digits, in chunks, as a string's end is reached from its beginning.
     "op11_repeats": """
         WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-        y AS MATERIALIZED (SELECT doc_id, 1000 * k AS at, substr(x, 2000 * k + 1, 2098) AS y FROM d, unnest(range(len(x) // 2000 + 1)) u(k)),
-        w AS MATERIALIZED (SELECT doc_id, at + t AS s, substr(y, 2 * t + 1, 100) AS g FROM y, unnest(range(len(y) // 2 - 49)) u(t)),
+        y AS MATERIALIZED (SELECT doc_id, 1000 * k AS base, substr(x, 2000 * k + 1, 2098) AS y FROM d, unnest(range(len(x) // 2000 + 1)) u(k)),
+        w AS MATERIALIZED (SELECT doc_id, base + t AS s, substr(y, 2 * t + 1, 100) AS g FROM y, unnest(range(len(y) // 2 - 49)) u(t)),
         f AS (SELECT g, min(doc_id) AS m FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
         r AS (SELECT doc_id, s, s > coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50, -1) AS new FROM w JOIN f USING (g) WHERE m < doc_id),
         i AS (SELECT doc_id, min(s) AS a, max(s) + 50 AS b FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM r) GROUP BY doc_id, run),
