@@ -93,13 +93,13 @@ def relation_edges_graph_scope(docs: DataFrame, triplets: DataFrame, articles: D
 # ---------------------------------------------------------------- lookups
 
 
-def article_lookup(articles: DataFrame, keys: DataFrame) -> DataFrame:
+def article_lookup(articles: DataFrame, keys: DataFrame, order: tuple[str, ...] = ("load_seq", "pos")) -> DataFrame:
     """For each of the numbers in `keys` the first article that has it, by load order and position; nulls if none.
 
     The first is found by a partial aggregate over the articles.
     """
     rest = F.struct(*[c for c in articles.columns if c != "article_number"])
-    first = articles.join(keys.distinct(), "article_number", "left_semi").groupBy("article_number").agg(F.min_by(rest, F.struct("load_seq", "pos")).alias("a"))
+    first = articles.join(keys.distinct(), "article_number", "left_semi").groupBy("article_number").agg(F.min_by(rest, F.struct(*order)).alias("a"))
     return keys.distinct().join(first, "article_number", "left").select("article_number", "a.*")
 
 

@@ -24,15 +24,40 @@ def split_stream(docs: DataFrame, sink: str, checkpoint: str, clean: bool = Fals
     return pieces.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
-def append_stream(docs: DataFrame, path: str, checkpoint: str, mode: str = "heading") -> StreamingQuery:
-    """Arriving documents into the graph at `path`.
+def latest_versions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each document's version of the highest load_seq, ties by the highest digest; and the others as errors.
+
+    The choice is made on narrow rows and depends on the rows alone, so a batch that
+    runs again chooses alike.
+    """
+    digest = F.sha2(F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in sorted(docs.columns))), 256)
+    rows = docs.withColumn("_v", F.struct(F.coalesce("load_seq", F.lit(-(1 << 63))).alias("seq"), digest.alias("digest")))
+    last = rows.groupBy("doc_id").agg(F.max("_v").alias("_last"))
+    judged = rows.join(last.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    chosen = judged.filter(F.col("_v") == F.col("_last")).select(*docs.columns).dropDuplicates(["doc_id"])  # equal rows are left
+    message = F.concat(F.lit("superseded by load_seq "), F.col("_last.seq"))
+    others = judged.filter(F.col("_v") != F.col("_last")).select("doc_id", F.lit(None).cast("long").alias("pos"), F.lit("arrive").alias("stage"), message.alias("message"))
+    return chosen, others
+
+
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream whose state is in `checkpoint`; it stays through restarts, and another checkpoint is another stream."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
+def append_stream(docs: DataFrame, path: str, checkpoint: str, mode: str = "heading", compact_every: int | None = 50) -> StreamingQuery:
+    """Arriving documents into the graph at `path`, to which others may save meanwhile.
 
     A document is never split over batches, so a batch's triplets are deduplicated
-    within it.  Each batch writes folders of its own and replaces them if it runs
-    again, so a failure in between leaves nothing twice.
+    within it; of several versions in one batch the latest counts, the others stand in the
+    graph's errors.  A batch is known by its stream and number, so one that runs
+    again after a failure adds nothing.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        store.save_batch(build(batch.dropDuplicates(["doc_id"]), mode=mode), path, batch_id)
+        batch, others = latest_versions(batch)
+        graph = build(batch, mode=mode)
+        graph.errors = others
+        store.save_batch(graph, path, batch_id, stream_name(batch.sparkSession, checkpoint), compact_every)
 
     return docs.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
