@@ -1,6 +1,6 @@
 """Repeated byte strings found by suffix arrays, and cut from all documents but the first.
 
-A string of 50 bytes that stands in two places holds the same smallest 24-byte
+A string of 50 bytes that stands in two places holds the same smallest 16-byte
 piece (its anchor) in both.  So a first, narrow exchange finds the anchors that
 several documents share, and only strings around those move: each goes to the
 bucket of its anchor, where a suffix array of all that came together tells equal
@@ -22,30 +22,30 @@ from .common import mix64, small_batches, spans, staged
 
 #: Bytes of a string that counts as repeated.
 LENGTH = 50
-#: Bytes of an anchor: two powers of two, as it is hashed by doubling.
-ANCHOR = 24
+#: Bytes of an anchor, a multiple of eight.  Fewer give fewer anchors, but more that texts share by chance.
+ANCHOR = 16
 #: Starts of strings that can hold an anchor, and bytes of all of them together.
 STARTS = LENGTH - ANCHOR + 1
 ROW = STARTS - 1 + LENGTH
 #: A byte that UTF-8 never holds: it fills what is no text.
 FILL = 0xFF
 #: Text of a block (a row of documents, packed) and of a bucket of anchors, in bytes.
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
 #: Texts are worked on in pieces of about so many bytes.
 PIECE = 1 << 17
 #: Strings around an anchor that more places share go to buckets of their own hash.
 HOT = 1000
 #: Suffixes sorted at once, unless a single anchor has more.
-SLAB = 1 << 21
+SLAB = 1 << 19
 
 _LOW = np.uint64((1 << 40) - 1)
 _NO_ID = np.iinfo(np.int64).max
-_CODEC = pa.Codec("zstd", 1)
+_CODEC, _SMALLER = pa.Codec("zstd", 1), pa.Codec("zstd", 5)  # what moves often is worth more time
 
 
-def _packed(data: np.ndarray) -> bytes:
-    return _CODEC.compress(np.ascontiguousarray(data).tobytes(), asbytes=True)
+def _packed(data: np.ndarray, codec: pa.Codec = _CODEC) -> bytes:
+    return codec.compress(np.ascontiguousarray(data).tobytes(), asbytes=True)
 
 
 def _unpacked(data: bytes, size: int, kind=np.uint8) -> np.ndarray:
@@ -237,7 +237,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def block() -> pa.RecordBatch:
-        packed = _CODEC.compress(b"".join(texts), asbytes=True)
+        packed = _SMALLER.compress(b"".join(texts), asbytes=True)
         return pa.record_batch([pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([packed], pa.binary())], ["ids", "lengths", "texts"])
 
     for batch in batches:
@@ -316,11 +316,9 @@ def _shared_anchors(rows: pa.Table) -> pa.Table:
 
 
 def _contexts(texts: list[np.ndarray], keys: np.ndarray, hot: np.ndarray, buckets: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """The strings around shared anchors: bucket, row of ROW bytes, text, its place in the text.
+    """The strings around shared anchors: bucket (-1 if the anchor is hot), row of ROW bytes, text, its place in the text.
 
-    A row holds the strings whose least anchor this is, from its starts on, and FILL
-    elsewhere.  For hot anchors each string has a row of its own, and the bucket
-    of its own hash.
+    A row holds the strings whose least anchor this is, from its starts on, and FILL elsewhere.
     """
     for data, of, place, start, length in pieces(texts):
         at, draws, least = anchors(data, start, length)
@@ -328,27 +326,28 @@ def _contexts(texts: list[np.ndarray], keys: np.ndarray, hot: np.ndarray, bucket
         key = _bucket(found, buckets) << np.uint64(40) | found & _LOW
         where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
         shared = keys[where] == key
-        at, bucket, is_hot = at[shared], key[shared] >> np.uint64(40), hot[where[shared]].astype(bool)
+        at, bucket = at[shared], (key[shared] >> np.uint64(40)).astype(np.int64)
         if not len(at):
             continue
-        view = np.lib.stride_tricks.sliding_window_view(least, STARTS)
-        owned = view[at - STARTS + 1] == draws[at][:, None]
+        bucket[hot[where[shared]] > 0] = -1
+        owned = np.lib.stride_tricks.sliding_window_view(least, STARTS)[at - STARTS + 1] == draws[at][:, None]
         low, high = owned.argmax(axis=1), STARTS - 1 - owned[:, ::-1].argmax(axis=1)
         base = at - STARTS + 1
-        if is_hot.any():
-            which, offset = np.nonzero(owned[is_hot])
-            base = np.concatenate([base[~is_hot], base[is_hot][which] + offset - STARTS + 1])
-            middle = np.full(len(which), STARTS - 1)
-            low, high = np.concatenate([low[~is_hot], middle]), np.concatenate([high[~is_hot], middle])
-            bucket = np.concatenate([bucket[~is_hot], np.zeros(len(which), np.uint64)])
-        cold = len(base) - (len(which) if is_hot.any() else 0)
         rows = np.lib.stride_tricks.sliding_window_view(data, ROW)[base]
         column = np.arange(ROW)
         rows[(column < low[:, None]) | (column >= high[:, None] + LENGTH)] = FILL
         piece = np.searchsorted(start, base + low, side="right") - 1
-        digest = _row_hashes(rows)
-        bucket[cold:] = _bucket(digest[cold:], buckets)
-        yield bucket.astype(np.int64), rows, digest, of[piece], base - start[piece] + place[piece]
+        yield bucket, rows, of[piece], base - start[piece] + place[piece]
+
+
+def _one_by_one(rows: np.ndarray, text: np.ndarray, place: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
+    """Rows cut into their strings, each in a row of its own and in the bucket of its hash."""
+    low, high = _bounds(rows)
+    many = high - low - LENGTH + 1
+    row, start = np.repeat(np.arange(len(rows)), many), spans(low, many)
+    out = np.full((len(row), ROW), FILL, np.uint8)
+    out[:, STARTS - 1 :] = np.lib.stride_tricks.sliding_window_view(rows.ravel(), LENGTH)[row * ROW + start]
+    return _bucket(_row_hashes(out), buckets).astype(np.int64), out, text[row], place[row] + start - STARTS + 1
 
 
 def _row_hashes(rows: np.ndarray) -> np.ndarray:
@@ -356,13 +355,19 @@ def _row_hashes(rows: np.ndarray) -> np.ndarray:
     return mix64((words * mix64(np.arange(1, words.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))).sum(axis=1, dtype=np.uint64))
 
 
-def _once(bucket: np.ndarray, rows: np.ndarray, digest: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Orders places by bucket, row and document id, and says where another row begins."""
+def _once(bucket: np.ndarray, rows: np.ndarray, text: np.ndarray, place: np.ndarray, ids: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+    """What only the smallest id that has a row keeps, ordered by bucket and row; the spans that the other ids lose; where another row begins."""
+    doc, digest = ids[text], _row_hashes(rows)
     by = np.lexsort((doc, digest, bucket))
     same = (digest[by][1:] == digest[by][:-1]) & (bucket[by][1:] == bucket[by][:-1])
     at = np.flatnonzero(same)
     same[at] = (rows[by[at]] == rows[by[at + 1]]).all(axis=1)
-    return by, np.concatenate(([True], ~same))
+    new = np.concatenate(([True], ~same))
+    later = doc[by] > doc[by[np.flatnonzero(new)]][np.cumsum(new) - 1]
+    low, high = _bounds(rows[by[later]])
+    lost = np.stack([text[by[later]], place[by[later]] + low, place[by[later]] + high], 1).astype("<u4")
+    stay = by[~later]
+    return (bucket[stay], rows[stay], text[stay], place[stay]), lost, new[~later]
 
 
 def _bounds(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -371,13 +376,13 @@ def _bounds(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return text.argmax(axis=1), ROW - text[:, ::-1].argmax(axis=1)
 
 
-_TO_BUCKET = "bucket long, block long, n long, rows binary, docs binary, row_of binary, text_of binary, place binary, local binary"
+_TO_BUCKET = "bucket long, block long, n long, held long, rows binary, docs binary, times binary, text_of binary, place binary, lost binary"
 
 
 def _to_buckets(buckets: int):
     def run(blocks: pa.Table, shared: pa.Table) -> pa.Table:
-        """The strings of one block, each once and with the smallest id that has it; what larger ids have goes at once, as `local`."""
-        columns: list[list] = [[] for _ in range(9)]
+        """The strings of one block, each row once and with the smallest id that has it; what larger ids have of it is `lost` at once."""
+        columns: list[list] = [[] for _ in range(10)]
         if shared.num_rows and blocks.num_rows:
             block, lengths = blocks.column("block")[0].as_py(), np.array(blocks.column("lengths")[0].as_py())
             ids = np.array([_NO_ID if i is None else i for i in blocks.column("ids")[0].as_py()], np.int64)
@@ -386,32 +391,38 @@ def _to_buckets(buckets: int):
             by = np.argsort(keys)
             found = list(_contexts(_texts(lengths, blocks.column("texts")[0].as_py()), keys[by], hot[by], buckets))
             if found:
-                bucket, rows, digest, text, place = (np.concatenate(c) for c in zip(*found))
-                doc = ids[text]
-                by, new = _once(bucket, rows, digest, doc)
-                bucket, rows, text, place, doc = bucket[by], rows[by], text[by], place[by], doc[by]
+                (bucket, rows, text, place), lost, new = _once(*(np.concatenate(c) for c in zip(*found)), ids)
+                n_hot = np.searchsorted(bucket, 0)
+                if n_hot:
+                    single, more, first = _once(*_one_by_one(rows[:n_hot], text[:n_hot], place[:n_hot], buckets), ids)
+                    bucket, rows, text, place = (np.concatenate([a, b[n_hot:]]) for a, b in zip(single, (bucket, rows, text, place)))
+                    lost, new = np.concatenate([lost, more]), np.concatenate([first, new[n_hot:]])
                 first = np.flatnonzero(new)
-                row = np.cumsum(new) - 1
-                least = doc[first]
-                later = doc > least[row]
-                low, high = _bounds(rows[later])
-                local = np.stack([text[later], place[later] + low, place[later] + high], 1).astype("<u4")
-                rows = rows[first]
-                stay = ~later
-                row, text, place = row[stay], text[stay], place[stay]
+                by = np.argsort(bucket[first], kind="stable")  # of rows
+                times = np.diff(np.append(first, len(new)))[by]
+                each = spans(first[by], times)
+                first, text, place = first[by], text[each], place[each]
                 values, cut = np.unique(bucket[first], return_index=True)
-                occurs = np.searchsorted(row, np.append(cut, len(first)))
-                for i, (a, b) in enumerate(zip(cut, [*cut[1:], len(first)])):
-                    at = slice(occurs[i], occurs[i + 1])
-                    packed = (_packed(rows[a:b]), _packed(least[a:b]), *(c[at].astype("<u4").tobytes() for c in (row - a, text, place)))
-                    for column, value in zip(columns, (int(values[i]), block, int(b - a), *packed, local.tobytes() if i == 0 else b"")):
-                        column.append(value)
-        kinds = [pa.int64()] * 3 + [pa.binary()] * 6
+                to = np.append(cut, len(first))
+                ends = np.concatenate(([0], np.cumsum(times)))[to]
+                for i, value in enumerate(values):
+                    part = first[to[i] : to[i + 1]]
+                    held = slice(ends[i], ends[i + 1])
+                    packed = [_packed(c) for c in (rows[part], ids[text_of_first(text, ends[i], times[to[i] : to[i + 1]])], times[to[i] : to[i + 1]].astype("<u4"), text[held].astype("<u4"), place[held].astype("<i4"))]
+                    whole = _packed_spans(lost) if i == 0 and len(lost) else b""
+                    for column, x in zip(columns, (int(value), block, len(part), int(ends[i + 1] - ends[i]), *packed, whole)):
+                        column.append(x)
+        kinds = [pa.int64()] * 4 + [pa.binary()] * 6
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in _TO_BUCKET.split(", ")])
 
     return run
 
 
+def text_of_first(text: np.ndarray, start: int, times: np.ndarray) -> np.ndarray:
+    """The first text of each run of `times`, from `start` on."""
+    return text[start + np.cumsum(times) - times]
+
+
 def repeated(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """The starts of strings, in rows laid end to end, that a smaller document has too."""
     low, high = _bounds(rows)
@@ -435,18 +446,25 @@ def _slabs(rows: np.ndarray) -> Iterator[np.ndarray]:
     yield from np.split(by, np.flatnonzero(np.diff(slab[by])) + 1)
 
 
+def _packed_spans(spans_: np.ndarray) -> bytes:
+    return len(spans_).to_bytes(8, "little") + _packed(spans_)
+
+
+def _spans_of(packed: bytes) -> np.ndarray:
+    """Packed spans (text, from, to), their number in front."""
+    return _unpacked(packed[8:], int.from_bytes(packed[:8], "little") * 3, "<u4").reshape(-1, 3)
+
+
 def _in_bucket(table: pa.Table) -> pa.Table:
     """For each block the spans (text, from, to) of strings that a smaller document has too."""
     get = lambda c: table.column(c).to_pylist()
-    n = np.array(get("n"))
+    n, held = np.array(get("n")), np.array(get("held"))
     rows = np.concatenate([_unpacked(x, k * ROW) for x, k in zip(get("rows"), n)]).reshape(-1, ROW)
     docs = np.concatenate([_unpacked(x, k, np.int64) for x, k in zip(get("docs"), n)])
-    base = np.cumsum(n) - n
-    occurs = [np.frombuffer(x, "<u4") for x in get("row_of")]
-    row_of = np.concatenate([x.astype(np.int64) + b for x, b in zip(occurs, base)])  # ascending
-    text, place = (np.frombuffer(b"".join(get(c)), "<u4").astype(np.int64) for c in ("text_of", "place"))
-    block = np.repeat(np.arange(len(n)), [len(x) for x in occurs])
-    out = [[np.frombuffer(x, "<u4").reshape(-1, 3)] for x in get("local")]
+    times = np.concatenate([_unpacked(x, k, "<u4") for x, k in zip(get("times"), n)]).astype(np.int64)
+    text, place = (np.concatenate([_unpacked(x, k, kind) for x, k in zip(get(c), held)]).astype(np.int64) for c, kind in (("text_of", "<u4"), ("place", "<i4")))
+    start, block = np.cumsum(times) - times, np.repeat(np.arange(len(n)), n)
+    out = [[_spans_of(x)] if x else [] for x in get("lost")]
     for slab in _slabs(rows):
         at = repeated(rows[slab], docs[slab])
         if not len(at):
@@ -454,18 +472,16 @@ def _in_bucket(table: pa.Table) -> pa.Table:
         begins = np.concatenate(([True], np.diff(at) != 1))
         a, b = at[begins], at[np.append(begins[1:], True)]
         row = slab[a // ROW]
-        start = np.searchsorted(row_of, row)
-        many = np.searchsorted(row_of, row, side="right") - start
-        it = spans(start, many)
-        from_, to = (np.repeat(x % ROW, many) + place[it] for x in (a, b))
+        it = spans(start[row], times[row])
+        from_, to = (np.repeat(x % ROW, times[row]) + place[it] for x in (a, b))
         found = np.stack([text[it], from_, to + LENGTH], 1).astype("<u4")
-        by = np.argsort(block[it], kind="stable")
-        for part in np.split(np.arange(len(by)), np.flatnonzero(np.diff(block[it][by])) + 1):
-            out[block[it[by[part[0]]]]].append(found[by[part]])
-    joined = [np.concatenate(x).tobytes() for x in out]
-    some = [i for i, x in enumerate(joined) if x]
+        of = np.repeat(block[row], times[row])
+        by = np.argsort(of, kind="stable")
+        for part in np.split(by, np.flatnonzero(np.diff(of[by])) + 1):
+            out[of[part[0]]].append(found[part])
+    some = [i for i, x in enumerate(out) if x]
     blocks = get("block")
-    return pa.table([pa.array([blocks[i] for i in some], pa.int64()), pa.array([joined[i] for i in some], pa.binary())], ["block", "spans"])
+    return pa.table([pa.array([blocks[i] for i in some], pa.int64()), pa.array([_packed_spans(np.concatenate(out[i])) for i in some], pa.binary())], ["block", "spans"])
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -486,7 +502,7 @@ def _cut(with_text: bool):
         lengths, ids = np.array(blocks.column("lengths")[0].as_py()), blocks.column("ids")[0].as_py()
         data = _unpacked(blocks.column("texts")[0].as_py(), int(lengths.sum()))
         starts = np.cumsum(lengths) - lengths
-        cut = np.frombuffer(b"".join(found.column("spans").to_pylist()), "<u4").reshape(-1, 3).astype(np.int64)
+        cut = np.concatenate([np.empty((0, 3), np.int64), *map(_spans_of, found.column("spans").to_pylist())]).astype(np.int64)
         doc, from_, to = _merged(cut, starts)
         removed, n_spans = np.zeros(len(ids), np.int64), np.bincount(doc, minlength=len(ids))
         np.add.at(removed, doc, to - from_)
