@@ -488,6 +488,57 @@ def append_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.statistics(saved.documents, saved.articles, saved.entities, relations=saved.relations)
 
 
+def _stored(spark: SparkSession, sf_dir: str, saves: int = 4) -> str:
+    """The graph of the tables, saved in parts of which each repeats a document of the one before, then merged but for the last."""
+    docs, articles_, path = fx.legal_documents(spark, sf_dir), fx.articles(spark, sf_dir).drop("load_seq"), new_path(spark, "stored-graph")
+    triplets = fx.triplets(spark, sf_dir)
+    for i in range(saves):
+        own = docs.filter(f"doc_id % {saves} = {i} OR doc_id = {max(0, i - 1)}").select("doc_id")
+        part = [rows.join(own, "doc_id", "left_semi") for rows in (docs, articles_, triplets)]
+        if i == saves - 1:
+            store.compact(spark, path, everything=True)
+        store.save_batch(corpus.build(*part), path, i)
+    return path
+
+
+@query("SELECT documents, articles, entities, relations, edges FROM (" + _HALVES + "), (SELECT sum(multiplicity)::BIGINT AS edges FROM edges JOIN ld USING (doc_id))")
+def stored_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the commits and the sums of the saves; no edge is read."""
+    return store.statistics(spark, _stored(spark, sf_dir))
+
+
+@query("SELECT object AS name, sum(multiplicity)::BIGINT AS refs FROM edges GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def stored_top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.top_entities(spark, _stored(spark, sf_dir))
+
+
+@query("SELECT subject, sum(multiplicity)::BIGINT AS edges, count(DISTINCT relation) AS relations FROM edges GROUP BY 1")
+def stored_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.edges_by_subject(spark, _stored(spark, sf_dir))
+
+
+@query("SELECT name FROM (SELECT subject AS name FROM edges UNION SELECT object FROM edges)")
+def compacted_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entities after micro-batches that were merged as they came: each once."""
+    path = _stored(spark, sf_dir)
+    store.compact(spark, path, everything=True)
+    store.vacuum(spark, path, older_than=0)
+    return store.load(spark, path).entities
+
+
+@query(
+    """SELECT k.article_number, doc_id, pos, concept FROM (VALUES ('제1조'), ('제4조'), ('제99조')) k(article_number)
+    LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_number ORDER BY doc_id, pos) AS k FROM art) WHERE k = 1) a ON a.article_number = k.article_number"""
+)
+def stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.article_lookup(spark, _stored(spark, sf_dir), ["제1조", "제4조", "제99조"]).select("article_number", "doc_id", "pos", "concept")
+
+
+@query("SELECT article, subject, relation, object, confidence, multiplicity FROM edges WHERE article IN ('제2조', '제99조')")
+def stored_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.relations_of(spark, _stored(spark, sf_dir), ["제2조", "제99조"]).select("article", *graph.EDGE, "confidence", "multiplicity")
+
+
 def _stub(prompts: pd.Series) -> pd.Series:
     """Stands for a model: answers depend on the prompt alone."""
     return '{"chars": ' + prompts.str.len().astype(str) + "}"
@@ -561,6 +612,27 @@ def stream_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.statistics(saved.documents, saved.articles, saved.entities, relations=saved.relations)
 
 
+@query(f"SELECT d.doc_id, coalesce(a.n, 0) AS articles, coalesce(w.n, 0) AS relations FROM ld d LEFT JOIN (SELECT doc_id, count(*) AS n FROM hp GROUP BY 1) a ON a.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, count(*) AS n FROM ({_WORDING}) GROUP BY 1) w ON w.doc_id = d.doc_id")
+def concurrent_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams and a batch save into one graph at once, with documents in common; then the first stream runs again from a new checkpoint."""
+    path = new_path(spark, "concurrent-graph")
+    titles = {"load_seq": F.col("doc_id"), "title": F.lit(""), "law_number": F.lit("")}
+    arriving = fx.planted_of(_arriving(spark, sf_dir)).withColumns(titles)
+
+    def stream(keep: str, checkpoint: str):
+        return arrivals.append_stream(arriving.filter(keep), f"{path}/graph", f"{path}/{checkpoint}")
+
+    streams = [stream("doc_id % 4 IN (0, 1)", "one"), stream("doc_id % 4 IN (1, 2)", "two")]
+    store.save(corpus.build(fx.planted_text(spark, sf_dir).withColumns(titles).filter("doc_id % 4 IN (0, 3)")), f"{path}/graph")
+    for running in [*streams, stream("doc_id % 4 IN (0, 1)", "one-again")]:
+        running.awaitTermination()
+    saved = store.load(spark, f"{path}/graph")
+    out = saved.documents.select("doc_id")
+    for name in ("articles", "relations"):
+        out = out.join(getattr(saved, name).groupBy("doc_id").agg(F.count("*").alias(name)), "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return out
+
+
 @query(f"SELECT relation, count(*) AS edges FROM ({_WORDING}) GROUP BY 1")
 def wording_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole plan on planted text: split, records, triplets, deduplication, edges; counted by relation."""

@@ -182,16 +182,17 @@ def _put(rows: DataFrame, path: str, name: str, save: str) -> DataFrame:
     return rows.sparkSession.read.schema(schema).parquet(table_path(path, name, save))
 
 
-def _write(graph: Graph, path: str, save: str, now: State, others: list[str], skip: bool) -> tuple[dict[str, int], dict[str, str]]:
+def _write(graph: Graph, path: str, save: str, now: State, others: list[str], unseen: list[str], skip: bool) -> tuple[dict[str, int], dict[str, str]]:
     """Write a save next to `others`: documents that those have are left out with all that hangs on them if `skip`, their entities always.
 
+    Documents of `others` that are not `unseen` are known to be left out already.
     Entities are those of the relations that are written.
     """
     spark = graph.documents.sparkSession
     parts = {name: getattr(graph, name) for name in ("documents", "articles", "contains", "relations", "errors")}
-    if others and skip:
+    if unseen and skip:
         ids = kept(parts["documents"].select("doc_id").distinct(), "arriving-documents")
-        new = kept(absent(ids, _table(spark, path, now, "documents", others)), "new-documents")
+        new = kept(absent(ids, _table(spark, path, now, "documents", unseen)), "new-documents")
         for name in ("documents", "articles", "contains", "relations"):
             parts[name] = parts[name].join(new, "doc_id", "left_semi")
     written = {name: _put(rows, path, name, save) for name, rows in parts.items() if rows is not None}
@@ -217,12 +218,12 @@ def _save(graph: Graph, path: str, kind: str, skip: bool, stream: str | None = N
         others = [] if kind == "clear" else now.saves
         if own is not None and set(seen) <= set(others):  # what was written lacks only a look at what came since
             mine = State(counts={own: counts}, schemas=schemas)
-            graph = Graph(**{name: _table(spark, path, mine, name, [own]) for name in (*TABLES, "errors")})
-            against = [x for x in others if x not in seen]
+            graph_ = Graph(**{name: _table(spark, path, mine, name, [own]) for name in (*TABLES, "errors")})
+            unseen = [x for x in others if x not in seen]
         else:
-            against = others
+            graph_, unseen = graph, others
         own = uuid.uuid4().hex
-        counts, schemas = _write(graph, path, own, now, against, skip)
+        counts, schemas = _write(graph_, path, own, now, others, unseen, skip)
         if _commit(spark, path, now.version + 1, kind=kind, save=own, stream=stream, batch=batch, schemas=schemas, counts={own: counts}):
             return
         time.sleep(random.uniform(0, 0.05 * 2 ** min(attempt, 6)))
