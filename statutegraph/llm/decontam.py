@@ -133,7 +133,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int)
 
 
 def matcher(shared):
-    @F.pandas_udf("array<struct<item_id:long,matched:long,shingles:long>>")
+    @F.pandas_udf("array<struct<item_id:string,matched:long,shingles:long>>")
     def find(texts: pd.Series) -> pd.Series:
         index = shared.value
         found: list[list] = []
@@ -151,7 +151,7 @@ def matchers(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
     small_batches(spark)
     out = []
     for block in item_blocks(items, id_col, text_col, block_bytes):
-        rows = items.filter(block).select(F.col(id_col).cast("long"), F.col(text_col)).collect()  # about block_bytes
+        rows = items.filter(block).select(F.col(id_col).cast("string"), F.col(text_col)).collect()  # about block_bytes
         shared = spark.sparkContext.broadcast(build([tuple(r) for r in rows], words, contained))
 
         out.append(matcher(shared))
@@ -166,13 +166,13 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     least `contained` of the item's shingles, wherever they stand.  Items with
     fewer words than that, null ones too, match nothing; documents without text
     neither.  Equal items match each under their id; repeated documents give
-    repeated rows; an empty table on either side gives none.  Other columns are
-    not looked at.
+    repeated rows; an empty table on either side gives none.  Ids may be of any
+    type that text tells apart.  Other columns are not looked at.
     """
     out = None
     for find in matchers(items, words=words, contained=contained, block_bytes=block_bytes):
         found = docs.select(F.col(id_col).alias("doc_id"), F.explode(find(F.col(text_col))).alias("m"))
-        found = found.select("doc_id", "m.item_id", "m.matched", "m.shingles", (F.col("m.matched") / F.col("m.shingles")).alias("containment"))
+        found = found.select("doc_id", F.col("m.item_id").cast(items.schema["item_id"].dataType).alias("item_id"), "m.matched", "m.shingles", (F.col("m.matched") / F.col("m.shingles")).alias("containment"))
         out = found if out is None else out.unionByName(found)
     return out
 

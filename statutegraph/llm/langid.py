@@ -8,6 +8,7 @@ text as ambiguous.
 
 from __future__ import annotations
 
+import heapq
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,15 +18,18 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import fresh, small_batches
 
 FEATURES = 1 << 12
 #: Documents learnt from for each language, at most, and for all languages together; chosen
-#: by a hash of the id.  With LEAST_DOCS a language the sum bounds what comes to the driver.
+#: by a hash of id and text.  With LEAST_DOCS a language the sum bounds what comes to the driver.
 TRAIN_DOCS = 400
 TRAIN_TOTAL = 6000
 LEAST_DOCS = 20
+#: Labels learned, at most.
+MOST_LANGUAGES = 1000
 MAX_BITS = 31
 RIDGE = 3.0
 #: The second best is ambiguous if it is less likely by less than this.
@@ -135,38 +139,60 @@ def is_held_out(id_text):
     return F.coalesce(F.crc32(id_text.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS, train_total: int = TRAIN_TOTAL) -> Model:
-    """Learn from about `train_docs` rows of each language, `train_total` of all, outside the held-out quarter.
+def _sample(train_docs: int):
+    """The rows of the smallest draws, at most `train_docs` of a language in a task, as sparse n-gram counts of their whole texts."""
 
-    Rows are chosen where a hash of the id falls under the language's share, so
-    that reruns agree.  Sparse n-gram counts of those rows, of their whole texts,
-    are all that comes to the driver; it solves for the smaller of rows and
-    features, so that its memory does not grow with the languages.  Rows without text, letter or label teach
-    nothing; without any labelled row the model knows no language.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[str, list] = {}
+        for b in batches:
+            for lang, text, i, draw in zip(b["lang"], b["text"], b["id"], b["draw"]):
+                if not _LETTER.search(text):
+                    continue
+                held = best.setdefault(lang, [])
+                if len(held) == train_docs and -draw <= held[0][0]:
+                    continue
+                x = ngram_counts(text).astype(np.float32)
+                at = np.flatnonzero(x).astype(np.uint16)
+                (heapq.heappush if len(held) < train_docs else heapq.heapreplace)(held, (-draw, "" if i is None else i, at.tobytes(), x[at].tobytes()))
+        rows = [(lang, i, -draw, at, x) for lang, held in best.items() for draw, i, at, x in held]
+        yield pd.DataFrame(rows, columns=["lang", "id", "draw", "at", "x"])
+
+    return run
+
+
+def fit(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    train_docs: int = TRAIN_DOCS,
+    train_total: int = TRAIN_TOTAL,
+    most_languages: int = MOST_LANGUAGES,
+) -> Model:
+    """Learn from at most `train_docs` rows of each language, about `train_total` of all, outside the held-out quarter.
+
+    Rows are chosen by the smallest hashes of id and text, so that reruns agree,
+    and no more than that many, whatever ids and texts repeat.  Of more than
+    `most_languages` labels the most frequent are learned.  Sparse n-gram counts of
+    the chosen rows, of their whole texts, are all that comes to the driver; it solves
+    for the smaller of rows and features, so that its memory does not grow with the
+    languages.  Ids may be of any type, null ones too.  Rows without text, letter or
+    label teach nothing; without any labelled row the model knows no language.
     """
     small_batches(docs.sparkSession)
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    known = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     known = known.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("id")))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
-    if not counts:
+    labels = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    if not labels:
         return Model([], np.ones((0, 1)), np.zeros((FEATURES + 1, 1)), np.ones(1))
-    train_docs = min(train_docs, max(LEAST_DOCS, train_total // len(counts)))
-    share = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min(1.0, train_docs / n))) for k, n in sorted(counts.items())))
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.filter(draw < F.element_at(share, F.col("lang"))).select("lang", "text", "id")
-
-    def sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for lang, text, i in zip(b["lang"], b["text"], b["id"]):
-                if _LETTER.search(text):
-                    x = ngram_counts(text).astype(np.float32)
-                    at = np.flatnonzero(x).astype(np.uint16)
-                    rows.append((lang, "" if pd.isna(i) else str(int(i)), at.tobytes(), x[at].tobytes()))
-            yield pd.DataFrame(rows, columns=["lang", "id", "at", "x"])
-
-    rows = chosen.select("lang", "text", F.col("id").cast("long").alias("id")).mapInPandas(sparse, "lang string, id string, at binary, x binary").collect()  # about train_docs for each language
-    rows = sorted(rows, key=lambda r: (r["lang"], r["id"], bytes(r["at"])))
+    train_docs = min(train_docs, max(LEAST_DOCS, train_total // len(labels)))
+    share = F.create_map(*itertools.chain.from_iterable((F.lit(r["lang"]), F.lit(min(1.0, 1.5 * train_docs / r["n"]))) for r in labels))
+    draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chosen = known.withColumn("draw", draw).filter(F.col("draw") < F.element_at(share, F.col("lang")))
+    rows = chosen.mapInPandas(_sample(train_docs), "lang string, id string, draw double, at binary, x binary")
+    place = F.row_number().over(W.partitionBy("lang").orderBy("draw", "id", "at", "x"))
+    rows = rows.withColumn("_place", place).filter(F.col("_place") <= train_docs).drop("_place").collect()  # train_docs for each of most_languages
+    rows = sorted(rows, key=lambda r: (r["lang"], r["id"], bytes(r["at"]), bytes(r["x"])))
     languages = sorted({r["lang"] for r in rows})
     x = np.zeros((len(rows), FEATURES))
     for i, r in enumerate(rows):

@@ -246,7 +246,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the one of the smallest digest.  `repeats` is how many rows have both this
     doc_id and this text.  Null texts count as empty; all texts without a word
     are one group; very long texts are hashed whole.  Rows with a null id take no
-    part; an empty table gives none.  Other columns are not looked at.
+    part; an empty table gives none.  Ids are integers.  Other columns are not
+    looked at.
 
     Equal texts are one from the start, so that only distinct ones are searched
     and linked, however many rows hold them.

@@ -343,3 +343,28 @@ def test_the_sample_is_bounded_over_all_languages(spark):
     finally:
         langid.train = real
     assert 200 < seen[0] < 420
+
+
+def test_sample_is_bounded_whatever_the_ids_and_labels(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda languages, x, y: seen.append((len(languages), len(x))) or langid.Model(languages, np.ones((len(languages), 1)), np.zeros((1, 1)), np.ones(1)))
+    same_id = [(3, f"the cat number {i} sat", "en") for i in range(5000)] + [(3, "the same cat sat", "en")] * 5000
+    langid.fit(documents(spark, same_id).repartition(7))
+    langid.fit(documents(spark, [(None, t, x) for _, t, x in same_id]).repartition(7))
+    langid.fit(documents(spark, [(i, f"text {i}", f"label{i % 9000 if i % 2 else i % 5}") for i in range(12_000)]), most_languages=30)
+    assert all(n == 1 and 100 < rows <= langid.TRAIN_DOCS for n, rows in seen[:2])
+    assert seen[2][0] == 30 and seen[2][1] <= 30 * langid.TRAIN_DOCS
+
+
+def test_ids_may_be_strings(spark):
+    rows = [(f"doc-{i}", *DISTINCT_WORDS[i % 2]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    got = langid.identify(docs, langid.fit(docs)).collect()
+    assert {(r.lang_pred, int(r.doc_id[4:]) % 2) for r in got} == {("en", 0), ("de", 1)}
+    items = spark.createDataFrame([("item-a", "one two three four five six seven")], "item_id string, text string")
+    found = spark.createDataFrame([("x", "zero one two three four five six seven eight"), ("y", "nothing here")], "doc_id string, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.contained_items(found, items).collect()] == [("x", "item-a")]
+    assert [r.doc_id for r in decontam.without_contaminated(found, items).collect()] == ["y"]
+
+
+DISTINCT_WORDS = [("the quick brown fox jumps over the lazy dog", "en"), ("der schnelle braune Fuchs springt über den faulen Hund", "de")]
