@@ -70,6 +70,21 @@ def planted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planted_of(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def citing_statutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statutes of a few titles, in versions, that cite articles of each other by title, some of none that is there."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    title = lambda n: F.concat(F.lit("법률"), n % 7)
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+
+    def line(x, i):
+        n = i + 1
+        law = F.when(n % 5 == 0, F.lit("없는 법")).otherwise(title(F.col("doc_id") + n))
+        named = F.concat(F.lit(" 제1조 및 「"), law, F.lit("」 제"), n % 9 + 1, F.lit("조제1항, 제 "), n % 40 + 1, F.lit(" 조에 따라"))
+        return F.concat(F.lit("제"), n, F.lit("조(제목"), n, F.lit(") "), x, F.when(n % 3 == 1, named).otherwise(""))
+
+    return docs.select("doc_id", F.col("doc_id").alias("load_seq"), title(F.col("doc_id")).alias("title"), F.concat_ws("\n\n", F.transform(lines, line)).alias("content"))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles numbered 1 to 5 in turn, so that numbers repeat within a document."""
     pieces = art.articles(legal_documents(spark, sf_dir), keep=("load_seq",))

@@ -121,3 +121,29 @@ def parent_number(c: Column, level: str = "part") -> Column:
         return F.when(up != c, F.nullif(up, F.lit("")))
     up = F.regexp_replace(c, rf"{UNICODE}(?:제\d+호|제\d+항|(?<=조)의\d+)$", "")
     return F.when(up != c, up)
+
+
+def law_citations(c: Column) -> Column:
+    """The articles cited in the body of a piece, in order, each with the law whose name in 「」 stands nearest before it: array<struct<law, cited>>.
+
+    A citation before any name has a null law: it is to the text's own statute.
+    """
+    tokens = F.regexp_extract_all(body(c), F.lit(f"{UNICODE}「[^」]+」|{ARTICLE}{ITEM}"), F.lit(0))
+    none = F.lit(None).cast("string")
+    start = F.struct(none.alias("law"), F.array().cast("array<struct<law:string,cited:string>>").alias("found"))
+
+    def step(a: Column, token: Column) -> Column:
+        named = F.startswith(token, F.lit("「"))
+        cited = F.struct(a["law"].alias("law"), _no_space(token).alias("cited"))
+        law = F.when(named, F.regexp_replace(token, "[「」]", "")).otherwise(a["law"])
+        return F.struct(law.alias("law"), F.when(named, a["found"]).otherwise(F.concat(a["found"], F.array(cited))).alias("found"))
+
+    return F.aggregate(tokens, start, step, lambda a: a["found"])
+
+
+def ancestors(c: Column) -> Column:
+    """A citation and all that it is part of, the article last: array<string>."""
+    up = [c]
+    for _ in range(3):  # 호, 항, 의N
+        up.append(parent_number(up[-1]))
+    return F.filter(F.array(*up), lambda x: x.isNotNull())

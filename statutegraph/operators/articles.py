@@ -14,23 +14,34 @@ def articles(docs: DataFrame, mode: str = "citation", keep: tuple[str, ...] = ()
     return docs.select("doc_id", *keep, F.posexplode(t.split_articles(F.col("content"), mode)).alias("pos", "article_text")).withColumn("pos", F.col("pos").cast("long"))
 
 
+#: Numbers of an array that are added up one by one; longer arrays go by runs of so many.
+RUN = 64
+
+
+def _sums_before(numbers: Column) -> Column:
+    """For each number the sum of those before it, by plain steps."""
+    return F.transform(numbers, lambda x, i: F.aggregate(F.slice(numbers, F.lit(1), i), F.lit(0).cast("long"), lambda a, y: a + y))
+
+
 def offsets(docs: DataFrame) -> DataFrame:
     """doc_id, pos, start, end of each article in the content, in characters.
 
-    `end` is where the next article begins, or the end of the content.
+    `end` is where the next article begins, or the end of the content.  All sums
+    are taken within the document's row, by runs of pieces, so nothing shuffles.
     """
-    raw = docs.select("doc_id", F.posexplode(t.raw_pieces(F.col("content"))).alias("at", "piece"))
-    raw = raw.select("doc_id", "at", F.length("piece").cast("long").alias("n"), t.begins_article(F.col("piece")).alias("starts"))
-    before = W.partitionBy("doc_id").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
-    raw = raw.withColumns(
-        {
-            "start": F.coalesce(F.sum("n").over(before), F.lit(0)),
-            "pos": F.coalesce(F.sum(F.col("starts").cast("long")).over(before), F.lit(0)),
-            "some": F.max("starts").over(W.partitionBy("doc_id")),
-        }
-    )
+    rows = docs.select("doc_id", t.raw_pieces(F.col("content")).alias("p"))
+    rows = rows.select("doc_id", F.transform("p", lambda x: F.length(x).cast("long")).alias("n"), F.transform("p", lambda x: t.begins_article(x)).alias("starts"))
+    runs = F.transform(F.sequence(F.lit(0), F.ceil(F.size("n") / F.lit(RUN)).cast("int") - 1), lambda k: F.slice("n", k * RUN + 1, F.lit(RUN)))
+    rows = rows.select("doc_id", "n", "starts", runs.alias("runs"))
+    totals = F.transform("runs", lambda r: F.aggregate(r, F.lit(0).cast("long"), lambda a, y: a + y))
+    empty = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("all"))
+    before = F.aggregate(totals, empty, lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.concat(a["all"], F.array(a["sum"])).alias("all")), lambda a: a["all"])
+    rows = rows.select("doc_id", "n", "starts", "runs", before.alias("before"))
+    at = F.flatten(F.zip_with("runs", "before", lambda r, b: F.transform(_sums_before(r), lambda x: x + b)))
+    rows = rows.select("doc_id", F.arrays_zip(at.alias("start"), F.col("n"), F.col("starts")).alias("p"), F.exists("starts", lambda x: x).alias("some"))
     # Without any marker the one piece is the article.
-    return raw.filter(F.col("starts") | ~F.col("some")).select("doc_id", "pos", "start", (F.col("start") + F.col("n")).alias("end"))
+    found = rows.select("doc_id", F.posexplode(F.filter("p", lambda x: x["starts"] | ~F.col("some"))).alias("pos", "a"))
+    return found.select("doc_id", F.col("pos").cast("long").alias("pos"), "a.start", (F.col("a.start") + F.col("a.n")).alias("end"))
 
 
 def metrics(docs: DataFrame) -> DataFrame:
@@ -56,14 +67,25 @@ def numbered(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("article_number", number).withColumn("parts", t.number_parts(F.col("article_number")))
 
 
-def context(entities: DataFrame, size: int = 3) -> DataFrame:
+#: Records of one document that one task puts in order.
+CHUNK = 1 << 16
+
+
+def context(entities: DataFrame, size: int = 3, chunk: int = CHUNK) -> DataFrame:
     """Each record with the lines of up to `size` records before it in its document.
 
     A line is "- number: concept"; without any record before it a fixed word stands.
+    A document of more than `chunk` records is dealt to several tasks, each with the
+    last `size` records before its own; positions are taken to be without gaps, as
+    articles() gives them.
     """
     line = F.concat(F.lit("- "), F.col("article_number"), F.lit(": "), F.col("concept"))
-    before = W.partitionBy("doc_id").orderBy("pos").rowsBetween(-size, -1)
-    return entities.withColumn("context", t.or_default(F.concat_ws("\n", F.collect_list(line).over(before)), t.NO_CONTEXT))
+    own = F.floor(F.col("pos") / chunk)
+    sent = F.when(F.pmod("pos", F.lit(chunk)) >= chunk - size, F.array(own, own + 1)).otherwise(F.array(own))
+    dealt = entities.withColumn("_chunk", F.explode(sent))
+    before = W.partitionBy("doc_id", "_chunk").orderBy("pos").rowsBetween(-size, -1)
+    out = dealt.withColumn("context", t.or_default(F.concat_ws("\n", F.collect_list(line).over(before)), t.NO_CONTEXT))
+    return out.filter(F.col("_chunk") == own).drop("_chunk")
 
 
 def first_rows(rows: DataFrame, n: int = 10, key: str = "doc_id", order: str = "pos") -> DataFrame:

@@ -13,8 +13,9 @@ def dedup_triplets(triplets: DataFrame, min_confidence: float | None = None) ->
 
     Ties keep the earliest.  A NaN never replaces another and, standing first,
     is never replaced.  `first_pos` is where the key first stood.
-    The winners are found by partial aggregates, without a sort.  A confidence
-    threshold applies only if asked for.
+    The winners are found by aggregates that combine before the shuffle; as they hold
+    strings, Spark sorts by the key for them.  A confidence threshold applies only if
+    asked for.
     """
     rows = triplets if min_confidence is None else triplets.filter(F.col("confidence") >= min_confidence)
     rest = F.struct("article_number", "confidence", "pos")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary
-from .running import running_sum
+from .running import chunk_bounds, running_sum
 
 EDGE = ("subject", "relation", "object")
 
@@ -66,6 +66,12 @@ def new_entities(names: DataFrame, existing: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- graph scope
 
 
+def _copies(docs: DataFrame, bounds: list[int]) -> DataFrame:
+    """doc_id, load_seq, copies: the documents loaded no later under each one's title."""
+    counted = running_sum(docs.select("title", "load_seq", F.lit(1).alias("_one")), "title", "load_seq", "_one", "copies", bounds)
+    return docs.select("doc_id", "title", "load_seq").join(counted, ["title", "load_seq"]).select("doc_id", "load_seq", "copies")
+
+
 def contains_graph_scope(docs: DataFrame, articles: DataFrame) -> DataFrame:
     """Articles with the copies they get where documents are matched by title alone.
 
@@ -73,20 +79,23 @@ def contains_graph_scope(docs: DataFrame, articles: DataFrame) -> DataFrame:
     copy of the article: a running count over the load order, never a join of all
     documents with all.
     """
-    counted = running_sum(docs.select("title", "load_seq", F.lit(1).alias("_one")), "title", "load_seq", "_one", "copies")
-    of_doc = docs.select("doc_id", "title", "load_seq").join(counted, ["title", "load_seq"]).select("doc_id", "load_seq", "copies")
+    of_doc = _copies(docs, chunk_bounds(docs, "load_seq"))
     return articles.drop("load_seq").join(of_doc, "doc_id").select("doc_id", "pos", "article_number", "load_seq", "copies")
 
 
 def relation_edges_graph_scope(docs: DataFrame, triplets: DataFrame, articles: DataFrame) -> DataFrame:
     """Triplets with `multiplicity`: the articles of their number in all documents loaded no later.
 
-    Articles count as often as contains_graph_scope() copies them.
+    Articles count as often as contains_graph_scope() copies them.  Articles and
+    triplets are counted by number and document first; only these counts go
+    through the running sum.
     """
-    copies = contains_graph_scope(docs, articles).select("article_number", "load_seq", "copies")
+    bounds = chunk_bounds(docs, "load_seq")
+    counts = articles.groupBy("doc_id", "article_number").agg(F.count("*").alias("_n"))
+    copies = counts.join(_copies(docs, bounds), "doc_id").select("article_number", "load_seq", (F.col("copies") * F.col("_n")).alias("copies"))
     placed = triplets.join(docs.select("doc_id", "load_seq"), "doc_id")
     asked = placed.select("article_number", "load_seq").distinct().withColumn("copies", F.lit(0).cast("long"))
-    sums = running_sum(copies.unionByName(asked), "article_number", "load_seq", "copies", "multiplicity")
+    sums = running_sum(copies.unionByName(asked), "article_number", "load_seq", "copies", "multiplicity", bounds)
     return placed.join(sums.filter("multiplicity > 0"), ["article_number", "load_seq"]).select("doc_id", "pos", *EDGE, "confidence", F.col("article_number").alias("article"), "multiplicity")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import articles as art
-from ..operators import dedup, graph, parse, references
+from ..operators import dedup, graph, parse, references, running
 from ..operators.score import Scorer, score
 from ..sources import pdf
 from ..sources.store import Graph
@@ -59,9 +59,10 @@ def build(docs: DataFrame, entities: DataFrame | None = None, triplets: DataFram
 def pdf_documents(meta: DataFrame, pages: DataFrame) -> DataFrame:
     """Documents of a directory's page and metadata tables, content cleaned and rejoined.
 
-    Files that failed are left out; pdf.failures() tells of them.
+    Files that failed are left out; pdf.failures() tells of them.  They load in the
+    order of their paths.
     """
     readable = meta.join(pdf.without_text(meta, pages).select("path"), "path", "left_anti")
     docs = pdf.documents(readable, pdf.assemble_pages(pages, readable.select("path")))
-    key = F.xxhash64("path")
-    return docs.select(key.alias("doc_id"), key.alias("load_seq"), "title", "law_number", t.rejoin(F.col("content")).alias("content"))
+    docs = running.numbered(docs.select("path", "title", "law_number", t.rejoin(F.col("content")).alias("content")), "path", "load_seq")
+    return docs.select(F.xxhash64("path").alias("doc_id"), "load_seq", "title", "law_number", "content")

@@ -16,7 +16,7 @@ from .operators import dedup, graph, parse, references
 from .operators.score import score
 from .plans import corpus
 from .sources import exports, pdf, store
-from .storage import new_path
+from .storage import kept, new_path
 from .streaming import arrivals
 
 QUERIES: dict = {}
@@ -397,6 +397,38 @@ def citation_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.resolve(art.articles(fx.planted_text(spark, sf_dir), "heading"))
 
 
+@query(
+    rf"""SELECT number, CASE WHEN number LIKE '%호' THEN 0 WHEN number LIKE '%항' THEN 1 WHEN regexp_matches(number, '의\d+$') THEN 2 ELSE 3 END AS level, sum(n)::BIGINT AS citations, sum(n) FILTER (number = cited)::BIGINT AS direct
+    FROM (SELECT cited, n, unnest(list_distinct([cited, regexp_replace(cited, '제\d+호$', ''), regexp_replace(cited, '(제\d+항)?(제\d+호)?$', ''), regexp_extract(cited, '^제\d+조', 0)])) AS number
+          FROM (SELECT cited, count(*) AS n FROM ({_CITED}) GROUP BY 1)) GROUP BY 1"""
+)
+def citation_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations of items and paragraphs counted for all that they are part of."""
+    out = references.citation_rollup(references.citations(art.articles(fx.planted_text(spark, sf_dir), "heading")))
+    return out.withColumn("direct", F.nullif("direct", F.lit(0)))
+
+
+_CITING = rf"""cs AS (SELECT doc_id, '법률' || doc_id % 7 AS title, array_to_string(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x, i: '제' || i || '조(제목' || i || ') ' || x ||
+    CASE WHEN i % 3 = 1 THEN ' 제1조 및 「' || CASE WHEN i % 5 = 0 THEN '없는 법' ELSE '법률' || (doc_id + i) % 7 END || '」 제' || (i % 9 + 1) || '조제1항, 제 ' || (i % 40 + 1) || ' 조에 따라' ELSE '' END), chr(10) || chr(10)) AS content FROM documents),
+cp AS (SELECT doc_id, i - 1 AS pos, ps[i] AS article_text FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS i FROM (SELECT doc_id, {_split('content', _PAT + '\\s*\\(')} AS ps FROM cs))),
+tk AS (SELECT doc_id, pos, regexp_extract_all(regexp_replace(article_text, '^{_PAT}\s*(?:\([^)]*\))?', ''), '「[^」]+」|{_PAT}(?:제\s*\d+\s*호)?') AS ts FROM cp),
+ct AS (SELECT doc_id, pos, len(list_filter(ts[1:i - 1], lambda x: x NOT LIKE '「%')) AS at, trim(list_filter(ts[1:i - 1], lambda x: x LIKE '「%')[-1], '「」') AS law, regexp_replace(ts[i], '\s+', '', 'g') AS cited
+       FROM (SELECT *, unnest(range(1, len(ts) + 1)) AS i FROM tk) WHERE ts[i] NOT LIKE '「%')"""
+
+
+@query(
+    rf"""SELECT * FROM (WITH {_CITING}, nm AS (SELECT * FROM ct WHERE law IS NOT NULL),
+    av AS (SELECT nm.*, cs.doc_id AS target_doc, regexp_extract(cited, '^(제\d+조(?:의\d+)?)', 1) AS target FROM nm ASOF LEFT JOIN cs ON cs.title = nm.law AND nm.doc_id > cs.doc_id),
+    fa AS (SELECT doc_id, regexp_extract(article_text, '^(제\d+조)', 1) AS target, min(pos) AS target_pos FROM cp GROUP BY 1, 2)
+    SELECT av.doc_id, av.pos, av.at, av.law, av.cited, target_doc, target_pos, target_pos IS NOT NULL AS resolved FROM av LEFT JOIN fa ON fa.doc_id = target_doc AND fa.target = av.target)"""
+)
+def cross_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations of other statutes, resolved to the version that was loaded last before the citing one."""
+    docs = fx.citing_statutes(spark, sf_dir)
+    pieces = kept(art.articles(docs, "heading"), "citing-articles")
+    return references.across_statutes(references.law_citations(pieces), docs, pieces)
+
+
 # ---------------------------------------------------------------- sources, sinks, scoring, streams
 
 
@@ -549,6 +581,27 @@ def score_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(fx.articles(spark, sf_dir), "article_text", _stub).select("doc_id", "pos", "response")
 
 
+def _refusing_stub(prompts: pd.Series) -> pd.Series:
+    """A model that refuses texts of some lengths, whatever the batch."""
+    if (prompts.str.len() % 7 == 3).any():
+        raise ValueError("refused")
+    return _stub(prompts)
+
+
+@query(
+    """SELECT * FROM (WITH p AS (SELECT article_text, bool_or(doc_id % 10 <> 0) AS early, length(any_value(article_text)) % 7 = 3 AS bad FROM art GROUP BY 1)
+    SELECT 'first' AS run, count(*) AS asked, count(*) FILTER (bad) AS failed FROM p WHERE early
+    UNION ALL SELECT 'second', count(*), count(*) FILTER (bad) FROM p WHERE NOT early OR bad
+    UNION ALL SELECT 'third', count(*), count(*) FROM p WHERE NOT early AND bad) WHERE asked > 0"""
+)
+def rescored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three runs over a growing corpus ask: what is new, and what failed until it was asked twice."""
+    memory, rows = new_path(spark, "answers"), fx.articles(spark, sf_dir)
+    for run, part in (("first", rows.filter("doc_id % 10 <> 0")), ("second", rows), ("third", rows), ("fourth", rows)):
+        score(part, "article_text", _refusing_stub, memory=memory, attempts=2, run=run)
+    return spark.read.parquet(memory).groupBy("run").agg(F.count("*").alias("asked"), F.count_if(F.col("response").isNull()).alias("failed"))
+
+
 def _entity_stub(prompts: pd.Series) -> pd.Series:
     article = prompts.str.split("\n\n", n=1).str[1]
     number = article.str.split(" ").str[0]

@@ -51,11 +51,13 @@ def saved_one_by_one(docs, articles, triplets):
     return copies, edges
 
 
-@pytest.mark.parametrize("chunk", [3, 1 << 16])
-def test_graph_scope_equals_saving_one_by_one(spark, monkeypatch, chunk):
-    monkeypatch.setattr(running.running_sum, "__defaults__", (chunk,))
+@pytest.mark.parametrize("order", ["dense", "hashed", "uneven"])
+@pytest.mark.parametrize("chunks", [3, 128])
+def test_graph_scope_equals_saving_one_by_one(spark, monkeypatch, chunks, order):
+    monkeypatch.setattr(running.chunk_bounds, "__defaults__", (chunks,))
     rng = random.Random(8)
-    docs = [(i, i * 2 + 1, rng.choice("ABC")) for i in range(12)]
+    seq = {"dense": lambda i: i * 2 + 1, "hashed": lambda i: rng.randrange(-(1 << 63), 1 << 63), "uneven": lambda i: i if i < 9 else 10**17 * i}[order]
+    docs = [(i, seq(i), rng.choice("ABC")) for i in range(12)]
     articles = [(i, p, f"제{rng.randrange(3)}조") for i in range(12) for p in range(rng.randrange(4))]
     triplets = [(i, p, "s", "r", "o", f"제{rng.randrange(4)}조", 1.0) for i in range(12) for p in range(3)]
     d = spark.createDataFrame(docs, "doc_id long, load_seq long, title string")
@@ -85,6 +87,27 @@ def test_context_takes_three_records_before(spark):
     assert got[1, 4] == "- 제1조: c1\n- 제2조: c2\n- 제3조: c3"
 
 
+def test_context_of_one_giant_document_is_dealt_to_several_tasks(spark):
+    rows = spark.range(3000).select(F.floor(F.col("id") / 2500).alias("doc_id"), (F.col("id") % 2500).alias("pos"), F.concat(F.lit("제"), "id", F.lit("조")).alias("article_number"), F.col("id").cast("string").alias("concept"))
+    plain = {(r.doc_id, r.pos): r.context for r in art.context(rows, chunk=1 << 20).collect()}
+    dealt = art.context(rows, chunk=100).withColumn("task", F.spark_partition_id()).collect()
+    assert {(r.doc_id, r.pos): r.context for r in dealt} == plain and len(dealt) == 3000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = art.context(rows, chunk=100).filter("doc_id = 0").select(F.spark_partition_id().alias("task")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert tasks == 4
+
+
+def test_bounds_part_any_spread_of_orders(spark):
+    rows = spark.range(10_000).select(F.when(F.col("id") < 5000, F.col("id")).otherwise(F.xxhash64("id")).alias("o"))
+    bounds = running.chunk_bounds(rows, "o", 16)
+    sizes = [r["count"] for r in rows.groupBy(running.chunk_of("o", bounds)).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1000
+    assert running.chunk_bounds(rows.limit(0), "o") == []
+
+
 def test_statistics_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long")
     assert [tuple(r) for r in graph.statistics(none, none, none).collect()] == [(0, 0, 0)]

@@ -1,3 +1,4 @@
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -70,3 +71,46 @@ def test_score_asks_equal_prompts_once_and_isolates_failures(spark):
     assert got == {1: "a!", 2: "a!", 3: None, 4: "b!", 5: None}
     assert calls.value == 2
     assert score(rows.filter(F.lit(False)), "prompt", fn).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("answer", "why"),
+    [
+        (lambda s: s.iloc[:-1], "1 answers to 2 prompts"),
+        (lambda s: [*s, "more"], "answers to"),
+        (lambda s: s.set_axis(range(10, 10 + len(s))), None),
+        (lambda s: s.str.len(), "no string but int"),
+        (lambda s: pd.Series([None] * len(s)), "no answer"),
+    ],
+)
+def test_score_loses_no_answer_in_silence(spark, answer, why):
+    """Too few, too many, another index, no strings, none."""
+    rows = spark.createDataFrame([(i, f"p{i % 2}") for i in range(4)] + [(9, None)], "i long, prompt string").coalesce(1)
+    got = score(rows, "prompt", lambda s: answer("A" + s), error="why", partitions=1).collect()
+    assert len(got) == 5
+    for r in got:
+        if r.i == 9:
+            assert r.response is None and r.why is None
+        elif why is None:
+            assert r.response == f"Ap{r.i % 2}" and r.why is None
+        elif why.startswith("1 answers"):
+            assert r.response is None and "0 answers to 1 prompts" in r.why
+        else:
+            assert r.response is None and why in r.why
+
+
+def test_score_remembers_answers_and_asks_failures_again_up_to_a_bound(spark, tmp_path):
+    memory = str(tmp_path / "memory")
+
+    def fn(prompts):
+        if prompts.str.contains("bad").any():
+            raise ValueError("refused")
+        return "A" + prompts
+
+    rows = lambda *p: spark.createDataFrame([(x,) for x in p], "prompt string")
+    run = lambda name, *p: {r.prompt: (r.response, r.why) for r in score(rows(*p), "prompt", fn, error="why", memory=memory, attempts=2, run=name).collect()}
+    asked = lambda name: spark.read.parquet(memory).filter(F.col("run") == name).count()
+    assert run("1", "a", "a", "b", "bad") == {"a": ("Aa", None), "b": ("Ab", None), "bad": (None, "ValueError: refused")}
+    assert run("2", "a", "b", "bad", "c") == {"a": ("Aa", None), "b": ("Ab", None), "bad": (None, "ValueError: refused"), "c": ("Ac", None)}
+    assert run("3", "a", "bad") == {"a": ("Aa", None), "bad": (None, "ValueError: refused")}
+    assert [asked(n) for n in "123"] == [3, 2, 0]

@@ -59,6 +59,15 @@ def test_offsets_give_the_pieces_back(spark):
     assert [r for r in rows if r[0] > 1] == [(2, 0, 0, 5), (3, 0, 0, 0)]
 
 
+def test_offsets_of_many_pieces_need_no_shuffle(spark):
+    content = "".join(f"제{n}조 {'글' * (n % 7)} " for n in range(1, 1000))
+    got = art.offsets(spark.createDataFrame([(1, content), (2, None)], "doc_id long, content string"))
+    rows = sorted((r.pos, r.start, r.end) for r in got.collect())
+    starts = [m.start() for m in re.finditer(r"제\d+조", content)]
+    assert rows == list(zip(range(999), starts, [*starts[1:], len(content)]))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_numbers_titles_and_parts(spark):
     cases = ["제 2 조의3제 4항(뜻 풀이) 글", "제1조 글", "글"]
     assert column(spark, cases, t.article_number) == ["제2조의3제4항", "제1조", None]
