@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import uuid
+
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .operators import articles as art
+from .sources.exports import ARTICLE_HEADER
 
 #: Relation of a triplet by return flag and line status.
 LABELS = (("AF", "정의함"), ("AO", "간주함"), ("NF", "요구함"), ("NO", "금지함"), ("RF", "허용함"))
@@ -176,3 +181,23 @@ def write_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
 
     texts = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list(F.coalesce("text", F.lit(""))).alias("texts"))
     texts.mapInPandas(write, "conv_id long").write.format("noop").mode("overwrite").save()
+
+
+def write_foreign_listing(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """An article listing as another program writes it: byte-order mark, quotes only where needed, line breaks and doubled quotes inside, empty fields."""
+
+    def write(batches):
+        for k, batch in enumerate(batches):
+            fs, root = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+            fs.create_dir(root, recursive=True)
+            with fs.open_output_stream(f"{root}/{uuid.uuid4().hex}-{k}.csv") as out:
+                text = io.StringIO()
+                rows = csv.writer(text, lineterminator="\n")
+                rows.writerow(ARTICLE_HEADER)
+                for title, n, role, body in zip(batch["title"], batch["turn"], batch["role"], batch["text"]):
+                    rows.writerow([title, f"제{n}조", f'{role}, "{n}"', "", role if n % 2 else "", "", body])
+                out.write(b"\xef\xbb\xbf" + text.getvalue().rstrip("\n").encode())
+            yield batch[["turn"]]
+
+    rows = table(spark, sf_dir, "conversations").select(F.concat(F.lit("법률 "), "conv_id").alias("title"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows.mapInPandas(write, "turn long").write.format("noop").mode("overwrite").save()

@@ -49,7 +49,23 @@ def relation_types(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RELATIONS, "label string, code string, category string, in_enum boolean, in_prompt boolean")
 
 
+#: All cues at once.  None can begin inside another of a different relation, so matches that do not overlap are all.
+_ANY_CUE = "|".join(f"(?:{cue})" for _, cue in CUES)
+
+
 def cue_relations(text: Column) -> Column:
-    """array<struct<relation, cue>> of the relations whose wording occurs; cue is its first occurrence."""
-    each = [F.when(text.rlike(cue), F.struct(F.lit(label).alias("relation"), F.regexp_extract(text, f"({cue})", 1).alias("cue"))) for label, cue in CUES]
-    return F.filter(F.array(*each), lambda x: x.isNotNull())
+    """array<struct<relation, cue>> of the relations whose wording occurs; cue is its first occurrence.
+
+    The text is gone through once; what was found tells its relation.
+    """
+    cues = F.regexp_extract_all(text, F.lit(_ANY_CUE), F.lit(0))
+
+    def relation(cue: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for label, pattern in CUES:
+            out = F.when(cue.rlike(f"^(?:{pattern})$"), label).otherwise(out)
+        return out
+
+    labels = F.transform(cues, relation)
+    each = F.zip_with(labels, cues, lambda label, cue: F.struct(label.alias("relation"), cue.alias("cue")))
+    return F.transform(F.array_distinct(labels), lambda label: F.element_at(F.filter(each, lambda x: x["relation"] == label), 1))

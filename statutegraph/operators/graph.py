@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary
+from ..storage import kept
 from .running import chunk_bounds, running_sum
 
 EDGE = ("subject", "relation", "object")
@@ -117,9 +118,19 @@ def relations_of(edges: DataFrame, number: str) -> DataFrame:
     return edges.filter(F.col("article") == number).select(*EDGE, "confidence")
 
 
+#: Keys that are sent to all machines, at most.
+BROADCAST_KEYS = 200_000
+
+
 def relations_of_many(edges: DataFrame, keys: DataFrame) -> DataFrame:
-    """As relations_of(), for a table of numbers."""
-    return edges.join(keys.select(F.col("article_number").alias("article")).distinct(), "article").select("article", *EDGE, "confidence")
+    """As relations_of(), for a table of numbers.
+
+    The numbers go to the edges, which stay where they are, so a number that stands in
+    every statute fills no task; only beyond BROADCAST_KEYS numbers both sides meet by shuffle.
+    """
+    numbers = kept(keys.select(F.col("article_number").alias("article")).distinct(), "asked-numbers")
+    few = numbers.count() <= BROADCAST_KEYS
+    return edges.join(F.broadcast(numbers) if few else numbers, "article").select("article", *EDGE, "confidence")
 
 
 def article_listing(docs: DataFrame, articles: DataFrame) -> DataFrame:

@@ -25,10 +25,6 @@ def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def _field(v: Column, name: str) -> Column:
-    return F.try_variant_get(v, f"$.{name}", "variant")
-
-
 def _is_text(v: Column) -> Column:
     return F.coalesce(_kind(v) == "STRING", F.lit(False))
 
@@ -53,13 +49,18 @@ def items(answers: DataFrame) -> DataFrame:
     return _items(answers, outer=False).drop("no_json")
 
 
+def _fields(v: Column, names: tuple[str, ...]) -> Column:
+    """The named fields of an object, as variants, in one go; null if it is none."""
+    return F.try_variant_get(v, "$", f"struct<{', '.join(f'{n}: variant' for n in names)}>")
+
+
 def _checked(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("_is", F.coalesce(F.startswith(_kind(F.col("item")), F.lit("OBJECT")), F.lit(False)))
-    rows = rows.withColumns({f"_{name}": F.when(F.col("_is"), _field(F.col("item"), name)) for name in (*TRIPLET_FIELDS, "confidence")})
+    rows = rows.withColumn("_f", _fields(F.col("item"), (*TRIPLET_FIELDS, "confidence")))
+    rows = rows.select("*", *(F.col(f"_f.{name}").alias(f"_{name}") for name in (*TRIPLET_FIELDS, "confidence")))
     given = F.col("_confidence")
     number = F.when(given.isNull(), F.lit(1.0)).when(F.is_variant_null(given), F.lit(None).cast("double")).otherwise(F.try_variant_get(given, "$", "double"))
     rows = rows.withColumn("_number", number)
-    ok = F.col("_is") & F.col("_number").isNotNull()
+    ok = F.col("_f").isNotNull() & F.col("_number").isNotNull()
     for name in TRIPLET_FIELDS:
         ok = ok & _is_text(F.col(f"_{name}"))
     return rows.withColumn("ok", F.coalesce(ok, F.lit(False)))
@@ -87,10 +88,10 @@ def entities(answers: DataFrame) -> DataFrame:
     """
     v = F.col("_v")
     rows = _read(answers).withColumn("_e", F.when(F.col("_k") == "ARRAY", F.try_variant_get(v, "$[0]", "variant")).otherwise(v))
-    rows = rows.withColumn("_is", F.coalesce(F.startswith(_kind(F.col("_e")), F.lit("OBJECT")), F.lit(False)))
     names = ("article_number", "concept", *OPTIONAL_FIELDS, "full_text")
-    rows = rows.withColumns({f"_{name}": F.when(F.col("_is"), _field(F.col("_e"), name)) for name in names})
-    ok = F.col("_is")
+    rows = rows.withColumn("_f", _fields(F.col("_e"), names))
+    rows = rows.select("*", *(F.col(f"_f.{name}").alias(f"_{name}") for name in names))
+    ok = F.col("_f").isNotNull()
     for name in names:
         here = F.col(f"_{name}")
         ok = ok & (_is_text(here) | here.isNull() | F.is_variant_null(here) if name in OPTIONAL_FIELDS else _is_text(here))

@@ -12,7 +12,7 @@ from . import fixtures as fx
 from .functions import text as t
 from .functions import vocabulary
 from .operators import articles as art
-from .operators import dedup, graph, parse, references
+from .operators import dedup, graph, parse, references, running
 from .operators.score import score
 from .plans import corpus
 from .sources import exports, pdf, store
@@ -504,6 +504,29 @@ def edge_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.read_edges(spark, path)
 
 
+@query(
+    """SELECT '법률 ' || conv_id AS title, '제' || turn || '조' AS article_number, coalesce(role, '') || ', "' || turn || '"' AS concept, NULL::VARCHAR AS subject, CASE WHEN turn % 2 = 1 THEN nullif(role, '') END AS action,
+    NULL::VARCHAR AS object, nullif(text, '') AS full_text FROM conversations"""
+)
+def foreign_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing that another program wrote."""
+    path = new_path(spark, "foreign-csv")
+    fx.write_foreign_listing(spark, sf_dir, path)
+    return exports.read_articles(spark, path)
+
+
+@query(
+    rf"""SELECT title, law_number, array_to_string({_split('c')}, chr(10) || chr(10)) AS content, row_number() OVER (ORDER BY encode(path)) AS place
+    FROM (SELECT path, coalesce(nullif(title, ''), nullif(subject, ''), n::VARCHAR) AS title, 'PDF 문서 - ' || filename AS law_number, trim(regexp_replace(content, '\s+', ' ', 'g')) AS c FROM meta JOIN joined USING (path) WHERE error IS NULL)"""
+)
+def pdf_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A directory's files from pages and metadata to documents, cleaned and split, in the order in which they load."""
+    docs = corpus.pdf_documents(fx.meta_of_file(spark, sf_dir), fx.pages_of_file(spark, sf_dir))
+    earlier = docs.select("load_seq", F.lit(1).alias("one"))
+    place = running.running_sum(earlier.withColumn("all", F.lit(0)), "all", "load_seq", "one", "place").select("load_seq", "place")
+    return docs.join(place, "load_seq").select("title", "law_number", "content", "place")
+
+
 _HALVES = "SELECT (SELECT count(*) FROM ld) AS documents, (SELECT count(*) FROM art) AS articles, (SELECT count(*) FROM (SELECT subject FROM edges UNION SELECT object FROM edges)) AS entities, (SELECT count(*) FROM edges JOIN ld USING (doc_id)) AS relations"
 
 
