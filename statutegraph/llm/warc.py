@@ -66,7 +66,8 @@ HEADER_OF = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PARTITION_BYTES = 64 << 20
-FILE_BYTES = 128 << 20
+#: Own files are read whole, as they are about as large as a piece.
+FILE_BYTES = PARTITION_BYTES
 
 
 def base32_digest(payload: bytes) -> str:
@@ -196,7 +197,10 @@ class WarcReader(DataSourceReader):
         for path, start, end in partition.pieces:
             with fs.open_input_file(path) as raw:
                 if not path.endswith(".gz"):
-                    yield from self.records(io.BufferedReader(raw, 1 << 20), start, end)
+                    if start and (start := first_record(raw, start, end)) is None:
+                        continue
+                    raw.seek(start)
+                    yield from self.records(io.BufferedReader(raw, 1 << 20), end)
                 elif (start, end) == (0, None):
                     yield from self.records(gzip.GzipFile(fileobj=raw))
                 else:
@@ -229,20 +233,20 @@ class WarcReader(DataSourceReader):
                 pass
             at = max(at + 1, member.end or 0)
 
-    def records(self, file, start: int = 0, end: int | None = None) -> Iterator[tuple]:
-        """Records that begin from `start` to before `end`; from headers to headers where they begin before it."""
+    def records(self, file, end: int | None = None) -> Iterator[tuple]:
+        """Records from where the file stands, up to the first of those from `end` on at which another piece begins."""
         at, line = file.tell() if file.seekable() else 0, file.readline()
         while line:
             if not line.startswith(b"WARC/"):
                 at, line = at + len(line), file.readline()
                 continue
-            if end is not None and at >= end:
+            if end is not None and at >= end and is_first(file, at):
                 return
             headers, n = read_headers(file)
             body = at + len(line) + n
             length = whole_number(headers.get("content-length"))
             values = {column: _plain(column, headers[name]) if name in headers else None for column, name in HEADER_OF.items()}
-            wanted = at >= start and all(test(values[column]) for column, test in self.tests)
+            wanted = all(test(values[column]) for column, test in self.tests)
             if length is None:  # goes on to the next line that begins a record
                 if wanted:
                     yield (*(values[k] for k in _FIRST), None, values["refers_to"], False, headers, None)
@@ -272,6 +276,57 @@ class WarcReader(DataSourceReader):
         return (*(values[k] for k in _FIRST), size, values["refers_to"], intact, headers, payload if self.payload == "true" else None)
 
 
+#: What ends a record and begins the next.
+_BETWEEN = b"\r\n\r\nWARC/"
+
+
+def _at_record(file, at: int) -> bool:
+    """Whether a record with type, id and length begins at `at`, and after it another or the file's end."""
+    file.seek(at)
+    if not file.readline().startswith(b"WARC/"):
+        return False
+    headers, _ = read_headers(file)
+    length = whole_number(headers.get("content-length"))
+    if length is None or "warc-type" not in headers or "warc-record-id" not in headers:
+        return False
+    skip(file, length)
+    return file.read(len(_BETWEEN)) in (_BETWEEN, b"\r\n\r\n")
+
+
+def is_first(file, at: int) -> bool:
+    """Whether first_record() would find the record at `at`, of which the first line was just read; the file stays where it is."""
+    here = file.tell()
+    file.seek(at - 4)
+    found = file.read(len(_BETWEEN)) == _BETWEEN and _at_record(file, at)
+    file.seek(here)
+    return found
+
+
+def first_record(raw, start: int, end: int | None) -> int | None:
+    """Where the first record of a piece begins: after the end of another one, with a header that is whole.
+
+    A payload that holds such records itself, an archive in the archive, may be taken for
+    them; a larger `partitionBytes` leaves the file whole.
+    """
+    at, stop = start - 4, raw.size() if end is None else end
+    while at + 4 < stop:
+        raw.seek(at)
+        window = raw.read((1 << 20) + len(_BETWEEN) - 1)
+        found = window.find(_BETWEEN)
+        if found < 0:
+            at += 1 << 20
+            continue
+        if at + found + 4 >= stop:
+            return None
+        file = io.BufferedReader(raw, 1 << 12)
+        good = _at_record(file, at + found + 4)
+        file.detach()  # or else it closes the file
+        if good:
+            return at + found + 4
+        at += found + 1
+    return None
+
+
 _FIRST = ("record_id", "record_type", "target_uri", "date", "payload_digest")
 
 
@@ -432,9 +487,10 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     groups = staged(slim.filter(again("h")).groupBy("group").agg(F.min("id").alias("first"), F.count("*").alias("n")), "page-groups")
     may_be_first = may_be_among(groups.select(F.xxhash64("first").alias("h")))
     met = rows.filter(again(hash_of("group")))
+    # Staged, as it is read twice: html itself is read once for digests, once here, once for what does not repeat.
     met = met.withColumn("payload", F.when(may_be_first(F.xxhash64("id")) | (F.col("payload_bytes") < min_bytes), F.col("payload")))
     columns = ["id", "target_uri", "payload", "payload_digest", "payload_bytes"]
-    both = with_group(met, groups, "group", "n").select(*columns, "first")
+    both = with_group(staged(met, "page-repeats"), groups, "group", "n").select(*columns, "first")
     both = both.unionByName(rows.filter(~again(hash_of("group"))).select(*columns, F.col("id").alias("first")))
     revisit = (F.col("payload_bytes") >= min_bytes) & ~F.col("id").eqNullSafe(F.col("first"))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")))

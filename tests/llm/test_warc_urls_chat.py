@@ -41,6 +41,24 @@ def brute_warc(rows):
     return Counter(out)
 
 
+def test_pieces_of_a_plain_file_parse_each_header_about_once(tmp_path, monkeypatch):
+    writer = warc.WarcWriter({"path": str(tmp_path)}, True)
+    odd = [b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n", b"WARC/1.0\nWARC-Type: info\n\nno length\n"]
+    body = [writer.record(r) for r in records(3000, 200)]
+    body += [writer.record(records(1, 0, payload="x\r\n\r\nWARC/1.1\r\nno header y", payload_bytes=29)[0])]
+    (tmp_path / "a.warc").write_bytes(b"".join(x + (odd[i % 2] if i % 500 == 7 else b"") for i, x in enumerate(body)))
+    seen, real = [], warc.read_headers
+    monkeypatch.setattr(warc, "read_headers", lambda f: seen.append(1) or real(f))
+    whole = [r[:6] for r in warc.WarcReader({"path": str(tmp_path)}).read(warc.Pieces([(str(tmp_path / "a.warc"), 0, None)]))]
+    n = len(seen)
+    for size in (1000, 40_000, 333_333):
+        seen.clear()
+        reader = warc.WarcReader({"path": str(tmp_path), "partitionbytes": str(size)})
+        parts = reader.partitions()
+        assert [r[:6] for p in parts for r in reader.read(p)] == whole and len(parts) > 2
+        assert len(seen) <= n + 3 * len(parts)
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_archive_gives_every_page_back(spark, clashing):
     got = warc.archived_pages(pages(spark, clashing=clashing)).collect()
