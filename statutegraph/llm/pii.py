@@ -96,6 +96,13 @@ PATTERNS = {
 _FOUND = {k: regex.compile(p) for k, p in PATTERNS.items()}
 _WORD = r"\p{Lu}[\p{L}'’-]*\p{L}"
 _NAME = regex.compile(rf"\b(\p{{Lu}}[\p{{L}}]+)\.? ({_WORD})(?: ({_WORD}))?")
+#: Words in lower case that stand inside a name, before its last word.
+PARTICLES = "von van de del della di da do dos du der den la le ter zu zur al bin ben el".split()
+_GAP = r"[ \t\u00a0]{1,3}"
+_NEXT = regex.compile(rf"{_GAP}(\p{{Lu}}\.(?=\s)|{_WORD})")
+_PARTICLE = regex.compile(rf"{_GAP}(?:{'|'.join(PARTICLES)})(?=\s)")
+_CAPITAL = regex.compile(rf"\b{_WORD}")
+_TURNED = regex.compile(rf"\b({_WORD}),{_GAP}(\p{{Lu}}\p{{L}}+)\b")
 _AFTER_CUE = regex.compile(rf"(?i:(?<!\w)(?:{'|'.join(map(regex.escape, BEFORE))}))\s+({_WORD}) ({_WORD})")
 _BEFORE_CUE = regex.compile(rf"\b({_WORD}) ({_WORD}) (?:{'|'.join(AFTER)})\b")
 _STREETS = [regex.compile(p) for p in STREETS]
@@ -163,6 +170,8 @@ class Name:
     family: str
     gender: str
     script: str
+    #: The span is that of the given name alone.
+    given_only: bool = False
 
     @property
     def family_token(self) -> str:
@@ -179,11 +188,72 @@ class Name:
         return [self.family_token, *([self.given_token] if self.given and self.given.casefold() not in _POOL[self.script, self.gender] else [])]
 
 
+def _long_names(text: str, listed: NameLists) -> Iterator[Name]:
+    """The words of names of more than two: further given names, initials, particles; wide spaces; the family name first.
+
+    Each word is a span of its own, so that what stands between stays.
+    """
+    for m in _CAPITAL.finditer(text):
+        known = listed.get(m.group())
+        if known is None:
+            continue
+        script, gender = known
+        more, at, plain = [], m.end(), True
+        while (n := _NEXT.match(text, at)) and (n.group(1).endswith(".") or listed.get(n.group(1)) is not None):
+            more.append(n)
+            at = n.end()
+        while p := _PARTICLE.match(text, at):
+            at, plain = p.end(), False
+        n = _NEXT.match(text, at)
+        if n is None or n.group(1).endswith("."):
+            if not plain or len(more) < 2 or more[-1].group(1).endswith("."):
+                continue
+            n = more.pop()  # the last of several given names stands for the family's
+        family = n.group(1)
+        if scripts_of(family) != script or (plain and not more and n.start(1) == m.end() + 1):
+            continue  # no long name, or one of two words
+        for g in (m, *more):
+            a, b = g.span() if g is m else g.span(1)
+            if not text[a:b].endswith("."):
+                yield Name(a, b, text[a:b], family, (listed.get(text[a:b]) or known)[1], script, True)
+        yield Name(*n.span(1), None, family, gender, script)
+    for m in _TURNED.finditer(text):
+        known = listed.get(m.group(2))
+        if known is not None and listed.get(m.group(1)) is None and scripts_of(m.group(1)) == known[0] and m.group(1).isupper():
+            yield Name(*m.span(2), m.group(2), m.group(1), known[1], known[0], True)
+            yield Name(*m.span(1), None, m.group(1), known[1], known[0])
+
+
 def names_in(text: str, listed: NameLists = LISTED) -> Iterator[Name]:
-    """Listed given names with a family name, titles with one or both, and pairs of words that a cue tells.
+    """Names in full, then the words of these names where they stand alone elsewhere in the text.
 
     Later ones may overlap earlier ones; the first of them counts.
     """
+    families: dict[str, Name] = {}
+    givens: dict[str, Name] = {}
+    for n in _full_names(text, listed):
+        yield n
+        if len(n.family) > 2:
+            families.setdefault(n.family.casefold(), n)
+        if n.given and len(n.given) > 2:
+            givens.setdefault(n.given.casefold(), n)
+    # A word that the text has in lower case too is an ordinary one.
+    for known in (families, givens):
+        for word in [w for w in known if regex.search(rf"\b{regex.escape(w)}\b", text)]:
+            del known[word]
+    for m in _CAPITAL.finditer(text) if families or givens else ():
+        word = regex.split("['’]", m.group())[0] if m.group().casefold() not in families else m.group()
+        end = m.start() + len(word)
+        if (n := families.get(word.casefold())) is not None:
+            yield Name(m.start(), end, None, word, n.gender, n.script)
+        elif (n := givens.get(word.casefold())) is not None:
+            yield Name(m.start(), end, word, n.family, n.gender, n.script, True)
+
+
+def _full_names(text: str, listed: NameLists) -> Iterator[Name]:
+    """Listed given names with a family name, titles with one or both, and pairs of words that a cue tells."""
+    if "name" in listed.seen(text):
+        yield from _long_names(text, listed)
     seen = listed.seen(text)
     at = 0
     while "name" in seen and (m := _NAME.search(text, at)):
@@ -481,6 +551,8 @@ class Surrogates:
         return pool[self.walked(at, len(pool), f"given|{name.script}|{name.gender}|{name.family.casefold()}")]
 
     def renamed(self, name: Name, attempts: dict[str, int]) -> str:
+        if name.given_only:
+            return cased_like(self.given(name, attempts), name.given)
         family = cased_like(self.invented(name.family_token, attempts.get(name.family_token, 0)), name.family)
         return f"{cased_like(self.given(name, attempts), name.given)} {family}" if name.given else family
 

@@ -27,6 +27,37 @@ def test_every_kind_is_found_and_replaced_in_its_format():
     assert next(v for k, v in again if k == "phone").startswith("+1 (")
 
 
+@pytest.mark.parametrize(
+    ("text", "gone", "stay"),
+    [
+        ("Anna Maria Schmidt called. Later Schmidt left; Anna's car stayed.", ["Anna", "Maria", "Schmidt"], ["called. Later", "left;", "'s car stayed."]),
+        ("Hans von Berg and Maria de la Cruz met. Berg spoke to Cruz.", ["Hans", "Berg", "Maria", "Cruz"], [" von ", " de la ", "met."]),
+        ("John Q. Public signed; SCHMIDT, Anna did not.", ["John", "Public", "SCHMIDT", "Anna"], [" Q. ", "signed;"]),
+        ("Peter  Müller and Peter\u00a0Müller; MÜLLER too", ["Peter", "Müller", "MÜLLER"], ["  ", "\u00a0", "too"]),
+        ("Dr. Weber said so. Frau Weber agreed. Weber's book", ["Weber"], ["said so. Frau", "agreed.", "'s book"]),
+        ("Иван Петров пришёл. Петров ушёл.", ["Иван", "Петров"], ["пришёл.", "ушёл."]),
+    ],
+)
+def test_whole_names_and_their_later_mentions_go(text, gone, stay):
+    out, n = MAKER.replaced(text, {})
+    assert n >= len(gone) and not any(re.search(rf"(?<!\w){w}(?!\w)", out) for w in gone) and all(w in out for w in stay)
+
+
+def test_later_mentions_corefer():
+    out, _ = MAKER.replaced("Anna Schmidt called. Schmidt later saw Anna, and SCHMIDT, ANNA wrote. Mr Schmidt too.", {})
+    given, family = out.split()[:2]
+    assert Counter(re.findall(r"\w+", out.lower()))[family.lower()] == 4 and Counter(re.findall(r"\w+", out.lower()))[given.lower()] == 3
+    other, _ = MAKER.replaced("Anna Schmidt", {})
+    assert other == f"{given} {family}"
+
+
+def test_words_that_are_no_name_of_the_text_stay():
+    clean = "Schmidt is a town. The Anna river; Rose and Mark, May and Berg. Monday, Peter"
+    assert MAKER.replaced(clean, {}) == (clean, 0)
+    out, n = MAKER.replaced("Hans Rose gave a rose. Rose it was.", {})
+    assert n == 1 and out.endswith("gave a rose. Rose it was.")
+
+
 @pytest.mark.parametrize("radices", [[10, 10], [10] * 3, [10, 26, 2], [3], [16, 16, 5]])
 def test_permutation_is_a_bijection(radices):
     domain = list(itertools.product(*map(range, radices)))
