@@ -151,6 +151,20 @@ def pages_of_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def marked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with markers inside, and markers that begin on one page and end on another, with a blank one between in places."""
+    n = F.col("turn")
+    text = F.coalesce("text", F.lit(""))
+    told = (
+        F.when(n % 4 == 0, F.concat(F.lit("머리 "), text, F.lit(" 제 ")))
+        .when(n % 4 == 1, F.concat(n, F.lit(" 조 "), text, F.lit(" 제"), n, F.lit("조의2 끝 제7")))
+        .when(n % 4 == 2, F.when(F.col("conv_id") % 2 == 0, F.lit(" \n")).otherwise(F.lit(" 3 ")))
+        .otherwise(F.concat(F.lit("조(제목) "), text))
+    )
+    rows = table(spark, sf_dir, "conversations")
+    return rows.select(F.concat(F.lit("/"), "conv_id", F.lit(".pdf")).alias("path"), n.cast("int").alias("page_num"), told.alias("text"))
+
+
 def meta_of_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata of the files: empty titles and subjects by number, every eleventh unreadable."""
     rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").cast("int").alias("pages"))

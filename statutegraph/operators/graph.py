@@ -67,9 +67,27 @@ def new_entities(names: DataFrame, existing: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- graph scope
 
 
-def _copies(docs: DataFrame, bounds: list[int]) -> DataFrame:
+#: The load order of what was there before everything that is given.
+_BEFORE = -(1 << 63)
+
+
+def _earlier(before: DataFrame | None, kind: str, key: str, value: str) -> DataFrame | None:
+    if before is None:
+        return None
+    return before.filter(F.col("kind") == kind).select(F.col("name").alias(key), F.lit(_BEFORE).cast("long").alias("load_seq"), F.col("n").cast("long").alias(value))
+
+
+def _counted(rows: DataFrame, earlier: DataFrame | None, key: str, value: str, out: str, bounds: list[int]) -> DataFrame:
+    """running_sum() over the load order, on top of the totals of the same keys that were there before."""
+    if earlier is not None:
+        rows = rows.select(key, "load_seq", F.col(value).cast("long").alias(value)).unionByName(earlier.join(rows.select(key).distinct(), key, "left_semi"))
+    return running_sum(rows, key, "load_seq", value, out, bounds)
+
+
+def _copies(docs: DataFrame, bounds: list[int], before: DataFrame | None = None) -> DataFrame:
     """doc_id, load_seq, copies: the documents loaded no later under each one's title."""
-    counted = running_sum(docs.select("title", "load_seq", F.lit(1).alias("_one")), "title", "load_seq", "_one", "copies", bounds)
+    rows = docs.select("title", "load_seq", F.lit(1).alias("_one"))
+    counted = _counted(rows, _earlier(before, "title", "title", "_one"), "title", "_one", "copies", bounds)
     return docs.select("doc_id", "title", "load_seq").join(counted, ["title", "load_seq"]).select("doc_id", "load_seq", "copies")
 
 
@@ -84,6 +102,19 @@ def contains_graph_scope(docs: DataFrame, articles: DataFrame) -> DataFrame:
     return articles.drop("load_seq").join(of_doc, "doc_id").select("doc_id", "pos", "article_number", "load_seq", "copies")
 
 
+def _number_copies(articles: DataFrame, of_doc: DataFrame) -> DataFrame:
+    """article_number, load_seq, copies: articles counted by number and document, as often as they are copied."""
+    counts = articles.groupBy("doc_id", "article_number").agg(F.count("*").alias("_n"))
+    return counts.join(of_doc, "doc_id").select("article_number", "load_seq", (F.col("copies") * F.col("_n")).alias("copies"))
+
+
+def _scoped_edges(docs: DataFrame, triplets: DataFrame, copies: DataFrame, bounds: list[int], before: DataFrame | None = None) -> DataFrame:
+    placed = triplets.join(docs.select("doc_id", "load_seq"), "doc_id")
+    asked = placed.select("article_number", "load_seq").distinct().withColumn("copies", F.lit(0).cast("long"))
+    sums = _counted(copies.unionByName(asked), _earlier(before, "number", "article_number", "copies"), "article_number", "copies", "multiplicity", bounds)
+    return placed.join(sums.filter("multiplicity > 0"), ["article_number", "load_seq"]).select("doc_id", "pos", *EDGE, "confidence", F.col("article_number").alias("article"), "multiplicity")
+
+
 def relation_edges_graph_scope(docs: DataFrame, triplets: DataFrame, articles: DataFrame) -> DataFrame:
     """Triplets with `multiplicity`: the articles of their number in all documents loaded no later.
 
@@ -92,12 +123,22 @@ def relation_edges_graph_scope(docs: DataFrame, triplets: DataFrame, articles: D
     through the running sum.
     """
     bounds = chunk_bounds(docs, "load_seq")
-    counts = articles.groupBy("doc_id", "article_number").agg(F.count("*").alias("_n"))
-    copies = counts.join(_copies(docs, bounds), "doc_id").select("article_number", "load_seq", (F.col("copies") * F.col("_n")).alias("copies"))
-    placed = triplets.join(docs.select("doc_id", "load_seq"), "doc_id")
-    asked = placed.select("article_number", "load_seq").distinct().withColumn("copies", F.lit(0).cast("long"))
-    sums = running_sum(copies.unionByName(asked), "article_number", "load_seq", "copies", "multiplicity", bounds)
-    return placed.join(sums.filter("multiplicity > 0"), ["article_number", "load_seq"]).select("doc_id", "pos", *EDGE, "confidence", F.col("article_number").alias("article"), "multiplicity")
+    return _scoped_edges(docs, triplets, _number_copies(articles, _copies(docs, bounds)), bounds)
+
+
+def append_graph_scope(docs: DataFrame, triplets: DataFrame, articles: DataFrame, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """relation_edges_graph_scope() of documents that come after others, and the totals to keep for the next ones.
+
+    `before`: kind (title or number), name, n, all totals that earlier appends gave;
+    they stand for all documents before, of which no row is read.  The new totals
+    are those of these documents alone, to be put beside the earlier ones.
+    """
+    bounds = chunk_bounds(docs, "load_seq")
+    of_doc = kept(_copies(docs, bounds, before), "document-copies")
+    copies = kept(_number_copies(articles, of_doc), "number-copies")
+    titles = docs.groupBy(F.lit("title").alias("kind"), F.col("title").alias("name")).agg(F.count("*").alias("n"))
+    numbers = copies.groupBy(F.lit("number").alias("kind"), F.col("article_number").alias("name")).agg(F.sum("copies").alias("n"))
+    return _scoped_edges(docs, triplets, copies, bounds, before), titles.unionByName(numbers)
 
 
 # ---------------------------------------------------------------- lookups

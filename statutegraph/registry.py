@@ -311,6 +311,23 @@ def relation_edges_graph_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.relation_edges_graph_scope(fx.legal_documents(spark, sf_dir), dedup.dedup_triplets(fx.triplets(spark, sf_dir)), fx.articles(spark, sf_dir))
 
 
+def graph_scope_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same edges from three appends in load order, each with the totals of those before it."""
+    docs, articles_ = fx.legal_documents(spark, sf_dir), fx.articles(spark, sf_dir)
+    triplets = kept(dedup.dedup_triplets(fx.triplets(spark, sf_dir)), "scope-triplets")
+    third = max(1, docs.count() // 3)
+    totals = out = None
+    for part in (f"doc_id < {third}", f"doc_id BETWEEN {third} AND {2 * third}", f"doc_id > {2 * third}"):
+        edges, added = graph.append_graph_scope(docs.filter(part), triplets.filter(part), articles_.filter(part), totals)
+        added = kept(added, "scope-totals")
+        totals = added if totals is None else totals.unionByName(added)
+        out = edges if out is None else out.unionByName(edges)
+    return out
+
+
+QUERIES["graph_scope_appends"], ORACLES["graph_scope_appends"] = graph_scope_appends, ORACLES["relation_edges_graph_scope"]
+
+
 # ---------------------------------------------------------------- parsing
 
 
@@ -437,6 +454,17 @@ def assemble_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pdf.assemble_pages(fx.pages_of_file(spark, sf_dir))
 
 
+_MARKED = rf"""mp AS (SELECT '/' || conv_id || '.pdf' AS path, turn AS page_num, CASE turn % 4 WHEN 0 THEN '머리 ' || coalesce(text, '') || ' 제 ' WHEN 1 THEN turn || ' 조 ' || coalesce(text, '') || ' 제' || turn || '조의2 끝 제7'
+    WHEN 2 THEN CASE WHEN conv_id % 2 = 0 THEN ' ' || chr(10) ELSE ' 3 ' END ELSE '조(제목) ' || coalesce(text, '') END AS text FROM conversations),
+mj AS (SELECT path, coalesce(regexp_replace(string_agg(text, chr(10) || chr(10) ORDER BY page_num) FILTER (regexp_replace(text, {_STRIP}) <> ''), {_STRIP}), '') AS content FROM mp GROUP BY path)"""
+
+
+@query(rf"SELECT * FROM (WITH {_MARKED} SELECT path, i - 1 AS pos, ps[i] AS article_text FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS i FROM (SELECT path, {_split('content')} AS ps FROM mj)))")
+def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles of files found page by page; some markers straddle pages."""
+    return pdf.page_articles(fx.marked_pages(spark, sf_dir))
+
+
 @query("SELECT path, coalesce(nullif(title, ''), nullif(subject, ''), n::VARCHAR) AS title, 'PDF 문서 - ' || filename AS law_number, content FROM meta JOIN joined USING (path) WHERE error IS NULL")
 def file_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pdf.documents(fx.meta_of_file(spark, sf_dir), pdf.assemble_pages(fx.pages_of_file(spark, sf_dir)))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import text as t
+from ..storage import kept
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
@@ -62,3 +64,41 @@ def failures(meta: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     if pages is not None:
         out = out.unionByName(without_text(meta, pages).select("path", F.lit("text").alias("stage"), F.lit("no page could be read").alias("message")))
     return out
+
+
+#: What may be the beginning of a marker that goes on on the next page: at a page's end, or all of a page.
+_OPEN = rf"{t.UNICODE}제{t.SPACE}*(?:\d+{t.SPACE}*(?:조{t.SPACE}*(?:의{t.SPACE}*(?:\d+{t.SPACE}*)?)?(?:제{t.SPACE}*(?:\d+{t.SPACE}*(?:항{t.SPACE}*)?)?)?)?)?\z|\A[제조의항\d\s\x1c-\x1f]*\z"
+
+
+def page_articles(pages: DataFrame, mode: str = "citation", clean: bool = False) -> DataFrame:
+    """path, pos, article_text: the articles of assemble_pages()' contents, found page by page.
+
+    No file is put together, so it need not fit a row, only each article.  A page that
+    may end inside a marker is joined with the next one; each such run is cut by
+    itself; what stands before its first marker goes to the last article before it.
+    Which that is, counts of pages and markers tell.  Page numbers are unique in a
+    file.  `clean` makes every run of white space one space, as clean_text() does.
+    """
+    shown = pages.filter(t.strip(F.col("text")) != "")
+    order = W.partitionBy("path").orderBy("page_num")
+    ends = shown.select("path", "page_num", F.col("text").rlike(_OPEN).alias("open"))
+    goes_on = F.coalesce(F.lag("open").over(order), F.lit(False))
+    runs = ends.withColumn("new", (~goes_on).cast("long")).select("path", "page_num", F.sum("new").over(order).alias("run"))
+    joined = shown.join(runs, ["path", "page_num"]).groupBy("path", "run").agg(F.array_sort(F.collect_list(F.struct("page_num", "text"))).alias("p"))
+    text = F.concat_ws("\n\n", F.transform("p", lambda x: x["text"]))
+    cut = joined.select("path", "run", t.raw_pieces(text, mode).alias("pieces"))
+    cut = kept(cut.select("path", "run", "pieces", t.begins_article(F.get("pieces", 0), mode).alias("begins")), "page-pieces")
+    # Of a run's pieces only the first may begin without a marker.
+    counts = cut.select("path", "run", (F.size("pieces") - 1 + F.col("begins").cast("int")).cast("long").alias("n"))
+    before = F.sum("n").over(W.partitionBy("path").orderBy("run").rowsBetween(W.unboundedPreceding, -1))
+    placed = counts.select("path", "run", F.coalesce(before, F.lit(0)).alias("base"), F.sum("n").over(W.partitionBy("path")).alias("articles"))
+    rows = cut.join(placed, ["path", "run"]).select("path", "run", "base", "articles", "begins", F.size("pieces").alias("of"), F.posexplode("pieces").alias("i", "piece"))
+    number = F.col("base") + F.col("i") + F.col("begins").cast("int")  # 0: before any marker
+    rows = rows.withColumn("number", number).filter((F.col("number") > 0) | (F.col("articles") == 0))
+    whole = ((F.col("i") > 0) | F.col("begins")) & (F.col("i") < F.col("of") - 1)
+    parts = rows.filter(~whole).groupBy("path", "number").agg(F.array_sort(F.collect_list(F.struct("run", "piece"))).alias("p"))
+    parts = parts.select("path", "number", F.concat_ws("\n\n", F.transform("p", lambda x: x["piece"])).alias("piece"))
+    found = rows.filter(whole).select("path", "number", "piece").unionByName(parts)
+    blank = pages.select("path").distinct().join(shown.select("path").distinct(), "path", "left_anti").select("path", F.lit(0).cast("long").alias("number"), F.lit("").alias("piece"))
+    article = (t.clean_text if clean else t.strip)(F.col("piece"))
+    return found.unionByName(blank).select("path", F.greatest(F.col("number") - 1, F.lit(0)).alias("pos"), article.alias("article_text"))

@@ -66,6 +66,13 @@ def test_graph_scope_equals_saving_one_by_one(spark, monkeypatch, chunks, order)
     copies, edges = saved_one_by_one(docs, articles, triplets)
     assert {(r.doc_id, r.pos): r.copies for r in graph.contains_graph_scope(d, a).collect()} == copies
     assert {(r.doc_id, r.pos): r.multiplicity for r in graph.relation_edges_graph_scope(d, t, a).collect()} == edges
+    in_order, totals, got = [r[0] for r in sorted(docs, key=lambda r: r[1])], None, {}
+    for part in (in_order[:5], in_order[5:6], in_order[6:]):  # appends, each with the totals of those before
+        own = [x.filter(F.col("doc_id").isin(part)) for x in (d, t, a)]
+        found, added = graph.append_graph_scope(*own, totals)
+        got |= {(r.doc_id, r.pos): r.multiplicity for r in found.collect()}
+        totals = added if totals is None else totals.unionByName(added)
+    assert got == edges
 
 
 def test_edges_dropped_and_entities(spark):

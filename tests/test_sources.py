@@ -44,6 +44,24 @@ def test_pages_and_documents(spark):
     assert [(r.title, r.author, r.pages) for r in pdf.described(m).filter("path = '/e.pdf'").collect()] == [("", "", 0)]
 
 
+@pytest.mark.parametrize("mode", ["citation", "heading"])
+@pytest.mark.parametrize("clean", [False, True])
+def test_articles_of_pages_equal_those_of_the_assembled_text(spark, mode, clean):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from statutegraph.functions import text as t
+
+    rng = random.Random(5)
+    bits = ["제", "제 1", "제1조", "조", "의", "2", "의2", "제3항", "(", "(제목)", " ", "\n", "글", "가나 ", "제2조(뜻) 글", "１２", "\u00a0", "항"]
+    pages = [(f"/{f}.pdf", n, "".join(rng.choice(bits) for _ in range(rng.randrange(7)))) for f in range(150) for n in range(rng.randrange(1, 7))] + [("/x.pdf", 0, None), ("/y.pdf", 3, " \n"), ("/y.pdf", 4, "")]
+    p = spark.createDataFrame(pages, PDF_PAGES)
+    content = F.col("content")
+    whole = pdf.assemble_pages(p).select("path", F.posexplode(t.split_articles(t.clean_text(content) if clean else content, mode)).alias("pos", "article_text"))
+    assert sorted(map(tuple, pdf.page_articles(p, mode, clean).collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_listings_survive_the_trip(spark, tmp_path):
     rows = [("법", "제1조", "뜻, 목적", None, "한다", None, '“큰, "따옴표"” 글\n둘째 줄 ')]
     listing = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in exports.ARTICLE_COLUMNS))
