@@ -252,9 +252,9 @@ def names_in(text: str, listed: NameLists = LISTED) -> Iterator[Name]:
 
 def _full_names(text: str, listed: NameLists) -> Iterator[Name]:
     """Listed given names with a family name, titles with one or both, and pairs of words that a cue tells."""
-    if "name" in listed.seen(text):
-        yield from _long_names(text, listed)
     seen = listed.seen(text)
+    if "name" in seen:
+        yield from _long_names(text, listed)
     at = 0
     while "name" in seen and (m := _NAME.search(text, at)):
         first, second, third = m.group(1), m.group(2), m.group(3)
