@@ -571,10 +571,10 @@ def append_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.statistics(saved.documents, saved.articles, saved.entities, relations=saved.relations)
 
 
-def _stored(spark: SparkSession, sf_dir: str, saves: int = 4) -> str:
+def _stored(spark: SparkSession, sf_dir: str, saves: int = 3) -> str:
     """The graph of the tables, saved in parts of which each repeats a document of the one before, then merged but for the last."""
-    docs, articles_, path = fx.legal_documents(spark, sf_dir), fx.articles(spark, sf_dir).drop("load_seq"), new_path(spark, "stored-graph")
-    triplets = fx.triplets(spark, sf_dir)
+    path = new_path(spark, "stored-graph")
+    docs, articles_, triplets = (kept(rows, "to-store") for rows in (fx.legal_documents(spark, sf_dir), fx.articles(spark, sf_dir).drop("load_seq"), fx.triplets(spark, sf_dir)))
     for i in range(saves):
         own = docs.filter(f"doc_id % {saves} = {i} OR doc_id = {max(0, i - 1)}").select("doc_id")
         part = [rows.join(own, "doc_id", "left_semi") for rows in (docs, articles_, triplets)]

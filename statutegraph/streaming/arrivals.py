@@ -8,9 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text as t
 from ..operators import articles as art
-from ..plans.corpus import build
+from ..plans.corpus import build, records, wording_triplets
 from ..schemas import DOCUMENTS
 from ..sources import store
+from ..storage import kept
 
 
 def arriving(spark: SparkSession, directory: str, schema=DOCUMENTS, max_files: int = 100) -> DataFrame:
@@ -56,7 +57,8 @@ def append_stream(docs: DataFrame, path: str, checkpoint: str, mode: str = "head
 
     def append(batch: DataFrame, batch_id: int) -> None:
         batch, others = latest_versions(batch)
-        graph = build(batch, mode=mode)
+        pieces = kept(art.articles(batch, mode), "arriving-articles")  # four tables come from them
+        graph = build(batch, records(pieces), wording_triplets(pieces))
         graph.errors = others
         store.save_batch(graph, path, batch_id, stream_name(batch.sparkSession, checkpoint), compact_every)
 
