@@ -48,8 +48,8 @@ from pyspark.sql.datasource import (
 )
 
 from ..storage import new_path
-from .common import staged, with_group
-from .exact import hash_of, may_be_among, may_repeat
+from .common import staged, with_group, without_group
+from .exact import hash_of, marked, may_be_among
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, date string, payload_digest string, payload_bytes long, "
@@ -473,25 +473,28 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     responses.  Payloads are compared by SHA-1 and length; very long ones are
     hashed whole; an empty table gives none; other columns are not looked at.
 
-    Two passes: digests fill a Bloom filter, and only pages whose digest may
-    repeat shuffle, without their payload unless they may be the first of their
-    group, as a second filter of the first ones' ids tells; the others are
+    Two passes: digests fill Bloom filters, and only digests that may repeat
+    shuffle and are grouped.  Filters of the groups' digests and first ids then
+    tell which pages move, and which of these with their payload; the others are
     responses as they are.
     """
     payload = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("target_uri"), payload.alias("payload"))
     rows = rows.withColumn("payload_digest", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
     rows = rows.withColumn("group", F.concat_ws("|", "payload_digest", "payload_bytes"))
-    slim = staged(rows.select("id", "group").withColumn("h", hash_of("group")), "page-digests")
-    again = may_repeat(pages.sparkSession, slim)
-    groups = staged(slim.filter(again("h")).groupBy("group").agg(F.min("id").alias("first"), F.count("*").alias("n")), "page-groups")
-    may_be_first = may_be_among(groups.select(F.xxhash64("first").alias("h")))
-    met = rows.filter(again(hash_of("group")))
+    slim = marked(staged(rows.select("id", "group"), "page-digests"), F.col("group"), "page-marked")
+    groups = slim.filter("again").groupBy("group").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    groups = staged(groups, "page-groups")
+    again = may_be_among(groups.select(hash_of("group").alias("h")))(hash_of("group"))
+    alone = without_group(slim.filter(again).select("id", "group"), groups, "group", "n")  # the filter's false alarms
+    may_be_first = may_be_among(groups.select(F.xxhash64("first").alias("h")).unionByName(alone.select(F.xxhash64("id").alias("h"))))
+    met = rows.filter(again)
     # Staged, as it is read twice: html itself is read once for digests, once here, once for what does not repeat.
     met = met.withColumn("payload", F.when(may_be_first(F.xxhash64("id")) | (F.col("payload_bytes") < min_bytes), F.col("payload")))
     columns = ["id", "target_uri", "payload", "payload_digest", "payload_bytes"]
-    both = with_group(staged(met, "page-repeats"), groups, "group", "n").select(*columns, "first")
-    both = both.unionByName(rows.filter(~again(hash_of("group"))).select(*columns, F.col("id").alias("first")))
+    both = with_group(staged(met, "page-repeats"), groups, "group", "n", how="left")
+    both = both.select(*columns, F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("first")).alias("first"))
+    both = both.unionByName(rows.filter(~again).select(*columns, F.col("id").alias("first")))
     revisit = (F.col("payload_bytes") >= min_bytes) & ~F.col("id").eqNullSafe(F.col("first"))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
     return both.select(

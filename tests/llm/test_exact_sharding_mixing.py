@@ -44,18 +44,41 @@ def test_exact_with_a_full_filter_gives_the_same(spark):
     assert Counter(map(tuple, got.collect())) == brute_exact(rows)
 
 
-def test_filter_never_misses_a_repeat_and_rarely_passes_a_single(spark):
+def test_maps_never_miss_a_repeat_and_rarely_mark_a_single(spark):
     rng = np.random.default_rng(1)
     single, twice = rng.integers(0, 1 << 60, 20_000), rng.integers(0, 1 << 60, 500)
     hashes = spark.createDataFrame([(int(h),) for h in [*single, *twice, *twice]], "h long").repartition(7)
-    bitmap, bits = exact.bloom_filter(hashes)
-
-    def hit(h):
-        at = exact._positions(h, bits)
-        return ((bitmap[(at >> np.uint64(3)).astype(int)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
-
-    assert hit(twice).all()
-    assert hit(single).mean() < 0.01
+    for max_bytes in (exact.MAX_FILTER_BYTES, 1 << 14):  # one turn, four turns
+        got = exact.marked(hashes, F.col("h"), "test", max_bytes).collect()
+        assert Counter(r.h for r in got) == Counter([*single.tolist(), *twice.tolist(), *twice.tolist()])
+        marks = {r.h for r in got if r.again}
+        assert marks >= set(twice.tolist()) and len(marks - set(twice.tolist())) < 0.01 * len(single)
+
+
+def test_a_filter_of_ids_misses_none_however_small(spark):
+    ids = spark.range(0, 2000).withColumn("h", F.xxhash64("id"))
+    others = spark.range(10_000, 30_000).withColumn("h", F.xxhash64("id"))
+    for max_bytes, alarms in ((exact.MAX_FILTER_BYTES, 0.01), (64, 1)):
+        among = exact.may_be_among(ids.select("h"), max_bytes)
+        assert ids.filter(among(F.col("h"))).count() == 2000
+        assert others.filter(among(F.col("h"))).count() <= alarms * 20_000
+    assert others.filter(exact.may_be_among(ids.select("h").limit(0))(F.col("h"))).isEmpty()
+
+
+def test_singles_pass_straight_beyond_one_filter_and_little_is_sent(spark):
+    """Four million rows, maps of 8 MB of which 1 MB is broadcast at a time."""
+    n = 1 << 22
+    rows = spark.range(0, n, numPartitions=8).withColumn("key", F.when(F.col("id") % 1000 == 0, F.lit(-1)).otherwise(F.col("id")))
+    ranges, each = exact.filter_shape(n)
+    assert ranges + each == 26
+    x = rows.select(F.xxhash64("key").alias("x"))
+    sent = x.mapInPandas(exact._send(ranges), "range long, hashes binary").agg(F.sum(F.octet_length("hashes") + 8).alias("bytes")).first()["bytes"]
+    assert sent <= 2 * 8 * n
+    got = exact.marked(rows, F.col("key"), "test", 1 << 20)
+    counts = {(r["hot"], r["again"]): r["n"] for r in got.groupBy((F.col("key") == -1).alias("hot"), "again").agg(F.count("*").alias("n")).collect()}
+    hot = -(-n // 1000)
+    assert counts.get((True, True)) == hot and (True, False) not in counts
+    assert counts[False, False] >= 0.99 * (n - hot) and counts[False, False] + counts.get((False, True), 0) == n - hot
 
 
 # ---------------------------------------------------------------- sharding
