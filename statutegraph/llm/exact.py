@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import staged, with_group
 
-#: Most bytes of maps that are broadcast at a time: those of 2**28 rows at 16 bits a row.
+#: Most bytes of maps that are broadcast at a time: those of 2**24 rows at 16 bits a row.
 MAX_FILTER_BYTES = 32 << 20
 BITS_A_ROW = 16
 PROBES = 4
@@ -146,7 +146,7 @@ def marked(rows: DataFrame, hashed: Column, name: str, max_bytes: int = MAX_FILT
 
     `hashed` is any column that is equal where rows are copies and never null.
     `rows` should be staged and narrow, as they are read once to fill the maps and
-    once for each `max_bytes` of maps, one for 2**28 rows at the default.  However
+    once for each `max_bytes` of maps, one for 2**24 rows at the default.  However
     many rows there are, at most one in a hundred that stand once is marked.
     """
     rows = rows.withColumn("_x", F.xxhash64(hashed))
@@ -166,7 +166,7 @@ def marked(rows: DataFrame, hashed: Column, name: str, max_bytes: int = MAX_FILT
 def may_be_among(ids: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> Callable[[Column], Column]:
     """A test of 64-bit hashes: false only for those that are not in the column `h` of `ids`.
 
-    The test goes to every task, so it has a bound: beyond 2**28 rows of `ids` at
+    The test goes to every task, so it has a bound: beyond 2**24 rows of `ids` at
     the default it tells less, and its false alarms have to be right for the caller.
     """
     ranges, each = filter_shape(ids.count(), max_bytes)
