@@ -38,10 +38,10 @@ def _read(answers: DataFrame) -> DataFrame:
     return answers.withColumn("_v", parsed(F.col("response"))).withColumn("_k", F.substring(_kind(F.col("_v")), 1, 5))
 
 
-def _items(answers: DataFrame, outer: bool) -> DataFrame:
+def _items(answers: DataFrame, outer: bool, keep: tuple[str, ...] = ()) -> DataFrame:
     each = F.when(F.col("_k") == "ARRAY", F.try_variant_get(F.col("_v"), "$", "array<variant>")).when(F.col("_k") == "OBJEC", F.array("_v"))
     explode = F.posexplode_outer if outer else F.posexplode
-    return _read(answers).select("doc_id", "pos", F.col("_v").isNull().alias("no_json"), explode(each).alias("item_pos", "item"))
+    return _read(answers).select("doc_id", "pos", *keep, F.col("_v").isNull().alias("no_json"), explode(each).alias("item_pos", "item"))
 
 
 def items(answers: DataFrame) -> DataFrame:
@@ -104,15 +104,16 @@ def entities(answers: DataFrame) -> DataFrame:
 def errors(answers: DataFrame, dropped: DataFrame | None = None) -> DataFrame:
     """doc_id, pos, stage, message of answers that are no JSON, of rejected items, of triplets without an article.
 
-    Each answer is parsed once.  Where `answers` has an `error`, why the extractor
-    gave no answer, the stage is extract and the message that.
+    The answers are read, and each is parsed, once.  Where `answers` has an `error`, why the
+    extractor gave no answer, the stage is extract and the message that.
     """
     failed = F.col("error") if "error" in answers.columns else F.lit(None).cast("string")
-    out = answers.filter(failed.isNotNull()).select("doc_id", "pos", F.lit("extract").alias("stage"), failed.alias("message"))
-    rows = _checked(_items(answers.filter(failed.isNull()), outer=True)).filter(F.col("no_json") | (F.col("item").isNotNull() & ~F.col("ok")))
-    stage = F.when(F.col("no_json"), "parse").otherwise("validate")
-    message = F.when(F.col("no_json"), "no JSON").otherwise("invalid item")
-    out = rows.select("doc_id", "pos", stage.alias("stage"), message.alias("message")).unionByName(out)
+    # What failed counts as no answer, so it gives one row whatever else stands there.
+    read = answers.select("doc_id", "pos", F.when(failed.isNull(), F.col("response")).alias("response"), failed.alias("_failed"))
+    rows = _checked(_items(read, outer=True, keep=("_failed",))).filter(F.col("no_json") | (F.col("item").isNotNull() & ~F.col("ok")))
+    stage = F.when(F.col("_failed").isNotNull(), "extract").when(F.col("no_json"), "parse").otherwise("validate")
+    message = F.coalesce("_failed", F.when(F.col("no_json"), "no JSON").otherwise("invalid item"))
+    out = rows.select("doc_id", "pos", stage.alias("stage"), message.alias("message"))
     if dropped is not None:
         out = out.unionByName(dropped.select("doc_id", "pos", F.lit("match").alias("stage"), F.concat(F.lit("no article "), F.col("article_number")).alias("message")))
     return out

@@ -11,6 +11,7 @@ from ..operators import dedup, graph, parse, references, running
 from ..operators.score import Scorer, score
 from ..sources import pdf
 from ..sources.store import Graph
+from ..storage import kept
 
 
 def records(pieces: DataFrame) -> DataFrame:
@@ -35,12 +36,14 @@ def scored(docs: DataFrame, entity_fn: Scorer, relation_fn: Scorer, partitions:
 
     An article whose record fails has the default one; what fails at the second
     scorer gives no triplet; both stand in the errors, as does every rejected item.
+    Articles, answers and second prompts are written once, as each is read several times.
     """
-    pieces = art.articles(docs, mode).withColumn("prompt", art.entity_prompt(F.col("article_text")))
+    pieces = kept(art.articles(docs, mode), "scored-articles").withColumn("prompt", art.entity_prompt(F.col("article_text")))
     answers = score(pieces, "prompt", entity_fn, partitions=partitions, error="error")
+    answers = kept(answers.drop("prompt"), "entity-answers")
     entities = parse.entities(answers)
     with_context = art.context(entities)
-    asked = with_context.withColumn("prompt", art.relation_prompt(with_context)).select("doc_id", "pos", "prompt")
+    asked = kept(with_context.withColumn("prompt", art.relation_prompt(with_context)).select("doc_id", "pos", "prompt"), "relation-prompts")
     relations = score(asked, "prompt", relation_fn, partitions=partitions, error="error")
     failed = answers.filter("error IS NOT NULL").select("doc_id", "pos", F.lit("extract entity").alias("stage"), F.col("error").alias("message"))
     found = parse.errors(relations).withColumn("stage", F.when(F.col("stage") == "extract", "extract relation").otherwise(F.col("stage")))

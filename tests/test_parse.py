@@ -3,7 +3,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from statutegraph.operators import parse
+from statutegraph.operators import score as scoring
 from statutegraph.operators.score import score
+from statutegraph.plans import corpus
 
 GOOD = '{"subject":"s","relation":"r","object":"o","article_number":"제1조","confidence":0.5,"more":[1]}'
 
@@ -114,3 +116,32 @@ def test_score_remembers_answers_and_asks_failures_again_up_to_a_bound(spark, tm
     assert run("2", "a", "b", "bad", "c") == {"a": ("Aa", None), "b": ("Ab", None), "bad": (None, "ValueError: refused"), "c": ("Ac", None)}
     assert run("3", "a", "bad") == {"a": ("Aa", None), "bad": (None, "ValueError: refused")}
     assert [asked(n) for n in "123"] == [3, 2, 0]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+def test_errors_read_the_answers_once(spark, tmp_path):
+    path = str(tmp_path / "answers")
+    spark.createDataFrame([(1, 0, "{", None), (1, 1, None, "refused"), (1, 2, "[1]", "late"), (1, 3, "[]", None)], "doc_id long, pos long, response string, error string").write.parquet(path)
+    found = parse.errors(spark.read.parquet(path))
+    assert _plan(found).split("== Physical Plan ==")[1].count("FileScan") == 1
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 0, "parse", "no JSON"), (1, 1, "extract", "refused"), (1, 2, "extract", "late")]
+
+
+def test_second_prompts_are_made_once(spark):
+    docs = spark.createDataFrame([(1, "제1조 가 제2조 나")], "doc_id long, content string")
+    entity = lambda s: pd.Series(['{"article_number": "제1조", "concept": "c", "full_text": "f"}'] * len(s))
+    _, triplets, errors = corpus.scored(docs, entity, lambda s: pd.Series(["{"] * len(s)))
+    assert "Window" not in _plan(triplets) and "Window" not in _plan(errors)
+    assert triplets.count() == 0 and errors.count() == 2
+
+
+def test_prompts_move_once_to_their_digest(spark, tmp_path, monkeypatch):
+    plans, asked = [], scoring._asked
+    monkeypatch.setattr(scoring, "_asked", lambda prompts, *more: plans.append(_plan(prompts)) or asked(prompts, *more))
+    rows = spark.createDataFrame([("a",), ("a",), ("b",)], "prompt string")
+    got = scoring.score(rows, "prompt", lambda s: "A" + s, memory=str(tmp_path / "memory"))
+    assert sorted(r.response for r in got.collect()) == ["Aa", "Aa", "Ab"]
+    assert "hashpartitioning(sha" in plans[0] and "hashpartitioning(_prompt" not in plans[0]
