@@ -34,13 +34,13 @@ def score(
     asked again, and those that failed are, until they were asked `attempts` times.
     """
     spark = rows.sparkSession
-    asked = rows.filter(F.col(prompt).isNotNull()).select(F.col(prompt).alias("_prompt")).distinct()
-    asked = asked.select(F.sha2("_prompt", 256).alias("sha"), "_prompt")
+    asked = rows.filter(F.col(prompt).isNotNull()).select(F.sha2(prompt, 256).alias("sha"), F.col(prompt).alias("_prompt"))
+    asked = asked.groupBy("sha").agg(F.first("_prompt").alias("_prompt"))  # by digest, as the memory is: prompts move once
     if memory is None:
         found = kept(_asked(asked.withColumn("attempt", F.lit(1)), fn, batch, partitions), "answers")
     else:
-        before = remembered(spark, memory)
-        again = asked.join(before, "sha", "left").filter(F.col("response").isNull() & (F.coalesce("attempts", F.lit(0)) < attempts))
+        before = _remembered(spark, memory).groupBy("sha").agg(F.max(F.col("response").isNotNull()).alias("answered"), F.max("attempt").alias("attempts"))
+        again = asked.join(before, "sha", "left").filter(~F.coalesce("answered", F.lit(False)) & (F.coalesce("attempts", F.lit(0)) < attempts))
         again = again.select("sha", "_prompt", (F.coalesce("attempts", F.lit(0)) + 1).alias("attempt"))
         new = _asked(again, fn, batch, partitions).withColumn("run", F.lit(run or uuid.uuid4().hex))
         new.write.mode("append").parquet(memory)
@@ -49,15 +49,18 @@ def score(
     return rows.withColumn("_of", F.sha2(prompt, 256)).join(answers, F.col("_of") == F.col("_sha"), "left").drop("_of", "_sha")
 
 
-def remembered(spark: SparkSession, memory: str) -> DataFrame:
-    """sha, response, error, attempts of each prompt that was ever asked; an answer of any attempt counts, the least of several."""
+def _remembered(spark: SparkSession, memory: str) -> DataFrame:
     try:
-        rows = spark.read.schema(MEMORY).parquet(memory)
+        return spark.read.schema(MEMORY).parquet(memory)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], MEMORY)
-    every = rows.groupBy("sha").agg(F.min("response").alias("response"), F.max_by("error", "attempt").alias("error"), F.max("attempt").alias("attempts"))
+        return spark.createDataFrame([], MEMORY)
+
+
+def remembered(spark: SparkSession, memory: str) -> DataFrame:
+    """sha, response, error, attempts of each prompt that was ever asked; an answer of any attempt counts, the least of several."""
+    every = _remembered(spark, memory).groupBy("sha").agg(F.min("response").alias("response"), F.max_by("error", "attempt").alias("error"), F.max("attempt").alias("attempts"))
     return every.withColumn("error", F.when(F.col("response").isNull(), F.col("error")))
 
 
@@ -89,6 +92,6 @@ def _answers(fn: Scorer, prompts: pd.Series) -> list[tuple[str | None, str | Non
 
 def _one(fn: Scorer, prompt: str) -> tuple[str | None, str | None]:
     try:
-        return _answers(fn, pd.Series([prompt]))[0]
+        return _answers(fn, pd.Series([prompt], dtype=object))[0]
     except Exception as e:
         return None, f"{type(e).__name__}: {e}"
