@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import kept
+from ..storage import kept, nothing
 
 Scorer = Callable[[pd.Series], pd.Series]
 #: Times that a prompt without an answer is asked, over all runs that share a memory.
@@ -55,7 +55,7 @@ def _remembered(spark: SparkSession, memory: str) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], MEMORY)
+        return nothing(spark, MEMORY)
 
 
 def remembered(spark: SparkSession, memory: str) -> DataFrame:

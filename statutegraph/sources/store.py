@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import graph as g
-from ..storage import kept
+from ..storage import kept, nothing
 from . import files
 
 TABLES = ("documents", "articles", "entities", "contains", "relations")
@@ -102,7 +102,7 @@ def _commit(spark: SparkSession, path: str, version: int, **entry) -> bool:
 def _read(spark: SparkSession, path: str, name: str, saves: list[str], schema: str | T.StructType) -> DataFrame:
     paths = [table_path(path, name, x) for x in saves]
     if not paths:
-        return spark.createDataFrame([], schema)
+        return nothing(spark, schema)
     # Saves one by one where folders stand for a column, as they have no common root.
     reader = spark.read.schema(schema)
     return reduce(DataFrame.unionByName, (reader.parquet(p) for p in paths)) if name in _FOLDERS else reader.parquet(*paths)
@@ -133,18 +133,37 @@ def bucket(name: str = "name"):
     return F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int")
 
 
-def absent(keys: DataFrame, stored: DataFrame) -> DataFrame:
-    """The rows of `keys`, a staged column of distinct values, that `stored` does not have.
+def present(keys: DataFrame, stored: DataFrame, small: bool | None = None) -> DataFrame:
+    """The rows of `keys`, a staged column of distinct values, that `stored` has.
 
     A batch's keys go to the stored rows, which stay where they are and are only
     filtered; where there are too many keys for that, both sides meet by shuffle.
     """
     (column,) = keys.columns
+    small = keys.count() <= BROADCAST_ROWS if small is None else small
+    return stored.select(column).join(F.broadcast(keys) if small else keys, column, "left_semi").distinct()
+
+
+def absent(keys: DataFrame, stored: DataFrame) -> DataFrame:
+    """The rows of `keys` that `stored` does not have, as present() finds those that it has."""
+    (column,) = keys.columns
     small = keys.count() <= BROADCAST_ROWS
-    hit = stored.select(column).join(F.broadcast(keys) if small else keys, column, "left_semi").distinct()
+    hit = present(keys, stored, small)
     return keys.join(F.broadcast(hit) if small else hit, column, "left_anti")
 
 
+def _of_new(rows: DataFrame, ids: DataFrame, there: DataFrame) -> DataFrame:
+    """Rows of those `ids` that are not `there`; both are staged.
+
+    Where few are there, which is the rule, these are sent to the rows, however
+    many the others are; so articles and edges stay where they are.
+    """
+    few = there.count() <= BROADCAST_ROWS
+    if few:
+        return rows.filter(F.col("doc_id").isNotNull()).join(F.broadcast(there), "doc_id", "left_anti")
+    return rows.join(ids.join(there, "doc_id", "left_anti"), "doc_id", "left_semi")
+
+
 def new_names(names: DataFrame, stored: DataFrame) -> DataFrame:
     """The staged distinct `names` that the entities `stored` (name, bucket) lack; only the buckets of these names are read."""
     touched = [r[0] for r in names.select(bucket()).distinct().collect()]  # BUCKETS at most
@@ -192,9 +211,9 @@ def _write(graph: Graph, path: str, save: str, now: State, others: list[str], un
     parts = {name: getattr(graph, name) for name in ("documents", "articles", "contains", "relations", "errors")}
     if unseen and skip:
         ids = kept(parts["documents"].select("doc_id").distinct(), "arriving-documents")
-        new = kept(absent(ids, _table(spark, path, now, "documents", unseen)), "new-documents")
+        there = kept(present(ids, _table(spark, path, now, "documents", unseen)), "documents-there")
         for name in ("documents", "articles", "contains", "relations"):
-            parts[name] = parts[name].join(new, "doc_id", "left_semi")
+            parts[name] = _of_new(parts[name], ids, there)
     written = {name: _put(rows, path, name, save) for name, rows in parts.items() if rows is not None}
     names = written["relations"].select(F.explode(F.array("subject", "object")).alias("name")).distinct()
     if others:
@@ -361,6 +380,10 @@ def relations_of(spark: SparkSession, path: str, numbers: list[str]) -> DataFram
 
 def article_lookup(spark: SparkSession, path: str, numbers: list[str]) -> DataFrame:
     """For each number the first article that has it, by document and position; nulls if none."""
-    keys = spark.createDataFrame([(n,) for n in dict.fromkeys(numbers)], "article_number string")
+    asked = F.array(*map(F.lit, dict.fromkeys(numbers))).cast("array<string>")
+    keys = spark.range(1).select(F.explode(asked).alias("article_number"))
     found = load(spark, path).articles.filter(F.col("article_number").isin(numbers))
-    return g.article_lookup(found, keys, order=("doc_id", "pos"))
+    first = found.groupBy("article_number").agg(F.min(F.struct("doc_id", "pos")).alias("_at"))  # narrow rows, combined where they are
+    first = kept(first.select("article_number", "_at.*"), "first-articles")  # one for each number asked
+    rows = found.join(F.broadcast(first), ["article_number", "doc_id", "pos"]).dropDuplicates(["article_number"])
+    return keys.join(F.broadcast(rows), "article_number", "left").select(*found.columns)

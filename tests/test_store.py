@@ -251,3 +251,57 @@ def test_the_latest_version_of_a_document_counts_and_the_others_are_told(spark,
     g = store.load(spark, path)
     assert [tuple(r) for r in g.errors.collect()] == [(1, None, "arrive", "superseded by load_seq 7")]
     assert {r.concept for r in g.articles.filter("doc_id = 1").collect()} == {"새"}
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+def test_wording_is_gone_through_once_and_moves_no_text(spark):
+    graph = corpus.build(docs(spark, [1, 2]))
+    plan = _plan(graph.relations)
+    assert "regexp_extract_all" not in plan and "article_text" not in plan
+    assert "article_text" not in _plan(graph.contains)
+    assert sorted(graph.articles.columns) == sorted(corpus.records(corpus.art.articles(docs(spark, [1]), "heading")).columns)
+
+
+def test_documents_there_are_sent_to_the_rows(spark, tmp_path, monkeypatch):
+    """Articles stay where they are, however many documents arrive."""
+    ids = spark.range(0, 1000).select(F.col("id").alias("doc_id"))
+    there = ids.filter("doc_id = 7")
+    rows = spark.range(0, 1000).select((F.col("id")).alias("doc_id"), F.lit("t").alias("article_text")).unionByName(spark.sql("SELECT CAST(NULL AS LONG) AS doc_id, 'n' AS article_text"))
+    monkeypatch.setattr(store, "BROADCAST_ROWS", 10)
+    left = store._of_new(rows, ids, there)
+    assert "SortMergeJoin" not in _plan(left) and "Exchange hashpartitioning" not in _plan(left)
+    assert left.count() == 999
+    monkeypatch.setattr(store, "BROADCAST_ROWS", 0)
+    assert store._of_new(rows, ids, there).count() == 999
+
+
+def test_a_number_that_stands_everywhere_fills_no_task_of_a_lookup(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "graph")
+    store.save(corpus.build(docs(spark, [3, 1, 2])), path)
+    (number,) = store.load(spark, path).articles.filter("doc_id = 1 AND pos = 0").select("article_number").first()
+    plans = []
+    monkeypatch.setattr(store, "kept", lambda df, name, real=store.kept: plans.append(_plan(df)) or real(df, name))
+    found = store.article_lookup(spark, path, [number, "제99조", number])
+    assert [(r.article_number, r.doc_id, r.pos) for r in found.orderBy("doc_id").collect()] == [("제99조", None, None), (number, 1, 0)]
+    assert "full_text" not in plans[0].split("== Physical Plan ==")[1]
+    assert "SortMergeJoin" not in _plan(found)
+
+
+def test_documents_that_come_once_are_not_digested(spark):
+    rows = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (None, 1, "c")], "doc_id long, load_seq long, content string")
+    chosen, others = arrivals.latest_versions(rows)
+    assert "sha2" not in _plan(chosen) and "Exchange" not in _plan(chosen)
+    assert chosen.count() == 3 and others.count() == 0
+    again = rows.unionByName(spark.createDataFrame([(2, 5, "d"), (None, 0, "e")], rows.schema))
+    chosen, others = arrivals.latest_versions(again)
+    assert sorted(chosen.select("content").toPandas()["content"]) == ["a", "c", "d"]
+    assert sorted(r.message for r in others.collect()) == ["superseded by load_seq 1", "superseded by load_seq 5"]
+
+
+def test_an_empty_table_needs_no_python(spark):
+    assert "PythonRDD" not in _plan(store._read(spark, "/nowhere", "errors", [], store.ERRORS)) and store._read(spark, "/nowhere", "errors", [], store.ERRORS).count() == 0
+    assert store._read(spark, "/nowhere", "errors", [], store.ERRORS).schema.simpleString() == "struct<doc_id:bigint,pos:bigint,stage:string,message:string>"
+    assert "Scan ExistingRDD" not in _plan(store._read(spark, "/nowhere", "errors", [], store.ERRORS))
