@@ -66,6 +66,11 @@ def cue_relations(text: Column) -> Column:
             out = F.when(cue.rlike(f"^(?:{pattern})$"), label).otherwise(out)
         return out
 
-    labels = F.transform(cues, relation)
-    each = F.zip_with(labels, cues, lambda label, cue: F.struct(label.alias("relation"), cue.alias("cue")))
-    return F.transform(F.array_distinct(labels), lambda label: F.element_at(F.filter(each, lambda x: x["relation"] == label), 1))
+    each = F.transform(cues, lambda cue: F.struct(relation(cue).alias("relation"), cue.alias("cue")))
+    # Seen through a lambda's variable, as what is repeated inside a lambda is computed again.
+    return _once(each, lambda found: F.filter(found, lambda x, i: ~F.exists(F.slice(found, F.lit(1), i), lambda y: y["relation"] == x["relation"])))
+
+
+def _once(value: Column, f) -> Column:
+    """`f` of a value that is computed once, however often `f` uses it."""
+    return F.element_at(F.transform(F.array(value), f), 1)

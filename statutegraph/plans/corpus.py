@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..functions import vocabulary
 from ..operators import articles as art
 from ..operators import dedup, graph, parse, references, running
 from ..operators.score import Scorer, score
@@ -26,9 +27,27 @@ def records(pieces: DataFrame) -> DataFrame:
     )
 
 
+def wording(pieces: DataFrame) -> DataFrame:
+    """doc_id, pos, article_number, cited, cues: what the wording of each article states, without its text.
+
+    The texts are gone through once, and what was found is written, as edges, their
+    articles and what contains them all come from it.
+    """
+    number = F.coalesce(t.article_number(F.col("article_text")), F.lit(t.UNKNOWN))
+    found = pieces.select("doc_id", "pos", number.alias("article_number"), t.citations(F.col("article_text")).alias("cited"), vocabulary.cue_relations(F.col("article_text")).alias("cues"))
+    return kept(found, "wording")
+
+
+def stated(found: DataFrame) -> DataFrame:
+    """Triplets of wording(): those of references.citation_triplets() and references.cue_triplets()."""
+    cited = F.transform("cited", lambda c: F.struct(F.lit("참조함").alias("relation"), c.alias("cue")))
+    rows = found.select("doc_id", "pos", "article_number", F.explode(F.concat(cited, "cues")).alias("c"))
+    return rows.select("doc_id", "pos", F.col("article_number").alias("subject"), "c.relation", F.col("c.cue").alias("object"), "article_number", F.lit(1.0).alias("confidence"))
+
+
 def wording_triplets(pieces: DataFrame) -> DataFrame:
     """Triplets that the wording states: citations and cues."""
-    return references.citation_triplets(pieces).unionByName(references.cue_triplets(pieces))
+    return stated(wording(pieces))
 
 
 def scored(docs: DataFrame, entity_fn: Scorer, relation_fn: Scorer, partitions: int | None = None, mode: str = "citation") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -50,13 +69,22 @@ def scored(docs: DataFrame, entity_fn: Scorer, relation_fn: Scorer, partitions:
     return entities, parse.triplets(relations).drop("item_pos"), failed.unionByName(found)
 
 
-def build(docs: DataFrame, entities: DataFrame | None = None, triplets: DataFrame | None = None, mode: str = "heading") -> Graph:
-    """The graph of `docs`; without records and triplets those that the wording gives."""
-    pieces = art.articles(docs, mode)
-    entities = records(pieces) if entities is None else entities
-    triplets = wording_triplets(pieces) if triplets is None else triplets
-    edges = graph.relation_edges(dedup.dedup_triplets(triplets), entities)
-    return Graph(graph.document_nodes(docs), entities, graph.entities(edges), graph.contains_edges(entities), edges)
+def build(docs: DataFrame, entities: DataFrame | None = None, triplets: DataFrame | None = None, mode: str = "heading", pieces: DataFrame | None = None) -> Graph:
+    """The graph of `docs`; without records and triplets those that the wording gives.
+
+    `docs` need a content only where records or triplets come from the wording and
+    its articles are not given as `pieces`.
+    """
+    numbers = entities
+    if entities is None or triplets is None:
+        pieces = art.articles(docs, mode) if pieces is None else pieces
+        found = None if triplets is not None else wording(pieces)
+        triplets = stated(found) if triplets is None else triplets
+        if entities is None:
+            entities = records(pieces)
+            numbers = entities if found is None else found  # the same numbers, without the texts
+    edges = graph.relation_edges(dedup.dedup_triplets(triplets), numbers)
+    return Graph(graph.document_nodes(docs), entities, graph.entities(edges), graph.contains_edges(numbers), edges)
 
 
 def pdf_documents(meta: DataFrame, pages: DataFrame) -> DataFrame:

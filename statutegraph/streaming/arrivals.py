@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text as t
 from ..operators import articles as art
-from ..plans.corpus import build, records, wording_triplets
+from ..plans.corpus import build
 from ..schemas import DOCUMENTS
 from ..sources import store
 from ..storage import kept
@@ -28,9 +28,20 @@ def split_stream(docs: DataFrame, sink: str, checkpoint: str, clean: bool = Fals
 def latest_versions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each document's version of the highest load_seq, ties by the highest digest; and the others as errors.
 
-    The choice is made on narrow rows and depends on the rows alone, so a batch that
-    runs again chooses alike.
+    The choice depends on the rows alone, so a batch that runs again chooses alike.
+    Documents that come once, most or all, are neither digested nor moved.
     """
+    repeated = kept(docs.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n")).filter("n > 1").select("_id"), "repeated-documents")
+    many = repeated.count()
+    if not many:
+        return docs, docs.select("doc_id", F.lit(None).cast("long").alias("pos"), F.lit("arrive").alias("stage"), F.lit("").alias("message")).filter(F.lit(False))
+    repeated = F.broadcast(repeated) if many <= store.BROADCAST_ROWS else repeated
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    chosen, others = _latest(docs.join(repeated, same, "left_semi"))
+    return docs.join(repeated, same, "left_anti").unionByName(chosen), others
+
+
+def _latest(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     digest = F.sha2(F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in sorted(docs.columns))), 256)
     rows = docs.withColumn("_v", F.struct(F.coalesce("load_seq", F.lit(-(1 << 63))).alias("seq"), digest.alias("digest")))
     last = rows.groupBy("doc_id").agg(F.max("_v").alias("_last"))
@@ -57,8 +68,8 @@ def append_stream(docs: DataFrame, path: str, checkpoint: str, mode: str = "head
 
     def append(batch: DataFrame, batch_id: int) -> None:
         batch, others = latest_versions(batch)
-        pieces = kept(art.articles(batch, mode), "arriving-articles")  # four tables come from them
-        graph = build(batch, records(pieces), wording_triplets(pieces))
+        pieces = kept(art.articles(batch, mode), "arriving-articles")  # split once; four tables come from them
+        graph = build(batch, pieces=pieces)
         graph.errors = others
         store.save_batch(graph, path, batch_id, stream_name(batch.sparkSession, checkpoint), compact_every)
 
