@@ -562,23 +562,25 @@ _HALVES = "SELECT (SELECT count(*) FROM ld) AS documents, (SELECT count(*) FROM
 @query("SELECT documents, articles, entities, relations FROM (" + _HALVES + ")")
 def append_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the documents saved, then all of them: those that are there are skipped."""
-    docs, articles_, path = fx.legal_documents(spark, sf_dir), fx.articles(spark, sf_dir), new_path(spark, "graph")
-    triplets = fx.triplets(spark, sf_dir)
-    for i, part in enumerate((docs.filter("doc_id % 2 = 0"), docs)):
-        own = part.select("doc_id")
-        mine = articles_.drop("load_seq").join(own, "doc_id", "left_semi")
-        store.save(corpus.build(part, mine, triplets.join(own, "doc_id", "left_semi")), path, clear=i == 0)
+    path, tables = new_path(spark, "graph"), _to_store(spark, sf_dir)
+    for i, own in enumerate(("doc_id % 2 = 0", "true")):
+        store.save(corpus.build(*(rows.filter(own) for rows in tables)), path, clear=i == 0)
     saved = store.load(spark, path)
     return graph.statistics(saved.documents, saved.articles, saved.entities, relations=saved.relations)
 
 
+def _to_store(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Documents (without their content, which no table of a graph has), articles and triplets."""
+    docs = fx.legal_documents(spark, sf_dir).select("doc_id", "title", "law_number")
+    return [kept(rows, "to-store") for rows in (docs, fx.articles(spark, sf_dir).drop("load_seq"), fx.triplets(spark, sf_dir))]
+
+
 def _stored(spark: SparkSession, sf_dir: str, saves: int = 3) -> str:
     """The graph of the tables, saved in parts of which each repeats a document of the one before, then merged but for the last."""
     path = new_path(spark, "stored-graph")
-    docs, articles_, triplets = (kept(rows, "to-store") for rows in (fx.legal_documents(spark, sf_dir), fx.articles(spark, sf_dir).drop("load_seq"), fx.triplets(spark, sf_dir)))
+    tables = _to_store(spark, sf_dir)
     for i in range(saves):
-        own = docs.filter(f"doc_id % {saves} = {i} OR doc_id = {max(0, i - 1)}").select("doc_id")
-        part = [rows.join(own, "doc_id", "left_semi") for rows in (docs, articles_, triplets)]
+        part = [rows.filter(f"doc_id % {saves} = {i} OR doc_id = {max(0, i - 1)}") for rows in tables]
         if i == saves - 1:
             store.compact(spark, path, everything=True)
         store.save_batch(corpus.build(*part), path, i)
