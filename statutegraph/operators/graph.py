@@ -120,8 +120,10 @@ def relation_edges_graph_scope(docs: DataFrame, triplets: DataFrame, articles: D
 
     Articles count as often as contains_graph_scope() copies them.  Articles and
     triplets are counted by number and document first; only these counts go
-    through the running sum.
+    through the running sum.  Triplets and what is needed of documents are written
+    once, as each is read several times.
     """
+    docs, triplets = kept(docs.select("doc_id", "title", "load_seq"), "scope-documents"), kept(triplets, "scope-triplets")
     bounds = chunk_bounds(docs, "load_seq")
     return _scoped_edges(docs, triplets, _number_copies(articles, _copies(docs, bounds)), bounds)
 
