@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 
 from .operators import articles as art
 from .sources.exports import ARTICLE_HEADER
+from .storage import dealt
 
 #: Relation of a triplet by return flag and line status.
 LABELS = (("AF", "정의함"), ("AO", "간주함"), ("NF", "요구함"), ("NO", "금지함"), ("RF", "허용함"))
@@ -101,7 +102,8 @@ def triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Triplets with few subjects and objects, so that keys and confidences tie; orders are dealt to the documents."""
     documents = table(spark, sf_dir, "documents").count()  # from the footers
     order = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
-    rows = table(spark, sf_dir, "lineitem").withColumn("doc_id", F.col("l_orderkey") % F.lit(max(1, documents)))
+    rows = table(spark, sf_dir, "lineitem")
+    rows = dealt(rows.withColumn("doc_id", F.col("l_orderkey") % F.lit(max(1, documents))), rows.count(), "doc_id")
     pos = F.row_number().over(W.partitionBy("doc_id").orderBy(*order)) - 1
     relation = F.lit("참조함")
     for flag, label in LABELS:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions import vocabulary
-from ..storage import kept
+from ..storage import dealt, kept
 from .running import chunk_bounds, running
 
 
@@ -60,17 +60,27 @@ def citation_rollup(cited: DataFrame) -> DataFrame:
 
 def resolved(cited: DataFrame, pieces: DataFrame) -> DataFrame:
     """Citations with `target_pos`, the first article of the document that has the cited number; null if dangling."""
+    return _resolved(cited, pieces, None)
+
+
+def _resolved(cited: DataFrame, pieces: DataFrame, n: int | None) -> DataFrame:
+    """resolved(); `n`, if known, bounds how many rows there are of each kind."""
     target = F.regexp_extract("cited", r"(?U)^(제\d+조(?:의\d+)?)", 1)
     numbers = pieces.select("doc_id", F.regexp_extract(F.coalesce(t.article_number(F.col("article_text")), F.lit("")), r"(?U)^(제\d+조(?:의\d+)?)", 1).alias("target"), "pos")
+    numbers = numbers.filter("target <> ''")  # no citation is to an article without a number
+    asked = cited.withColumn("target", target)
+    if n is not None:
+        numbers, asked = (dealt(rows, n, "doc_id", "target") for rows in (numbers, asked))
     first = numbers.groupBy("doc_id", "target").agg(F.min("pos").alias("target_pos"))
-    return cited.withColumn("target", target).join(first, ["doc_id", "target"], "left").select("doc_id", "pos", "at", "cited", "target_pos")
+    return asked.join(first, ["doc_id", "target"], "left").select("doc_id", "pos", "at", "cited", "target_pos")
 
 
 def resolve(pieces: DataFrame) -> DataFrame:
     """The citations of `pieces`, resolved: the texts are read once, numbers and citations of each article are kept."""
     found = pieces.select("doc_id", "pos", t.article_number(F.col("article_text")).alias("article_text"), t.citations(F.col("article_text")).alias("cited"))
     found = kept(found, "citations")
-    return resolved(found.select("doc_id", "pos", F.posexplode("cited").alias("at", "cited")), found.drop("cited"))
+    sizes = found.agg(F.count("*").alias("articles"), F.coalesce(F.sum(F.size("cited")), F.lit(0)).alias("citations")).first()
+    return _resolved(found.select("doc_id", "pos", F.posexplode("cited").alias("at", "cited")), found.drop("cited"), max(sizes))
 
 
 def law_citations(pieces: DataFrame) -> DataFrame:
